@@ -1,6 +1,6 @@
 """Process lists kept as text: from Python-style text to arrays of structs and back.
 
-Reading is one regexp pass or two at most per list, then ``from_json``; the quote-aware patterns use possessive
+Reading is a few regexp passes at most per list, then one ``from_json``. The quote-aware patterns use possessive
 quantifiers only, so their cost is linear in the text and they do not recurse on long lists.
 """
 
@@ -10,18 +10,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hostvane import schemas
+from hostvane.functions import scalars
 
 _QUOTED = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
 _JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 _WORDS = {"None": "null", "True": "true", "False": "false"}
 
 
-def _outside_quotes(text: Column, word: str, replacement: str) -> Column:
-    """Replace a bare word, leaving quoted strings alone."""
+def _bare_word(text: Column, word: str, replacement: str) -> Column:
+    """Replace a word outside quoted strings. The pass runs only on texts that hold the word at all."""
     first = word[0]
     skip = rf"(?:[^'\"{first}]++|{_QUOTED}|{first}(?!{word[1:]}\b))*+"
-    replaced = F.regexp_replace(text, rf"\G({skip}){word}\b", f"$1{replacement}")
-    return F.when(F.contains(text, F.lit(word)), replaced).otherwise(text)
+    return scalars.bind(
+        text,
+        lambda t: F.when(
+            t.contains(word), F.regexp_replace(t, rf"\G({skip}){word}\b", f"$1{replacement}")
+        ).otherwise(t),
+    )
+
+
+def _hex_escapes(text: Column) -> Column:
+    r"""``\xNN`` exists in Python text but not in JSON; an escaped backslash before an x is left alone."""
+    return scalars.bind(
+        text,
+        lambda t: F.when(
+            t.contains("\\x"), F.regexp_replace(t, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        ).otherwise(t),
+    )
 
 
 def literal_to_json(text: Column, safe: bool = True) -> Column:
@@ -30,16 +45,14 @@ def literal_to_json(text: Column, safe: bool = True) -> Column:
     ``safe`` changes only bare words; quotes stay, the parser accepts both kinds. Otherwise every occurrence is
     replaced, quotes first, also inside values (kept for results that must equal the older rule).
     """
-    if not safe:
-        text = F.replace(text, F.lit("'"), F.lit('"'))
+    if safe:
         for word, replacement in _WORDS.items():
-            text = F.replace(text, F.lit(word), F.lit(replacement))
-        return text
+            text = _bare_word(text, word, replacement)
+        return _hex_escapes(text)
+    text = F.replace(text, F.lit("'"), F.lit('"'))
     for word, replacement in _WORDS.items():
-        text = _outside_quotes(text, word, replacement)
-    # \xNN exists in Python text but not in JSON.
-    hex_escape = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    return F.when(F.contains(text, F.lit("\\x")), hex_escape).otherwise(text)
+        text = F.replace(text, F.lit(word), F.lit(replacement))
+    return text
 
 
 def quote_named_tuples(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ MIB = 1024**2
 GIB = 1024**3
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Apply ``use`` to a value that is computed once, however often ``use`` mentions it.
+
+    Plain nesting copies the expression at every mention, inside CASE branches without common-subexpression
+    elimination, and chains of such rules grow exponentially.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_timestamp(text: Column) -> Column:
     """ISO text with ``T`` or blank separator to timestamp; anything else is NULL."""
     return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d"), F.try_to_timestamp(text))
@@ -77,9 +88,12 @@ def ping_millis(output: Column) -> Column:
     Only the first line with a time counts, and the Portuguese spelling wins within it.
     """
     line = F.regexp_extract(F.lower(output), r"([^\n]*(?:tempo=|time=)[^\n]*)", 1)
-    value = F.when(
-        line.contains("tempo="), F.regexp_extract(line, r"tempo=(.*?)(?:tempo=|ms|$)", 1)
-    ).otherwise(F.regexp_extract(line, r"time=(.*?)(?:time=|ms|$)", 1))
+    value = bind(
+        line,
+        lambda t: F.when(
+            t.contains("tempo="), F.regexp_extract(t, r"tempo=(.*?)(?:tempo=|ms|$)", 1)
+        ).otherwise(F.regexp_extract(t, r"time=(.*?)(?:time=|ms|$)", 1)),
+    )
     return F.coalesce(F.trim(value).try_cast("double").try_cast("int"), F.lit(0))
 
 

@@ -3,8 +3,11 @@
 A window partitioned by machine puts every row of a machine into one task, which fails once a single machine
 holds a large share of the data. The two primitives here cut each key into time slices. Rows are shuffled by
 (key, slice), so one task sees one slice; what has to cross a slice border is a summary with one row per
-(key, slice), pre-aggregated before its own small shuffle and joined back on (key, slice). The number of slices
-of a key depends on the time span only, not on its row count.
+(key, slice), pre-aggregated before its own small shuffle and joined back on (key, slice).
+
+The width of a slice follows the data: a scalar subquery counts rows per key and hour, reading only key and time, and
+divides the hour so that the busiest one falls into slices of about ``TARGET_ROWS``. Pass ``width`` (microseconds) to
+fix it instead and save that count.
 """
 
 from __future__ import annotations
@@ -13,29 +16,56 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SLICE = "__slice"
+_MICROS = "__micros"
 _PREV = "__prev"
 _CARRY = "__carry"
 
-#: An hour holds 1,200 samples at the nominal cadence of three seconds.
-DEFAULT_SLICE_SECONDS = 3600
+#: Widest slice. An hour holds 1,200 samples of a machine at the nominal cadence of three seconds.
+HOUR_MICROS = 3600 * 1_000_000
+
+#: Rows of one key a task should hold at once.
+TARGET_ROWS = 1_000_000
 
 #: Rows without a time have no place in the order; they are spread over this many slices of their own.
 _UNTIMED_SLICES = 4096
 
 
-def wall_micros(ts: Column) -> Column:
-    """Microseconds of the wall clock since 1970, the same for both timestamp types and every session zone."""
-    minutes = (F.unix_date(F.to_date(ts)) * F.lit(24).cast("bigint") + F.hour(ts)) * 60 + F.minute(ts)
-    seconds = F.date_part(F.lit("SECOND"), ts)
-    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+def micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970. Naive timestamps are read field by field, so no session zone gets involved."""
+    column = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        return F.unix_micros(column)
+    minutes = (F.unix_date(F.to_date(column)) * F.lit(24).cast("bigint") + F.hour(column)) * 60 + F.minute(column)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
+
+
+def slice_width(df: DataFrame, keys: Sequence[str], ts: str, target_rows: int = TARGET_ROWS) -> Column:
+    """Width in microseconds, as a scalar subquery over the whole input: an hour, or the part of it that fits."""
+    hours = _timed(df, list(keys), ts).groupBy(*keys, F.floor(F.col(_MICROS) / HOUR_MICROS).alias(_SLICE))
+    busiest = F.coalesce(F.max("__rows"), F.lit(0))
+    width = F.when(busiest <= target_rows, float(HOUR_MICROS)).otherwise(
+        F.greatest(F.lit(1.0), F.floor(HOUR_MICROS / busiest * target_rows).cast("double"))
+    )
+    return hours.agg(F.count(F.lit(1)).alias("__rows")).agg(width).scalar()
+
+
+def _timed(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Only rows that take part in the order, so a summary reads few columns and NULLs are filtered at the scan."""
+    return df.where(_complete([*keys, ts])).withColumn(_MICROS, micros(df, ts))
+
 
+def _detail_slices(df: DataFrame, keys: list[str], order: list[str], width: Column) -> DataFrame:
+    """All rows with their slice, those without a time spread over slices that no summary contains."""
+    untimed = -1 - F.pmod(F.xxhash64(*keys, *order), F.lit(_UNTIMED_SLICES)) - 2**62
+    timed = df.withColumn(_MICROS, micros(df, order[0]))
+    return timed.withColumn(_SLICE, F.coalesce(F.floor(F.col(_MICROS) / width), untimed))
 
-def _with_slice(df: DataFrame, ts: str, slice_seconds: int, spread: Sequence[str]) -> DataFrame:
-    number = F.floor(wall_micros(F.col(ts)) / F.lit(float(slice_seconds * 1_000_000)))
-    untimed = -1_000_000_000 - F.pmod(F.xxhash64(*spread), F.lit(_UNTIMED_SLICES))
-    return df.withColumn(_SLICE, F.coalesce(number, untimed).cast("bigint"))
+
+def _summary_slices(df: DataFrame, keys: list[str], order: list[str], width: Column) -> DataFrame:
+    return _timed(df, keys, order[0]).withColumn(_SLICE, F.floor(F.col(_MICROS) / width))
 
 
 def _complete(columns: Sequence[str]) -> Column:
@@ -50,21 +80,23 @@ def with_previous(
     keys: Sequence[str],
     order: Sequence[str],
     take: Mapping[str, str],
-    slice_seconds: int = DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
+    elapsed: str | None = None,
 ) -> DataFrame:
     """Attach columns of the preceding row of the same key: ``take`` maps new name to source column.
 
-    ``order`` starts with the timestamp. The first row of a key, and rows without key or time, get NULL.
+    ``order`` starts with the timestamp; ``elapsed`` names a column for the seconds since the preceding row. The first
+    row of a key, and rows without key or time, get NULL.
     """
     keys, order = list(keys), list(order)
-    sliced = _with_slice(df, order[0], slice_seconds, df.columns)
-    row = F.struct(*[F.col(source).alias(name) for name, source in take.items()])
+    width = slice_width(df, keys, order[0]) if width is None else width
+    row = F.struct(*[F.col(source).alias(name) for name, source in take.items()], F.col(_MICROS))
 
     within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    detail = sliced.withColumn(_PREV, F.lag(row).over(within))
+    detail = _detail_slices(df, keys, order, width).withColumn(_PREV, F.lag(row).over(within))
 
     last = (
-        sliced.where(_complete([*keys, order[0]]))
+        _summary_slices(df, keys, order, width)
         .groupBy(*keys, _SLICE)
         .agg(F.max_by(row, F.struct(*order)).alias("__last"))
     )
@@ -74,8 +106,11 @@ def with_previous(
 
     joined = detail.join(borders, [*keys, _SLICE], "left")
     previous = F.when(_complete([*keys, order[0]]), F.coalesce(F.col(_PREV), F.col(_CARRY)))
-    return joined.select(*df.columns, previous.alias(_PREV)).select(
-        *df.columns, *[F.col(f"{_PREV}.{name}").alias(name) for name in take]
+    attached = {name: F.col(f"{_PREV}.{name}") for name in take}
+    if elapsed:
+        attached[elapsed] = (F.col(_MICROS) - F.col(f"{_PREV}.{_MICROS}")) / 1e6
+    return joined.select(*df.columns, _MICROS, previous.alias(_PREV)).select(
+        *df.columns, *[column.alias(name) for name, column in attached.items()]
     )
 
 
@@ -84,7 +119,7 @@ def with_running_counts(
     keys: Sequence[str],
     order: Sequence[str],
     counts: Mapping[str, Column],
-    slice_seconds: int = DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
     """Attach running counts per key: for each name, how many rows up to and including this one meet the condition.
 
@@ -92,19 +127,23 @@ def with_running_counts(
     but gapless way, so pass enough tie-breaks. Rows without key or time get NULL.
     """
     keys, order = list(keys), list(order)
-    sliced = _with_slice(df, order[0], slice_seconds, df.columns)
+    width = slice_width(df, keys, order[0]) if width is None else width
     ones = {name: F.when(condition, 1).otherwise(0).cast("bigint") for name, condition in counts.items()}
 
     within = (
         Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    detail = sliced.select("*", *[F.sum(one).over(within).alias(name) for name, one in ones.items()])
+    detail = _detail_slices(df, keys, order, width).select(
+        *df.columns, _SLICE, *[F.sum(one).over(within).alias(name) for name, one in ones.items()]
+    )
 
-    totals = sliced.groupBy(*keys, _SLICE).agg(*[F.sum(one).alias(name) for name, one in ones.items()])
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.where(_complete(keys) & (F.col(_SLICE) > -1_000_000_000)).select(
-        *keys, _SLICE, *[F.sum(name).over(before).alias(f"__before_{name}") for name in ones]
+    totals = (
+        _summary_slices(df, keys, order, width)
+        .groupBy(*keys, _SLICE)
+        .agg(*[F.sum(one).alias(name) for name, one in ones.items()])
     )
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, _SLICE, *[F.sum(name).over(before).alias(f"__before_{name}") for name in ones])
 
     joined = detail.join(offsets, [*keys, _SLICE], "left")
     known = _complete([*keys, order[0]])
@@ -122,9 +161,3 @@ def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     newest = F.max_by(F.struct(*df.columns), F.struct(*order))
     grouped = df.groupBy(*keys).agg(newest.alias("__row"))
     return grouped.select(*[F.col("__row")[c].alias(c) for c in df.columns])
-
-
-def busiest_slice(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int = DEFAULT_SLICE_SECONDS) -> int:
-    """Row count of the fullest (key, slice): run it once on new data to choose ``slice_seconds``."""
-    counted = _with_slice(df.select(*keys, ts), ts, slice_seconds, [*keys, ts]).groupBy(*keys, _SLICE).count()
-    return counted.agg(F.max("count")).first()[0] or 0

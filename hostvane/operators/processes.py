@@ -24,8 +24,13 @@ SMALL_CATALOGUE = 2_000
 
 
 def explode_list(samples: DataFrame, processes: str, keep: Sequence[str]) -> DataFrame:
-    """One row per process; samples with an empty or unreadable list give none."""
-    return samples.select(*keep, F.inline(F.col(processes)))
+    """One row per process; samples with an empty or unreadable list give none.
+
+    The outer form with a test on the position keeps the same rows as a plain explode, but spares the filter the
+    optimizer derives from a plain explode, which would parse every list a second time.
+    """
+    exploded = samples.select(*keep, F.posexplode_outer(processes).alias("__pos", "__process"))
+    return exploded.where(F.col("__pos").isNotNull()).select(*keep, "__process.*")
 
 
 def flatten_struct(rows: DataFrame, column: str) -> DataFrame:
@@ -193,24 +198,23 @@ def hung_processes(
     idle: Column,
     min_samples: int = 1,
     keys: Sequence[str] = ("machine", "pid"),
-    order: Sequence[str] = ("ts",),
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    ts: str = "ts",
 ) -> DataFrame:
-    """Runs of at least ``min_samples`` consecutive idle samples of a process.
+    """Runs of at least ``min_samples`` consecutive instants at which a process was seen idle.
 
-    Within a run of idle rows, row number minus idle count is constant, which makes a run a plain group.
+    Rows of a process at one instant are combined first (idle only if all are), before any shuffle; rows without a
+    process or a time are in no sequence. Within a run of idle instants, row number minus idle count is constant,
+    which makes a run a plain group.
     """
-    numbered = ordered.with_running_counts(
-        rows, keys, order, {"__n": F.lit(True), "__idle": idle}, slice_seconds
-    )
+    rows = rows.dropna(subset=[*keys, ts])
+    width = ordered.slice_width(rows, keys, ts)
+    instants = rows.groupBy(*keys, ts).agg(F.bool_and(F.coalesce(idle, F.lit(False))).alias("__idle"))
+    counts = {"__n": F.lit(True), "__idle_n": F.col("__idle")}
+    numbered = ordered.with_running_counts(instants, keys, [ts], counts, width)
     return (
-        numbered.where(idle & F.col("__n").isNotNull())
-        .groupBy(*keys, (F.col("__n") - F.col("__idle")).alias("__run"))
-        .agg(
-            F.min(order[0]).alias("first_idle"),
-            F.max(order[0]).alias("last_idle"),
-            F.count(F.lit(1)).alias("samples"),
-        )
+        numbered.where(F.col("__idle") & F.col("__n").isNotNull())
+        .groupBy(*keys, (F.col("__n") - F.col("__idle_n")).alias("__run"))
+        .agg(F.min(ts).alias("first_idle"), F.max(ts).alias("last_idle"), F.count(F.lit(1)).alias("samples"))
         .where(F.col("samples") >= min_samples)
         .drop("__run")
     )
@@ -317,10 +321,12 @@ def _is_small(catalogue: DataFrame, small: int) -> bool:
 
 
 def _running_known(active: DataFrame, catalogue: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Catalogue names active in each sample, as an array no longer than the (checked) catalogue."""
+    """Catalogue names active in each sample, as an array no longer than the (checked) catalogue.
+
+    Other names become NULL, which a set skips, and each task reduces its part to a set before the shuffle.
+    """
     known = active.select(*keys, name).join(F.broadcast(catalogue.withColumn("__known", F.lit(True))), [name], "left")
-    seen = known.groupBy(*keys, F.when(F.col("__known"), F.col(name)).alias(name)).agg(F.lit(1))
-    return seen.groupBy(*keys).agg(F.collect_list(name).alias("__running"))
+    return known.groupBy(*keys).agg(F.collect_set(F.when(F.col("__known"), F.col(name))).alias("__running"))
 
 
 def _absent_by_join(

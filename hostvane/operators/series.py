@@ -21,7 +21,7 @@ def counter_rates(
     order: Sequence[str] = ("ts",),
     interval: float | None = None,
     null_resets: bool = False,
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
     """Rates per second from growing counters: ``counters`` maps rate column to counter column.
 
@@ -29,18 +29,15 @@ def counter_rates(
     machine, and samples with no time elapsed, have a NULL rate. A counter that was reset gives a negative rate,
     or NULL with ``null_resets``.
     """
-    take = {f"__prev_{counter}": counter for counter in counters.values()} | {"__prev_ts": order[0]}
-    paired = ordered.with_previous(samples, keys, order, take, slice_seconds)
-    if interval is None:
-        elapsed = (ordered.wall_micros(F.col(order[0])) - ordered.wall_micros(F.col("__prev_ts"))) / 1e6
-    else:
-        elapsed = F.lit(float(interval))
+    take = {f"__prev_{counter}": counter for counter in counters.values()}
+    paired = ordered.with_previous(samples, keys, order, take, width, elapsed="__elapsed")
+    elapsed = F.col("__elapsed") if interval is None else F.lit(float(interval))
     rates = {}
     for rate, counter in counters.items():
         delta = F.col(counter) - F.col(f"__prev_{counter}")
         value = F.try_divide(delta.cast("double"), elapsed)
         rates[rate] = F.when(delta >= 0, value) if null_resets else value
-    return paired.withColumns(rates).drop(*take)
+    return paired.withColumns(rates).drop("__elapsed", *take)
 
 
 def sample_and_hold(
@@ -50,16 +47,20 @@ def sample_and_hold(
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
     every: int = SAMPLE_HOLD_EVERY,
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
     """Measure on the first and then every ``every``-th sample of a machine; repeat the measurement in between.
 
     Samples that share a measurement share ``floor(n / every)``, and its first row is the measured one. Such a group
     has at most ``every`` rows, so the second shuffle is even for any machine.
     """
-    numbered = ordered.with_running_counts(samples, keys, order, {"n": F.lit(True)}, slice_seconds)
-    shared = F.coalesce(F.floor(F.col("n") / every), -1 - F.pmod(F.xxhash64(*samples.columns), F.lit(4096)))
-    group = Window.partitionBy(*keys, "__hold").orderBy("n")
+    numbered = ordered.with_running_counts(samples, keys, order, {"n": F.lit(True)}, width)
+    shared = F.coalesce(F.floor(F.col("n") / every), -1 - F.pmod(F.xxhash64(*order), F.lit(4096)))
+    group = (
+        Window.partitionBy(*keys, "__hold")
+        .orderBy("n")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     held = F.when(F.col("n").isNotNull(), F.first(value).over(group))
     return numbered.withColumn("__hold", shared).withColumn(out, held).drop("__hold")
 
@@ -69,9 +70,9 @@ def running_counter(
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
     out: str = "n",
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
-    return ordered.with_running_counts(samples, keys, order, {out: F.lit(True)}, slice_seconds)
+    return ordered.with_running_counts(samples, keys, order, {out: F.lit(True)}, width)
 
 
 def batch_numbers(
@@ -79,10 +80,10 @@ def batch_numbers(
     rows: int = BATCH_ROWS,
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
     """Number of the upload each sample belongs to when a machine flushes every ``rows`` samples."""
-    numbered = running_counter(samples, keys, order, "__n", slice_seconds)
+    numbered = running_counter(samples, keys, order, "__n", width)
     return numbered.withColumn("batch", F.floor((F.col("__n") - 1) / rows)).drop("__n")
 
 
@@ -92,14 +93,11 @@ def sample_gaps(
     tolerance: float = 2.0,
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
+    width: Column | None = None,
 ) -> DataFrame:
     """Elapsed seconds since the previous sample, and whether that is more than ``tolerance`` intervals."""
-    paired = ordered.with_previous(samples, keys, order, {"__prev_ts": order[0]}, slice_seconds)
-    elapsed = (ordered.wall_micros(F.col(order[0])) - ordered.wall_micros(F.col("__prev_ts"))) / 1e6
-    return paired.withColumn("elapsed_s", elapsed).withColumn(
-        "is_gap", F.col("elapsed_s") > tolerance * nominal_seconds
-    ).drop("__prev_ts")
+    paired = ordered.with_previous(samples, keys, order, {}, width, elapsed="elapsed_s")
+    return paired.withColumn("is_gap", F.col("elapsed_s") > tolerance * nominal_seconds)
 
 
 def latest_snapshot(
@@ -133,7 +131,7 @@ def time_grid(spans: DataFrame, start: str, end: str, step: str = "1 minute", ou
     """
     day, one_day, one_step = F.col("__day"), F.expr("interval 1 day"), F.expr(f"interval {step}")
     days = F.sequence(F.date_trunc("day", F.col(start)), F.date_trunc("day", F.col(end)), one_day)
-    spread = spans.withColumn("__day", F.explode(days)).repartition("__day")
+    spread = spans.withColumn("__day", F.explode(days)).repartition(*spans.columns, "__day")
     points = F.explode(F.sequence(day, day + one_day - one_step, one_step))
     return (
         spread.withColumn(out, points)

@@ -208,7 +208,6 @@ def stream_counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{out}/checkpoint",
         order=["ts", "sample_id"],
         interval=3.0,
-        slice_seconds=86400,
     ).awaitTermination()
     schema = "sample_id bigint, machine bigint, read_bps double, batch bigint"
     return spark.read.schema(schema).parquet(f"{out}/data").drop("batch")

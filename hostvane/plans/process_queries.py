@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostvane.functions import process_text, scalars
+from hostvane.functions import calendar, process_text, scalars
 from hostvane.operators import processes
 from hostvane.plans import views
 from hostvane.plans.registry import query
@@ -58,13 +58,14 @@ def sample_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_texts(spark: SparkSession, sf_dir: str, literal=_literal) -> DataFrame:
-    """Samples with their process list as agents write it; samples without processes have ``[]``."""
+    """Samples with their process list as agents write it."""
     text = F.concat(F.lit("["), F.array_join(F.transform("processes", literal), ", "), F.lit("]"))
-    lists = sample_lists(spark, sf_dir).select("sample", text.alias("processos"))
-    headers = views.sample_headers(spark, sf_dir)
-    return headers.join(lists, "sample", "left").select(
-        "sample", "machine", "ts", F.coalesce("processos", F.lit("[]")).alias("processos")
-    )
+    return sample_lists(spark, sf_dir).select("sample", text.alias("processos"))
+
+
+def with_empty_samples(texts: DataFrame, headers: DataFrame) -> DataFrame:
+    """Add the samples that have no process, whose list is ``[]``."""
+    return headers.join(texts, "sample", "left").withColumn("processos", F.coalesce("processos", F.lit("[]")))
 
 
 USER_CASE = "CASE username WHEN 'A' THEN 'NoneSuch: None, True' WHEN 'N' THEN 'it''s' END"
@@ -75,13 +76,12 @@ USER_CASE = "CASE username WHEN 'A' THEN 'NoneSuch: None, True' WHEN 'N' THEN 'i
     vms AS memory_info_vms FROM proc"""
 )
 def parse_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = sample_texts(spark, sf_dir).select(
-        "sample", "ts", process_text.parse_list(F.col("processos")).alias("lista")
-    )
+    stamped = sample_texts(spark, sf_dir).join(views.sample_headers(spark, sf_dir).select("sample", "ts"), "sample")
+    parsed = stamped.select("sample", "ts", process_text.parse_list(F.col("processos")).alias("lista"))
     return processes.flatten_struct(processes.explode_list(parsed, "lista", ["sample", "ts"]), "memory_info")
 
 
-@query(f"{PROC} SELECT sample, pid, replace(name, 'P', 'nullP') AS name, cpu_percent FROM proc")
+@query(f"{LINES} SELECT sample, pid, replace(name, 'P', 'nullP') AS name, cpu_percent FROM lines")
 def parse_processes_plain_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     def plain(p: Column) -> Column:
         return F.concat(
@@ -97,9 +97,9 @@ def parse_processes_plain_replace(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query(
-    f"""{PROC} SELECT sample, pid, name, 'PC\\user' AS username, 'C:\\Program Files (x86)\\' || name || '.exe' AS exe,
+    f"""{LINES} SELECT sample, pid, name, 'PC\\user' AS username, 'C:\\Program Files (x86)\\' || name || '.exe' AS exe,
     '--id=' || pid AS argument, line AS num_threads, rss, vms, cpu_percent AS cpu_user, 3.5::DOUBLE AS memory_percent
-    FROM proc"""
+    FROM lines"""
 )
 def agent_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = sample_texts(spark, sf_dir, _agent_literal).select(
@@ -122,7 +122,8 @@ def agent_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def process_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = process_text.parse_list(F.col("processos"), "array<struct<pid:bigint>>")
-    return sample_texts(spark, sf_dir).select("sample", process_text.list_size(parsed).alias("qtd_processos"))
+    texts = with_empty_samples(sample_texts(spark, sf_dir), views.sample_headers(spark, sf_dir).select("sample"))
+    return texts.select("sample", process_text.list_size(parsed).alias("qtd_processos"))
 
 
 @query(f"{LINES} SELECT sample, pid, name, username, cpu_percent, rss, vms, line FROM lines")
@@ -143,7 +144,7 @@ def list_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = sample_texts(spark, sf_dir).select(
         "sample", process_text.parse_list(F.col("processos")).alias("processes")
     )
-    totals = processes.list_totals(nested, "processes").where(F.col("n_processes") > 0)
+    totals = processes.list_totals(nested, "processes")
     return totals.select(
         "sample", "n_processes", "sum_cpu", "sum_rss", F.array_join("active_names", ",").alias("names")
     )
@@ -295,26 +296,16 @@ def restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{LINES}, numbered AS (
-      SELECT name, started, idle,
-        row_number() OVER (PARTITION BY name ORDER BY started, sample, pid, line, cpu_percent, rss, memory_percent, idle,
-          username)
-        - sum(idle::INTEGER) OVER (PARTITION BY name ORDER BY started, sample, pid, line, cpu_percent, rss,
-          memory_percent, idle, username ROWS UNBOUNDED PRECEDING) AS run
-      FROM lines)
+    f"""{LINES}, instants AS (SELECT name, started, bool_and(idle) AS idle FROM lines GROUP BY name, started),
+    numbered AS (
+      SELECT *, row_number() OVER w - sum(idle::INTEGER) OVER w AS run FROM instants
+      WINDOW w AS (PARTITION BY name ORDER BY started ROWS UNBOUNDED PRECEDING))
     SELECT name, min(started) AS first_idle, max(started) AS last_idle, count(*) AS samples
     FROM numbered WHERE idle GROUP BY name, run HAVING count(*) >= 2"""
 )
 def hung_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = ["started", "sample", *FULL_ORDER[1:2], *FULL_ORDER[3:]]
-    return processes.hung_processes(
-        views.process_lines(spark, sf_dir).select("name", *order),
-        F.col("idle"),
-        min_samples=2,
-        keys=["name"],
-        order=order,
-        slice_seconds=30 * 86400,
-    )
+    lines = views.process_lines(spark, sf_dir).select("name", "started", "idle")
+    return processes.hung_processes(lines, F.col("idle"), min_samples=2, keys=["name"], ts="started")
 
 
 CAP_ORDER = ", ".join(FULL_ORDER)
@@ -326,8 +317,6 @@ CAP_ORDER = ", ".join(FULL_ORDER)
     SELECT sample, pid, name, line, rank FROM ranked WHERE rank <= {views.target_sql('ts')}"""
 )
 def cap_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from hostvane.functions import calendar
-
     target = calendar.expected_services(calendar.load_factor(F.col("ts")))
     hosts = views.sample_headers(spark, sf_dir).select("sample", "ts")
     kept = processes.cap_to_target(

@@ -14,7 +14,6 @@ HOST = f"WITH {views.HOST_SQL}"
 ORDER = ["ts", "sample_id"]
 LAG = "lag({}) OVER (PARTITION BY machine ORDER BY ts, sample_id)"
 SECONDS = f"(epoch_us(ts) - epoch_us({LAG.format('ts')}))::DOUBLE / 1e6"
-DAY = 86400
 
 
 @query(
@@ -25,7 +24,7 @@ DAY = 86400
 def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER, "bytes_read", "bytes_written")
     counters = {"read_bps": "bytes_read", "write_bps": "bytes_written"}
-    rates = series.counter_rates(host, counters, order=ORDER, slice_seconds=DAY)
+    rates = series.counter_rates(host, counters, order=ORDER)
     return rates.select("sample_id", "machine", "read_bps", "write_bps")
 
 
@@ -36,7 +35,7 @@ def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counter_rate_nominal(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER, "k")
     rates = series.counter_rates(
-        host, {"rate": "k"}, order=ORDER, interval=3.0, null_resets=True, slice_seconds=DAY
+        host, {"rate": "k"}, order=ORDER, interval=3.0, null_resets=True
     )
     return rates.select("sample_id", "rate")
 
@@ -51,20 +50,20 @@ NUMBERED = f"""{HOST}, numbered AS (
 )
 def sample_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER, "ping_ms")
-    held = series.sample_and_hold(host, "ping_ms", order=ORDER, slice_seconds=DAY)
+    held = series.sample_and_hold(host, "ping_ms", order=ORDER)
     return held.select("sample_id", "machine", "n", "held")
 
 
 @query(f"{NUMBERED} SELECT sample_id, machine, n FROM numbered")
 def running_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER)
-    return series.running_counter(host, order=ORDER, slice_seconds=DAY).select("sample_id", "machine", "n")
+    return series.running_counter(host, order=ORDER).select("sample_id", "machine", "n")
 
 
 @query(f"{NUMBERED} SELECT sample_id, machine, (n - 1) // 60 AS batch FROM numbered")
 def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER)
-    return series.batch_numbers(host, order=ORDER, slice_seconds=DAY).select("sample_id", "machine", "batch")
+    return series.batch_numbers(host, order=ORDER).select("sample_id", "machine", "batch")
 
 
 @query(
@@ -73,7 +72,7 @@ def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sample_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = views.hosts(spark, sf_dir).select("machine", *ORDER)
-    gaps = series.sample_gaps(host, 3600.0, order=ORDER, slice_seconds=DAY)
+    gaps = series.sample_gaps(host, 3600.0, order=ORDER)
     return gaps.select("sample_id", "machine", "elapsed_s", "is_gap")
 
 

@@ -114,7 +114,6 @@ def write_counter_rates(
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
     interval: float | None = None,
-    slice_seconds: int = ordered.DEFAULT_SLICE_SECONDS,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Rates across batches: each batch starts from the last sample of every machine seen so far.
@@ -133,7 +132,7 @@ def write_counter_rates(
         if batch_id > 0:
             carried = spark.read.schema(batch.select(*columns).schema).parquet(_state(checkpoint, batch_id - 1))
             combined = current.unionByName(carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
-        rated = series.counter_rates(combined, counters, keys, order, interval, False, slice_seconds)
+        rated = series.counter_rates(combined, counters, keys, order, interval)
         rated.where(~F.col("__carried")).drop("__carried").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         state = ordered.last_row(combined.select(*columns), keys, order)
         state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
