@@ -294,22 +294,18 @@ def services_to_start(
     keys: Sequence[str],
     position: str,
     name: str = "name",
-    small: int = SMALL_CATALOGUE,
+    most: int = calendar.SERVICE_COUNT,
 ) -> DataFrame:
-    """The first ``gap`` absent services of each sample in catalogue order: what a scheduler would start next."""
-    catalogue = profiles.groupBy(name).agg(F.min(position).alias("__position"))
+    """The first ``gap`` absent services of each sample in catalogue order: what would be started next.
+
+    ``most`` is the greatest target. Of the first ``most`` services at most ``active`` run, so at least
+    ``target - active``, which is the gap, are absent: the rest of the catalogue is never needed, however long.
+    """
+    order = F.struct(F.min(position).alias("position"), F.col(name).alias("name"))
+    first = profiles.groupBy(name).agg(order.alias("__entry")).orderBy("__entry").limit(most)
+    running = _running_known(active, first.select(name), keys, name)
+    everything = first.select(F.array_sort(F.collect_list("__entry"))["name"]).scalar()
     short = gaps.where(F.col("gap") > 0).select(*keys, "gap")
-    if not _is_small(catalogue, small):
-        absent = _absent_by_join(short.select(*keys), active, catalogue.select(name), keys, name)
-        ranked = absent.join(catalogue, name).withColumn(
-            "__rank", F.row_number().over(Window.partitionBy(*keys).orderBy("__position", name))
-        )
-        return ranked.join(short, list(keys)).where(F.col("__rank") <= F.col("gap")).select(*keys, name)
-    running = _running_known(active, catalogue.select(name), keys, name)
-    in_order = F.transform(
-        F.array_sort(F.collect_list(F.struct("__position", name))), lambda entry: entry[name]
-    )
-    everything = catalogue.select(in_order).scalar()
     absent = F.array_except(everything, F.coalesce(F.col("__running"), F.array().cast("array<string>")))
     return short.join(running, list(keys), "left").select(
         *keys, F.explode(F.slice(absent, F.lit(1), F.col("gap"))).alias(name)
@@ -321,7 +317,7 @@ def _is_small(catalogue: DataFrame, small: int) -> bool:
 
 
 def _running_known(active: DataFrame, catalogue: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Catalogue names active in each sample, as an array no longer than the (checked) catalogue.
+    """Catalogue names active in each sample, as an array no longer than the catalogue, whose size callers bound.
 
     Other names become NULL, which a set skips, and each task reduces its part to a set before the shuffle.
     """
@@ -335,7 +331,7 @@ def _absent_by_join(
     """Expand every sample by the pieces of a large catalogue, then remove what is active."""
     piece = F.pmod(F.xxhash64(name), F.lit(pieces))
     lists = catalogue.groupBy(piece.alias("__piece")).agg(F.collect_list(name).alias("__names"))
-    spread = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("bigint")
+    spread = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint")))
     expected = samples.select(*keys, spread.alias("__piece")).join(lists, "__piece")
     return expected.select(*keys, F.explode("__names").alias(name)).join(
         active.select(*keys, name).distinct(), [*keys, name], "left_anti"
