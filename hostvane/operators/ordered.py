@@ -5,9 +5,10 @@ holds a large share of the data. The two primitives here cut each key into time
 (key, slice), so one task sees one slice; what has to cross a slice border is a summary with one row per
 (key, slice), pre-aggregated before its own small shuffle and joined back on (key, slice).
 
-The width of a slice follows the data: a scalar subquery counts rows per key and hour, reading only key and time, and
-divides the hour so that the busiest one falls into slices of about ``TARGET_ROWS``. Pass ``width`` (microseconds) to
-fix it instead and save that count.
+The width of a slice follows the data: a scalar subquery counts rows per key and day, reading only key and time, and
+scales the day so that the busiest key has about ``TARGET_ROWS`` rows in a slice. Sparse data thus gets wide slices and
+few summary rows, and a hot key is cut as finely as it needs. Pass ``width`` (microseconds) to fix it instead and save
+that count.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ _MICROS = "__micros"
 _PREV = "__prev"
 _CARRY = "__carry"
 
-#: Widest slice. An hour holds 1,200 samples of a machine at the nominal cadence of three seconds.
-HOUR_MICROS = 3600 * 1_000_000
+DAY_MICROS = 86_400 * 1_000_000
 
 #: Rows of one key a task should hold at once.
 TARGET_ROWS = 1_000_000
@@ -43,13 +43,15 @@ def micros(df: DataFrame, ts: str) -> Column:
 
 
 def slice_width(df: DataFrame, keys: Sequence[str], ts: str, target_rows: int = TARGET_ROWS) -> Column:
-    """Width in microseconds, as a scalar subquery over the whole input: an hour, or the part of it that fits."""
-    hours = _timed(df, list(keys), ts).groupBy(*keys, F.floor(F.col(_MICROS) / HOUR_MICROS).alias(_SLICE))
-    busiest = F.coalesce(F.max("__rows"), F.lit(0))
-    width = F.when(busiest <= target_rows, float(HOUR_MICROS)).otherwise(
-        F.greatest(F.lit(1.0), F.floor(HOUR_MICROS / busiest * target_rows).cast("double"))
-    )
-    return hours.agg(F.count(F.lit(1)).alias("__rows")).agg(width).scalar()
+    """Width in microseconds, as a scalar subquery over the whole input.
+
+    Widening is exact: a slice of several days cannot hold more than that many times the busiest day. Narrowing
+    assumes an even rate within the busiest day, so a burst may exceed the target by as much as it exceeds that rate.
+    """
+    days = _timed(df, list(keys), ts).groupBy(*keys, F.floor(F.col(_MICROS) / DAY_MICROS).alias(_SLICE))
+    busiest = F.greatest(F.max("__rows"), F.lit(1))
+    width = F.greatest(F.lit(1.0), F.floor(float(DAY_MICROS) * target_rows / busiest).cast("double"))
+    return days.agg(F.count(F.lit(1)).alias("__rows")).agg(width).scalar()
 
 
 def _timed(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -90,16 +92,18 @@ def with_previous(
     """
     keys, order = list(keys), list(order)
     width = slice_width(df, keys, order[0]) if width is None else width
-    row = F.struct(*[F.col(source).alias(name) for name, source in take.items()], F.col(_MICROS))
+    fields = {**{name: F.col(source) for name, source in take.items()}, _MICROS: F.col(_MICROS)}
+    row = F.struct(*[column.alias(name) for name, column in fields.items()])
 
     within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
     detail = _detail_slices(df, keys, order, width).withColumn(_PREV, F.lag(row).over(within))
 
-    last = (
-        _summary_slices(df, keys, order, width)
-        .groupBy(*keys, _SLICE)
-        .agg(F.max_by(row, F.struct(*order)).alias("__last"))
-    )
+    if len(order) == 1:
+        # With the time alone as order, each field has a fixed-width buffer: hash aggregation, no local sort.
+        last_of_slice = F.struct(*[F.max_by(column, order[0]).alias(name) for name, column in fields.items()])
+    else:
+        last_of_slice = F.max_by(row, F.struct(*order))
+    last = _summary_slices(df, keys, order, width).groupBy(*keys, _SLICE).agg(last_of_slice.alias("__last"))
     borders = last.select(
         *keys, _SLICE, F.lag("__last").over(Window.partitionBy(*keys).orderBy(_SLICE)).alias(_CARRY)
     ).where(F.col(_CARRY).isNotNull())

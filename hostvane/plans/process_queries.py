@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hostvane.functions import calendar, process_text, scalars
 from hostvane.operators import processes
-from hostvane.plans import views
+from hostvane.plans import analysis, views
 from hostvane.plans.registry import query
 
 LINES = f"WITH {views.LINES_SQL}"
@@ -81,6 +81,15 @@ def parse_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processes.flatten_struct(processes.explode_list(parsed, "lista", ["sample", "ts"]), "memory_info")
 
 
+@query(
+    f"""{PROC} SELECT ts AS data, pid, name, {USER_CASE} AS username, cpu_percent, rss AS memory_info_rss,
+    vms AS memory_info_vms FROM proc"""
+)
+def process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headers = views.sample_headers(spark, sf_dir).select("sample", F.col("ts").alias("data"))
+    return analysis.process_rows(sample_texts(spark, sf_dir).join(headers, "sample"))
+
+
 @query(f"{LINES} SELECT sample, pid, replace(name, 'P', 'nullP') AS name, cpu_percent FROM lines")
 def parse_processes_plain_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     def plain(p: Column) -> Column:

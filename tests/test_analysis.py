@@ -1,0 +1,50 @@
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from hostvane import schemas
+from hostvane.plans import analysis
+
+GIB = 1024**3
+
+
+def samples(spark):
+    rows = []
+    for i in range(6):
+        processes = [
+            {
+                "pid": 12000 + p,
+                "name": f"svc_{p}",
+                "username": "u",
+                "cpu_percent": 10.0 * p + i,
+                "memory_info": {"rss": (p + 1) * 2**20, "vms": (p + 2) * 2**20},
+            }
+            for p in range(i % 3)
+        ]
+        rows.append(
+            ("aa:bb", "u", 45.0 + 2 * i, 2000 + 300 * (i % 3), 1200, 4200, 60.0, 10 * i, 20 * i, 75, 64 * GIB)
+            + ((44 + 2 * i) * GIB, str(processes), datetime(2026, 4, 1) + timedelta(minutes=i))
+        )
+    return spark.createDataFrame(rows, schemas.struct_type(schemas.SIMULATED_COLUMNS)).repartition(3)
+
+
+def test_eight_series(spark):
+    charts = analysis.chart_series(samples(spark))
+    rows = {name: frame.collect() for name, frame in charts.items()}
+    assert {name: len(r) for name, r in rows.items()} == {
+        "cpu": 6, "frequency": 6, "free_memory": 6, "disk_io": 12, "cpu_bottlenecks": 6, "low_memory": 6,
+        "process_cpu": 6, "process_rss": 6,
+    }
+    assert [r["cpu"] for r in rows["cpu"]] == [45.0, 47.0, 49.0, 51.0, 53.0, 55.0]
+    assert [r["flagged"] for r in rows["cpu_bottlenecks"]] == [None, None, None, 51.0, 53.0, None]
+    assert [r["flagged"] for r in rows["low_memory"]] == [44.0, 46.0, 48.0, None, None, None]
+    assert [(r["metric"], r["value"]) for r in rows["disk_io"]][2:4] == [("read_rate_Bps", 10), ("write_rate_Bps", 20)]
+    assert [r["rss_mib"] for r in rows["process_rss"]] == [1.0, 1.0, 2.0, 1.0, 1.0, 2.0]
+
+
+def test_process_rows_are_flat(spark):
+    rows = analysis.process_rows(samples(spark))
+    assert rows.columns == [
+        "data", "pid", "name", "username", "cpu_percent", "memory_info_rss", "memory_info_vms"
+    ]
+    assert rows.where(F.col("memory_info_vms") <= F.col("memory_info_rss")).count() == 0
