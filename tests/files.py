@@ -7,23 +7,23 @@ from datetime import datetime, timedelta
 from hostvane import schemas
 
 HEADER = [name for name, _ in schemas.AGENT_COLUMNS]
-START = datetime(2026, 4, 16, 19, 42, 59, 146653)
+START = datetime(2026, 4, 16, 19, 42, 59, 250000)
 
 
 def agent_fields(i: int, count: int | None = None, processes: str = "[]") -> list[str]:
     ts = (START + timedelta(seconds=2.3 * i)).isoformat()
-    row = ["94:52:f3:bd:62:d5", "ana", str(i % 100), "3600.0", "0.0", "3600.0", "25633431552", "17800511488", "30.6"]
-    row += ["1811939328", "0", "1811939328", "0", "0", "0.0", "999162900480", "553912532992", "445250367488", "55.4"]
-    row += ["0", "45056", "13", "3259", "2092", processes]
+    row = ["02:00:5e:10:00:01", "ana", str(i % 100), "3600.0", "0.0", "3600.0", "17179869184", "8589934592", "50.0"]
+    row += ["2147483648", "0", "2147483648", "0", "0", "0.0", "500000000000", "250000000000", "250000000000", "50.0"]
+    row += ["0", "4096", "13", "3000", "2000", processes]
     return [*row, ts] if count is None else [*row, str(count), ts]
 
 
 def agent_list(pid: int) -> str:
     return (
-        r"[{'username': 'PC\\ana', 'memory_info': pmem(rss=773582848, vms=754057216), 'exe': 'C:\\VS Code\\Code.exe', "
+        r"[{'username': 'PC\\ana', 'memory_info': pmem(rss=700000000, vms=800000000), 'exe': 'C:\\VS Code\\Code.exe', "
         f"'cmdline': ['Code.exe', '--clientProcessId=3256'], 'cpu_percent': 0.7, 'status': 'running', "
         f"'num_threads': 13, 'pid': {pid}, 'name': 'Code.exe', "
-        "'cpu_times': pcputimes(user=80.1, system=13.25), 'create_time': 1776378598.83, 'memory_percent': 3.01}]"
+        "'cpu_times': pcputimes(user=80.1, system=13.25), 'create_time': 1776000000.5, 'memory_percent': 3.01}]"
     )
 
 
@@ -49,6 +49,6 @@ def write_landing(folder) -> str:
     day.mkdir(parents=True)
     uploads = [("19-44-00", rows[:32], HEADER), ("19-45-00", rows[32:], None), ("19-46-00", rows[29:], None)]
     for time, chosen, header in uploads:
-        name = f"dados_2026-04-16T{time}_9452f3bd62d5.csv"
+        name = f"dados_2026-04-16T{time}_02005e100001.csv"
         (day / name).write_text(text(chosen, header))
     return str(folder / "raw")

@@ -13,7 +13,7 @@ from hostvane.streaming import pipeline
 
 
 def limits(spark):
-    return spark.createDataFrame([("9452f3bd62d5", "cpu", 20.0), ("9452f3bd62d5", "disk", 60.0)], schemas.LIMITS_SCHEMA)
+    return spark.createDataFrame([("02005e100001", "cpu", 20.0), ("02005e100001", "disk", 60.0)], schemas.LIMITS_SCHEMA)
 
 
 def test_ingest_equals_batch(spark, tmp_path):
