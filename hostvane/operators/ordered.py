@@ -56,7 +56,7 @@ def slice_width(df: DataFrame, keys: Sequence[str], ts: str, target_rows: int =
 
 def _timed(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Only rows that take part in the order, so a summary reads few columns and NULLs are filtered at the scan."""
-    return df.where(_complete([*keys, ts])).withColumn(_MICROS, micros(df, ts))
+    return df.where(complete([*keys, ts])).withColumn(_MICROS, micros(df, ts))
 
 
 def _detail_slices(df: DataFrame, keys: list[str], order: list[str], width: Column) -> DataFrame:
@@ -70,7 +70,8 @@ def _summary_slices(df: DataFrame, keys: list[str], order: list[str], width: Col
     return _timed(df, keys, order[0]).withColumn(_SLICE, F.floor(F.col(_MICROS) / width))
 
 
-def _complete(columns: Sequence[str]) -> Column:
+def complete(columns: Sequence[str]) -> Column:
+    """True where none of the columns is NULL, in a form that reaches the scan."""
     condition = F.lit(True)
     for name in columns:
         condition = condition & F.col(name).isNotNull()
@@ -109,7 +110,7 @@ def with_previous(
     ).where(F.col(_CARRY).isNotNull())
 
     joined = detail.join(borders, [*keys, _SLICE], "left")
-    previous = F.when(_complete([*keys, order[0]]), F.coalesce(F.col(_PREV), F.col(_CARRY)))
+    previous = F.when(complete([*keys, order[0]]), F.coalesce(F.col(_PREV), F.col(_CARRY)))
     attached = {name: F.col(f"{_PREV}.{name}") for name in take}
     if elapsed:
         attached[elapsed] = (F.col(_MICROS) - F.col(f"{_PREV}.{_MICROS}")) / 1e6
@@ -150,7 +151,7 @@ def with_running_counts(
     offsets = totals.select(*keys, _SLICE, *[F.sum(name).over(before).alias(f"__before_{name}") for name in ones])
 
     joined = detail.join(offsets, [*keys, _SLICE], "left")
-    known = _complete([*keys, order[0]])
+    known = complete([*keys, order[0]])
     return joined.select(
         *df.columns,
         *[

@@ -206,7 +206,7 @@ def hung_processes(
     process or a time are in no sequence. Within a run of idle instants, row number minus idle count is constant,
     which makes a run a plain group.
     """
-    rows = rows.dropna(subset=[*keys, ts])
+    rows = rows.where(ordered.complete([*keys, ts]))
     width = ordered.slice_width(rows, keys, ts)
     instants = rows.groupBy(*keys, ts).agg(F.bool_and(F.coalesce(idle, F.lit(False))).alias("__idle"))
     counts = {"__n": F.lit(True), "__idle_n": F.col("__idle")}

@@ -15,7 +15,8 @@ def get_session(app_name: str = "hostvane", master: str | None = None, **conf: s
 
     Naive wall-clock timestamps are read as UTC. Joins carry no broadcast hints: the planner broadcasts a
     dimension only when its size is below ``autoBroadcastJoinThreshold`` and otherwise sort-merges, with
-    AQE splitting hot partitions. Shuffle partitions start high and AQE coalesces them.
+    AQE splitting hot partitions. Agents upload files of 60 rows, so opening a file is priced low and one task reads
+    hundreds of them. Stream state goes to RocksDB, outside the Java heap.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -26,6 +27,10 @@ def get_session(app_name: str = "hostvane", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.openCostInBytes": str(256 * 1024),
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

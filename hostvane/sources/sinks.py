@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from hostvane.functions import scalars
 
+DAY_KEYS = ("ano", "mes", "dia")
+
 
 def append_csv(df: DataFrame, path: str) -> None:
     """Add to a folder of CSV files; every part carries the header and quotes are doubled."""
@@ -32,11 +34,10 @@ def write_by_day(
     partitions and merges small ones. Sorted files let readers skip row groups by machine.
     """
     keyed = with_date_keys(df, ts)
-    days = ["ano", "mes", "dia"]
     (
-        keyed.hint("rebalance", *days)
-        .sortWithinPartitions(*days, *cluster, ts)
+        keyed.hint("rebalance", *DAY_KEYS)
+        .sortWithinPartitions(*DAY_KEYS, *cluster, ts)
         .write.mode(mode)
-        .partitionBy(*days)
+        .partitionBy(*DAY_KEYS)
         .parquet(path)
     )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hostvane.operators import ordered, series
 from hostvane.plans import treatment
-from hostvane.sources import landing
+from hostvane.sources import landing, sinks
 
 DEFAULT_DELAY = "10 minutes"
 
@@ -63,9 +63,13 @@ def minute_series(
     )
 
 
-def write_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def write_files(
+    stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, partition_by: Sequence[str] = ()
+) -> StreamingQuery:
     """Append to parquet. ``available_now`` works off what is there and stops; otherwise the stream keeps running."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start(path)
@@ -100,10 +104,14 @@ def ingest(
     delay: str = DEFAULT_DELAY,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Landing files to treated samples: read, bring to the canonical model, drop re-uploaded rows, classify, write."""
+    """Landing files to treated samples: read, bring to the canonical model, drop re-uploaded rows, classify, write.
+
+    The output is partitioned by day like the batch sink's. ``files_per_trigger`` is the flush size: how many uploads
+    make up a batch.
+    """
     samples = landing.canonical_agent(landing.stream_agent_csv(spark, landing_path, files_per_trigger))
     treated = treatment.treat(drop_repeats(samples, delay=delay), limits)
-    return write_files(treated, out, checkpoint, available_now)
+    return write_files(sinks.with_date_keys(treated), out, checkpoint, available_now, sinks.DAY_KEYS)
 
 
 def write_counter_rates(

@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -32,7 +33,9 @@ def spark():
 def one(spark):
     """Evaluate a column on a single row of named values."""
 
-    def evaluate(column, schema="x int", *values):
-        return spark.createDataFrame([values or (None,)], schema).select(column.alias("out")).first()["out"]
+    def evaluate(column, schema, *values):
+        fields = [field.split() for field in schema.split(",")]
+        row = spark.range(1).select(*[F.lit(v).cast(dtype).alias(n) for v, (n, dtype) in zip(values, fields)])
+        return row.select(column.alias("out")).first()["out"]
 
     return evaluate

@@ -8,7 +8,7 @@ import files
 from hostvane import schemas, work_dir
 from hostvane.operators import series
 from hostvane.plans import treatment
-from hostvane.sources import landing
+from hostvane.sources import landing, sinks
 from hostvane.streaming import pipeline
 
 
@@ -23,7 +23,8 @@ def test_ingest_equals_batch(spark, tmp_path):
         spark, landing.day_path(root, 2026, 4, 16), limits(spark), f"{out}/data", f"{out}/check", files_per_trigger=1
     )
     query.awaitTermination()
-    streamed = spark.read.parquet(f"{out}/data")
+    assert (tmp_path / "out" / "data" / "ano=2026" / "mes=04" / "dia=16").is_dir()
+    streamed = spark.read.parquet(f"{out}/data").drop(*sinks.DAY_KEYS)
     batch = treatment.treat(
         series.drop_repeats(landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2026, 4, 16)))),
         limits(spark),
