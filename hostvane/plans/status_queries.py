@@ -162,3 +162,21 @@ def treated_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treatment.status_counts(treated_hosts(spark, sf_dir))
+
+
+def _light(value: str) -> str:
+    return f"CASE WHEN {value} >= 80 THEN 'RED' WHEN {value} >= 60 THEN 'YELLOW' ELSE 'GREEN' END"
+
+
+def _text(value: str) -> str:
+    return f"round({value}::DECIMAL(18, 2), 1)::DECIMAL(18, 1)::VARCHAR"
+
+
+@query(
+    f"""{HOST} SELECT machine, ts, sample_id, {_text('cpu_pct')} AS cpu_text, {_text('ram_used_pct')} AS ram_text,
+    {_text('disk_used_pct')} AS disk_text, {_light('cpu_pct')} AS cpu_severity, {_light('ram_used_pct')} AS ram_severity,
+    {_light('disk_used_pct')} AS disk_severity, freq_cur_mhz, mem_free_bytes // 1073741824 AS mem_free_gib, ping_ms
+    FROM host QUALIFY row_number() OVER (PARTITION BY machine ORDER BY ts DESC, sample_id DESC) = 1"""
+)
+def machine_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treatment.machine_overview(views.hosts(spark, sf_dir), order=["ts", "sample_id"])

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostvane import schemas
-from hostvane.functions import status
+from hostvane.functions import scalars, status
+from hostvane.operators import ordered
 from hostvane.sources import relational
 
 #: Columns the rules read, by the name they have in a canonical sample.
@@ -92,13 +93,38 @@ def treat(
 
 
 def treat_agent(samples: DataFrame, limits: DataFrame, wording: bool = True) -> DataFrame:
-    """Agent samples to the 32-column treated layout: 26 agent columns in file order, then the labels."""
-    keyed = limits.withColumnRenamed("machine", "endereco_mac")
-    treated = treat(samples, keyed, AGENT, "endereco_mac", wording)
+    """Agent samples to the 32-column treated layout: 26 agent columns in file order, then the labels.
+
+    Limits may name a machine by its MAC address, with or without colons.
+    """
+    keyed = limits.withColumn("machine", scalars.machine_id(F.col("machine")))
+    identified = samples.withColumn("machine", scalars.machine_id(F.col("endereco_mac")))
+    treated = treat(identified, keyed, AGENT, wording=wording)
     return treated.select(*[name for name, _ in schemas.AGENT_COLUMNS], *schemas.STATUS_COLUMNS)
 
 
-def status_counts(treated: DataFrame, keys: Sequence[str] = ("machine",), statuses: Sequence[str] | None = None) -> DataFrame:
+def machine_overview(
+    samples: DataFrame, keys: Sequence[str] = ("machine",), order: Sequence[str] = ("ts",)
+) -> DataFrame:
+    """The latest canonical sample of every machine as an operator sees it: percentages as text with one decimal and a
+    traffic light each, free memory in whole GiB, and ping."""
+    percentages = {"cpu": "cpu_pct", "ram": "ram_used_pct", "disk": "disk_used_pct"}
+    needed = [*keys, *order, *percentages.values(), "freq_cur_mhz", "mem_free_bytes", "ping_ms"]
+    latest = ordered.last_row(samples.select(*needed), keys, order)
+    return latest.select(
+        *keys,
+        *order,
+        *[scalars.fixed_text(F.col(column)).alias(f"{name}_text") for name, column in percentages.items()],
+        *[status.severity(F.col(column)).alias(f"{name}_severity") for name, column in percentages.items()],
+        "freq_cur_mhz",
+        scalars.whole_gib(F.col("mem_free_bytes")).alias("mem_free_gib"),
+        "ping_ms",
+    )
+
+
+def status_counts(
+    treated: DataFrame, keys: Sequence[str] = ("machine",), statuses: Sequence[str] | None = None
+) -> DataFrame:
     """Samples per machine, component and status, as rows.
 
     Conditional counts take a single pass and one row per machine through the shuffle; only that small result

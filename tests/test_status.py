@@ -108,7 +108,7 @@ def agent_row(**changes):
 
 def limits(spark):
     machine = "aa:bb:cc:dd:ee:ff"
-    rows = [(machine, "cpu", 85.0), (machine, "ram", 80.0), (machine, "disk", 90.0), (machine, "disk", 80.0)]
+    rows = [(machine, "cpu", 85.0), ("aabbccddeeff", "ram", 80.0), (machine, "disk", 90.0), (machine, "disk", 80.0)]
     return spark.createDataFrame(rows, schemas.LIMITS_SCHEMA)
 
 
