@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+from hostvane.plans import registry
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,14 +18,14 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
-    problem = compare(spark, duck, SF_DIR, name, registered.queries()[name], registered.oracle_sql().get(name))
+    problem = compare(spark, duck, SF_DIR, name, registered.queries()[name], registered.oracle_sql()[name])
     assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(registry.ORACLES) == set(registry.QUERIES) <= set(registered.queries())
 
 
 def test_entry(spark):
