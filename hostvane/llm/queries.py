@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostvane.llm import packing, token_counts
+from hostvane.llm import licenses, packing, simhash, token_counts
 from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
 
+@query()
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
