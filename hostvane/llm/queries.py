@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostvane.llm import licenses, packing, simhash, token_counts
+from hostvane.llm import decontaminate, langid, licenses, lines, packing, simhash, token_counts
 from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
@@ -19,6 +19,23 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+@query()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduplicated = lines.line_dedup(table(spark, sf_dir, "documents"))
+    return deduplicated.select("doc_id", "text", "removed_chunks", "removed_chars")
+
+
 @query()
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))

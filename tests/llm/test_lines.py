@@ -1,0 +1,88 @@
+"""Chunks of lines against brute force over all documents."""
+
+import random
+
+import pytest
+
+from hostvane.llm import lines
+
+COLUMNS = "doc_id long, text string, removed_chunks string, position string, hash string"
+
+
+def brute_force(rows):
+    """{(doc_id, text): (text without repeated chunks, number removed)} for (doc_id, text)."""
+    seen, out = set(), {}
+    for key, text in sorted({row for row in rows if row[1] is not None}):
+        kept, removed = [], 0
+        for chunk in lines.chunks(text):
+            if lines.removable(chunk):
+                if chunk in seen:
+                    removed += 1
+                    continue
+                seen.add(chunk)
+            kept.append(chunk)
+        out[key, text] = ("\n".join(kept), removed)
+    return out
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    line = lambda n=6: " ".join(rng.choice("abcdefgh") * rng.randint(1, 5) for _ in range(rng.randint(1, n)))
+    passages = [[line() for _ in range(rng.randint(2, 9))] for _ in range(6)] + [[line(3) + " word" * 55]]
+    docs = []
+    for _ in range(120):
+        body = [line() for _ in range(rng.randint(0, 12))]
+        if rng.random() < 0.5:
+            at = rng.randint(0, len(body))
+            body[at:at] = rng.choice(passages)
+        if rng.random() < 0.2:
+            body += rng.choice([["", ""], [" "], body])
+        docs.append("\n".join(body))
+    return docs + docs[:10] + ["", "\n", "\n\n\n", "one line only", "x\ny\n" * 20_000]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chunks_rebuild_the_text(seed):
+    for text in corpus(seed):
+        assert "\n".join(lines.chunks(text)) == text
+
+
+def test_boundaries_resist_shifts():
+    rng = random.Random(9)
+    passage = [f"line {rng.random()}" for _ in range(40)]
+    alone = lines.chunks("\n".join(passage))
+    for before in range(1, 12):
+        shifted = lines.chunks("\n".join([f"other {rng.random()}" for _ in range(before)] + passage + ["after"]))
+        assert len(set(alone) & set(shifted)) >= len(alone) - 4
+
+
+def test_long_lines_stand_alone():
+    long = "word " * 60
+    assert lines.chunks(f"a\n{long}\nb\nc").count(long) == 1
+    assert lines.removable(long) and not lines.removable("a short line") and not lines.removable("\n\nx\n")
+
+
+def test_line_dedup_against_brute_force(spark):
+    texts = corpus()
+    rows = [(k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([(k, t, "x", "y", "z") for k, t in rows], COLUMNS).repartition(7)
+    got = lines.line_dedup(docs)
+    assert got.columns == ["doc_id", "text", "removed_chunks", "position", "hash", "removed_chars"]
+    want = brute_force(rows)
+    result = {r.doc_id: (r.text, r.removed_chunks) for r in got.collect()}
+    assert result == {k: want[k, t] for k, t in rows}
+    assert sum(n > 0 for _, n in result.values()) > 20
+
+
+def test_odd_rows(spark):
+    text = "first line here\nsecond line\n" * 3 + "word " * 60
+    rows = [(None, text), (2, text), (2, text), (None, None), (3, None), (4, "")]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in rows], COLUMNS)
+    got = lines.line_dedup(docs).collect()
+    assert len(got) == len(rows)
+    first = {r.text for r in got if r.doc_id == 2}
+    assert len(first) == 1 and "word word" in first.pop()
+    assert [r.text for r in got if r.doc_id in (3, 4)] == [None, ""]
+    other = next(r for r in got if r.doc_id is None and r.text is not None)
+    assert "word word" not in other.text and other.removed_chunks > 0
+    assert lines.line_dedup(docs.limit(0)).collect() == []
