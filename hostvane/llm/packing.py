@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostvane.llm.shared import small_batches, stored, texts
-from hostvane.llm.tokens import DEFAULT_FILE, PieceIds
+from hostvane.llm.tokens import DEFAULT_FILE, piece_ids
 
 WINDOW = 2048
 END_ID = 1
@@ -104,7 +104,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, name: str = DEFAULT_FILE
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = PieceIds(name), np.array([END_ID], dtype="<u4").tobytes()
+        known, end = piece_ids(name), np.array([END_ID], dtype="<u4").tobytes()
         for batch in small_batches(batches):
             out = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), known.of(texts(batch)), strict=True):

@@ -17,7 +17,7 @@ import numpy as np
 
 DEFAULT_FILE = "byte_bpe_50k.json"
 #: Pieces that a worker keeps; the ids do not depend on it.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
 LONGEST_KEPT = 64
 
 _CUT = re.compile(r" (?=\S)")
@@ -111,6 +111,12 @@ class _Kept:
         return out
 
 
+@functools.cache
+def piece_ids(name: str = DEFAULT_FILE) -> PieceIds:
+    """The worker's own, kept from task to task."""
+    return PieceIds(name)
+
+
 class PieceIds(_Kept):
     """Ids as bytes, little-endian unsigned 32-bit."""
 
