@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostvane.llm import decontaminate, langid, licenses, lines, packing, simhash, token_counts, topk, warc
+import corpus_pipeline
+from hostvane.llm import decontaminate, langid, licenses, lines, packed_output, packing, simhash, token_counts, topk, warc
 from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
@@ -42,16 +43,22 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_packed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as matrices, and every piece read back from them."""
+    return packed_output.packed_pieces(packed_output.write_packed(table(spark, sf_dir, "documents")))
+
+
 @query(
     """
     WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
     hashed AS (SELECT page_id, octet_length(encode(payload)) AS size, sha1(payload) AS hex,
                       min(page_id) OVER (PARTITION BY payload) AS first FROM page),
     -- base 32: five hexadecimal digits are four digits of five bits
-    quarter AS (SELECT *, list_transform(range(0, 8), g -> ('0x' || substr(hex, g::INT * 5 + 1, 5))::BIGINT) AS parts
+    quarter AS (SELECT *, list_transform(range(0, 8), lambda g: ('0x' || substr(hex, g::INT * 5 + 1, 5))::BIGINT) AS parts
                 FROM hashed)
     SELECT page_id, size::BIGINT AS payload_bytes,
-           array_to_string(list_transform(range(0, 32), d -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           array_to_string(list_transform(range(0, 32), lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
              ((parts[d // 4 + 1] >> (15 - 5 * (d % 4))) & 31)::INT + 1, 1)), '') AS payload_digest,
            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
@@ -67,9 +74,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH v AS (
-      SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     ),
     scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
                FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
@@ -84,3 +91,8 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
