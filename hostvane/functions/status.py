@@ -27,10 +27,7 @@ PING_TEXT = {
     "ALTA": "Latêcia alta (Critico)",
 }
 DEGRADATION_TEXT = {
-    "DEGRADADA": (
-        "Possivel degradação da CPU devido a temperatura muito elevada "
-        "(Baixa freqência de mhz e alto percentual de uso)"
-    ),
+    "DEGRADADA": "Possivel degradação da CPU devido a temperatura muito elevada (Baixa freqência de mhz e alto percentual de uso)",  # noqa: E501
     "SEM_INDICIOS": "Sem indicios de degradação na CPU",
 }
 

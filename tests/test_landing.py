@@ -20,35 +20,35 @@ def test_mixed_versions_in_one_file(spark, tmp_path):
     path.write_text(files.text(files.mixed_rows(), files.HEADER))
     samples = landing.read_agent_csv(spark, str(path))
     rows = samples.orderBy("data_hora_iso").collect()
-    assert len(rows) == 41
+    assert len(rows) == 27
     assert all(r["data_hora_iso"] is not None for r in rows)
-    assert [r["qtd_processos"] for r in rows] == [None] * 32 + [0] * 3 + [1] * 6
+    assert [r["qtd_processos"] for r in rows] == [None] * 20 + [0] * 2 + [1] * 5
     assert rows[0]["data_hora_iso"] == files.START
-    assert rows[5]["percentual_uso_cpu"] == 5.0 and rows[5]["memoria_total_bytes"] == 17179869184
+    assert rows[5]["percentual_uso_cpu"] == 5.0 and rows[5]["memoria_total_bytes"] == 34359738368
 
 
 def test_process_lists_survive_quoting(spark, root):
-    samples = landing.read_agent_csv(spark, landing.day_path(root, 2026, 4, 16))
+    samples = landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7))
     lists = samples.select(process_text.parse_agent_list(F.col("processos")).alias("p"))
     rows = processes.explode_list(lists, "p", []).collect()
-    assert {r["exe"] for r in rows} == {"C:\\VS Code\\Code.exe"}
-    assert {r["memory_info"]["rss"] for r in rows} == {700000000}
-    assert len({r["pid"] for r in rows}) == 6
+    assert {r["exe"] for r in rows} == {"D:\\Tools (old)\\vela.exe"}
+    assert {r["memory_info"]["rss"] for r in rows} == {410000000}
+    assert len({r["pid"] for r in rows}) == 5
 
 
 def test_headerless_and_overlapping_files(spark, root):
-    samples = landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2026, 4, 16)))
-    assert samples.count() == 53
+    samples = landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7)))
+    assert samples.count() == 36
     once = series.drop_repeats(samples)
-    assert once.count() == 41
-    assert once.agg(F.min("machine")).first()[0] == "02005e100001"
+    assert once.count() == 27
+    assert once.agg(F.min("machine")).first()[0] == files.MACHINE
 
 
 def test_pruned_reading_keeps_the_versions_apart(spark, root):
     """Reading two columns must still tell 26 from 27 fields."""
-    samples = landing.read_agent_csv(spark, landing.day_path(root, 2026, 4, 16))
+    samples = landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7))
     assert samples.select("data_hora_iso").where("data_hora_iso is null").count() == 0
-    assert samples.where("qtd_processos = 1").count() == 12
+    assert samples.where("qtd_processos = 1").count() == 10
 
 
 def test_bad_cells_become_null(spark, tmp_path):
@@ -57,16 +57,16 @@ def test_bad_cells_become_null(spark, tmp_path):
     (tmp_path / "a.csv").write_text(files.text([row]))
     [read] = landing.read_agent_csv(spark, str(tmp_path)).collect()
     assert read["percentual_uso_cpu"] is None and read["memoria_total_bytes"] is None
-    assert read["nome_usuario"] == "ana"
+    assert read["nome_usuario"] == "bruno"
 
 
 def test_object_names(spark, root):
-    files_read = landing.with_object_name(spark.read.text(landing.day_path(root, 2026, 4, 16)))
+    files_read = landing.with_object_name(spark.read.text(landing.day_path(root, 2031, 2, 7)))
     rows = files_read.groupBy("ano", "mes", "dia", "upload_ts", "id_maquina").count().orderBy("upload_ts").collect()
     assert [tuple(r) for r in rows] == [
-        ("2026", "04", "16", datetime(2026, 4, 16, 19, 44), "02005e100001", 33),
-        ("2026", "04", "16", datetime(2026, 4, 16, 19, 45), "02005e100001", 9),
-        ("2026", "04", "16", datetime(2026, 4, 16, 19, 46), "02005e100001", 12),
+        ("2031", "02", "07", datetime(2031, 2, 7, 6, 12), files.MACHINE, 21),
+        ("2031", "02", "07", datetime(2031, 2, 7, 6, 13), files.MACHINE, 7),
+        ("2031", "02", "07", datetime(2031, 2, 7, 6, 14), files.MACHINE, 9),
     ]
 
 
@@ -104,10 +104,10 @@ def test_variant_file(spark, tmp_path):
 
 def test_treated_file(spark, tmp_path):
     text = "cpu,disco,datahora,ram_percentual,status_ram,status_cpu,status_disco,periodo\n"
-    text += "20.5,50.5,2026-04-14 11:30:00.654321,50.25,MODERADO,BAIXO,ATENCAO,MANHA\n"
+    text += "63.25,17.5,2031-02-07 15:10:20.125000,33.75,ALTO,BAIXO,NORMAL,TARDE\n"
     (tmp_path / "t.csv").write_text(text)
     [row] = landing.read_treated_csv(spark, str(tmp_path / "t.csv")).collect()
-    assert row["datahora"] == datetime(2026, 4, 14, 11, 30, 0, 654321) and row["periodo"] == "MANHA"
+    assert row["datahora"] == datetime(2031, 2, 7, 15, 10, 20, 125000) and row["periodo"] == "TARDE"
 
 
 def test_append_and_overwrite(spark, tmp_path):

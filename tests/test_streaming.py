@@ -13,23 +13,23 @@ from hostvane.streaming import pipeline
 
 
 def limits(spark):
-    return spark.createDataFrame([("02005e100001", "cpu", 20.0), ("02005e100001", "disk", 60.0)], schemas.LIMITS_SCHEMA)
+    return spark.createDataFrame([(files.MACHINE, "cpu", 20.0), (files.MACHINE, "disk", 60.0)], schemas.LIMITS_SCHEMA)
 
 
 def test_ingest_equals_batch(spark, tmp_path):
     root = files.write_landing(tmp_path)
     out = str(tmp_path / "out")
     query = pipeline.ingest(
-        spark, landing.day_path(root, 2026, 4, 16), limits(spark), f"{out}/data", f"{out}/check", files_per_trigger=1
+        spark, landing.day_path(root, 2031, 2, 7), limits(spark), f"{out}/data", f"{out}/check", files_per_trigger=1
     )
     query.awaitTermination()
-    assert (tmp_path / "out" / "data" / "ano=2026" / "mes=04" / "dia=16").is_dir()
+    assert (tmp_path / "out" / "data" / "ano=2031" / "mes=02" / "dia=07").is_dir()
     streamed = spark.read.parquet(f"{out}/data").drop(*sinks.DAY_KEYS)
     batch = treatment.treat(
-        series.drop_repeats(landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2026, 4, 16)))),
+        series.drop_repeats(landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7)))),
         limits(spark),
     ).select(*streamed.columns)
-    assert streamed.count() == 41
+    assert streamed.count() == 27
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert {r[0] for r in streamed.select("status_cpu").distinct().collect()} == {"NORMAL", "ATENCAO", "CRITICO"}
 
