@@ -124,14 +124,27 @@ def number_text(value: Column) -> Column:
 
 
 def fixed_text(value: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f", value)
+    """Text with a fixed number of decimals; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
 
 
-def exact_sum(value: Column, scale: int = 6) -> Column:
-    """Sum that does not depend on the order of partitions or on task retries; result is double."""
-    return F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
+def exact_sum(value: Column) -> Column:
+    """Sum as double that does not depend on the order of partitions or on task retries.
 
-
-def exact_avg(value: Column, scale: int = 6) -> Column:
+    Values below 1e16 are added up as decimals with twelve places and those below 1e28 as whole numbers, both exactly.
+    What twelve places leave over, and larger, infinite and NaN values, are added as doubles. No values: NULL.
+    """
+    value = value.cast("double")
+    size = F.abs(value)
+    near = F.when(size < 1e16, value.cast("decimal(28,12)"))
+    far = F.when((size >= 1e16) & (size < 1e28), value.cast("decimal(38,0)"))
+    rest = F.when(size < 1e-3, value - near.cast("double")).when(~(size < 1e28), value)
+    total = F.lit(0.0)
+    for part in (near, far, rest):
+        total = total + F.coalesce(F.sum(part).cast("double"), F.lit(0.0))
+    return F.when(F.count(value) > 0, total)
+
+
+def exact_avg(value: Column) -> Column:
     """Mean from an exact sum; an empty group is NULL."""
-    return F.try_divide(exact_sum(value, scale), F.count(value))
+    return F.try_divide(exact_sum(value), F.count(value))

@@ -161,6 +161,32 @@ def with_running_counts(
     )
 
 
+def with_last_known(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, width: Column | None = None
+) -> DataFrame:
+    """Attach the last value of a column that is not NULL, up to and including this row, of the same key.
+
+    ``order`` starts with the timestamp. Rows without key or time get NULL.
+    """
+    keys, order = list(keys), list(order)
+    width = slice_width(df, keys, order[0]) if width is None else width
+    so_far = Window.unboundedPreceding, Window.currentRow
+    within = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*so_far)
+    detail = _detail_slices(df, keys, order, width).withColumn(_PREV, F.last(value, ignorenulls=True).over(within))
+
+    known = _summary_slices(df.where(F.col(value).isNotNull()), keys, order, width)
+    position = order[0] if len(order) == 1 else F.struct(*order)
+    last = known.groupBy(*keys, _SLICE).agg(F.max_by(value, position).alias("__last"))
+    # every slice takes over from the nearest earlier one that has a value
+    slices = _summary_slices(df, keys, order, width).select(*keys, _SLICE).distinct().join(last, [*keys, _SLICE], "left")
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.select(*keys, _SLICE, F.last("__last", ignorenulls=True).over(before).alias(_CARRY))
+
+    joined = detail.join(carried, [*keys, _SLICE], "left")
+    attached = F.when(complete([*keys, order[0]]), F.coalesce(F.col(_PREV), F.col(_CARRY)))
+    return joined.select(*df.columns, attached.alias(out))
+
+
 def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The latest row of each key, by aggregation: every task sends at most one row per key."""
     newest = F.max_by(F.struct(*df.columns), F.struct(*order))

@@ -17,7 +17,6 @@ HEAVY_RSS_SHARE = 0.05
 HOST_CPUS = 16
 BASELINE_BYTES = 12 * scalars.GIB
 RESERVED_BYTES = 2 * scalars.GIB
-SMALL_CATALOGUE = 2_000
 
 
 # Lists ---------------------------------------------------------------------------------------------------------
@@ -51,12 +50,19 @@ def heavy_in_list(processes: Column, cutoff: float = HEAVY_MEMORY_PCT) -> Column
 
 
 def list_totals(samples: DataFrame, processes: str) -> DataFrame:
-    """Totals and distinct names of each sample's own list. Row-local: no explode, no shuffle."""
+    """Totals and distinct names of each sample's own list, added up exactly as from rows. Row-local: no explode, no shuffle."""
     items = F.col(processes)
-    exact = "decimal(28,6)"
 
     def add_cpu(total: Column, p: Column) -> Column:
-        return (total + F.coalesce(p["cpu_percent"].cast(exact), F.lit(0))).cast(exact)
+        value = F.coalesce(p["cpu_percent"].cast("double"), F.lit(0.0))
+        near = F.abs(value) < 1e16
+        exact = F.when(near, value.cast("decimal(28,12)")).otherwise(F.lit(0))
+        return F.struct(
+            (total["exact"] + exact).cast("decimal(38,12)").alias("exact"),
+            (total["rest"] + F.when(near, 0.0).otherwise(value)).alias("rest"),
+        )
+
+    none = F.struct(F.lit(0).cast("decimal(38,12)").alias("exact"), F.lit(0.0).alias("rest"))
 
     def add_rss(total: Column, p: Column) -> Column:
         return total + F.coalesce(p["memory_info"]["rss"], F.lit(0))
@@ -64,43 +70,23 @@ def list_totals(samples: DataFrame, processes: str) -> DataFrame:
     return samples.withColumns(
         {
             "n_processes": F.when(items.isNotNull(), F.size(items)),
-            "sum_cpu": F.aggregate(items, F.lit(0).cast(exact), add_cpu).cast("double"),
+            "sum_cpu": F.aggregate(items, none, add_cpu, lambda t: t["exact"].cast("double") + t["rest"]),
             "sum_rss": F.aggregate(items, F.lit(0).cast("bigint"), add_rss),
             "active_names": F.array_sort(F.array_distinct(F.transform(items, lambda p: p["name"]))),
         }
     )
 
 
-def build_lists(
-    rows: DataFrame, keys: Sequence[str], fields: Sequence[str], sort: Sequence[str], max_records: int = 10_000
-) -> DataFrame:
-    """Collect process rows into sorted lists, one per sample.
+def build_lists(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], sort: Sequence[str]) -> DataFrame:
+    """Collect process rows into sorted lists, one per sample, however many rows a sample has.
 
-    A cell cannot grow without bound, so a sample with more than ``max_records`` rows is spread by hash over several
-    rows (``part`` 0, 1, ...); every other sample has the single part 0. Only the oversized samples, at most
-    rows / ``max_records`` of them, are joined back. The shuffle by (sample, part) is spelled out so that AQE may
-    split a hot sample in that join.
+    A list is one cell, as in the files, so a sample has to fit into a row; what grows with the data is the number of
+    samples. Rows are the form for everything else.
     """
     record = F.struct(*[F.col(f) for f in [*sort, *[f for f in fields if f not in sort]]])
-    oversized = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_records)
-        .select(*keys, F.ceil(F.col("__n") * 2 / max_records).alias("__parts"))
-    )
-    part = F.pmod(F.xxhash64(*fields), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
-    return (
-        rows.join(oversized, list(keys), "left")
-        .select(*keys, part.alias("part"), record.alias("__record"))
-        .repartition(*keys, "part")
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("__record")).alias("__list"))
-        .select(
-            *keys,
-            "part",
-            F.transform("__list", lambda p: F.struct(*[p[f].alias(f) for f in fields])).alias("processes"),
-        )
-    )
+    listed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(record)).alias("__list"))
+    ordered_fields = F.transform("__list", lambda p: F.struct(*[p[f].alias(f) for f in fields]))
+    return listed.select(*keys, ordered_fields.alias("processes"))
 
 
 # Rows ----------------------------------------------------------------------------------------------------------
@@ -188,9 +174,9 @@ def lifetimes(rows: DataFrame, keys: Sequence[str] = ("machine", "pid", "name"),
 def restarts(
     rows: DataFrame, keys: Sequence[str] = ("machine", "name"), pid: str = "pid", approximate: bool = False
 ) -> DataFrame:
-    """Starts after the first one: process ids are never reused, so each further id is a restart."""
+    """Starts after the first one: process ids are never reused, so each further id is a restart. No ids: 0."""
     ids = F.approx_count_distinct(pid) if approximate else F.count_distinct(F.col(pid))
-    return rows.groupBy(*keys).agg((ids - 1).alias("restarts"))
+    return rows.groupBy(*keys).agg(F.greatest(ids - 1, F.lit(0).cast("bigint")).alias("restarts"))
 
 
 def hung_processes(
@@ -232,13 +218,14 @@ def cap_to_target(
     on: Sequence[str],
     order: Sequence[Column],
     target: Column,
-    most: int = calendar.SERVICE_COUNT,
 ) -> DataFrame:
     """Keep each sample's first processes up to its target; pass a descending order to drop the oldest instead.
 
-    ``most`` is the greatest value ``target`` can take. ``hosts`` supplies the columns the target needs and is
-    joined after the cut, when every sample is small.
+    ``hosts`` supplies the columns the target needs. The greatest target is read from them first, so that every task
+    cuts its part of a sample to that many rows before the shuffle; the sample's own target is applied after it.
     """
+    targets = hosts.select(*on, target.alias("__target"))
+    most = targets.agg(F.max("__target")).first()[0] or 0
     kept = first_per_sample(rows, on, order, most)
     return kept.join(hosts, list(on)).where(F.col("rank") <= target)
 
@@ -271,80 +258,53 @@ def unknown_services(rows: DataFrame, profiles: DataFrame, on: Sequence[str] = (
 
 
 def missing_services(
-    active: DataFrame, profiles: DataFrame, keys: Sequence[str], name: str = "name", small: int = SMALL_CATALOGUE
+    hosts: DataFrame, active: DataFrame, profiles: DataFrame, keys: Sequence[str], name: str = "name"
 ) -> DataFrame:
-    """Profile names that are not active in a sample, for every sample that has at least one row in ``active``.
+    """Profile names that are not active in a sample, for every sample of ``hosts``, also those without any process.
 
-    A catalogue of up to ``small`` names (its size is checked) travels as one array, so the work is one grouping
-    of the active names. A larger one is expanded per sample and anti-joined. Either way the result has one row per
-    sample and absent name, which is what was asked for; ``services_to_start`` returns the bounded part of it.
+    The catalogue travels as one array value of the plan. Only its names are grouped per sample, so a sample's set is
+    no longer than the catalogue; the result has one row per sample and absent name, which is what was asked for.
+    ``service_gap`` gives the count, ``services_to_start`` the part that matters next. NULL keys match NULL keys.
     """
-    catalogue = profiles.select(name).distinct()
-    if not _is_small(catalogue, small):
-        return _absent_by_join(active.select(*keys).distinct(), active, catalogue, keys, name)
-    running = _running_known(active, catalogue, keys, name)
-    everything = catalogue.select(F.array_sort(F.collect_list(name))).scalar()
-    return running.select(*keys, F.explode(F.array_except(everything, F.col("__running"))).alias(name))
+    everything = profiles.select(name).distinct().select(F.array_sort(F.collect_list(name))).scalar()
+    absent = F.array_except(everything, F.coalesce("__running", F.array().cast("array<string>")))
+    with_running = _with_running(hosts.select(*keys), active, profiles, keys, name)
+    return with_running.select(*keys, F.explode(absent).alias(name))
 
 
 def services_to_start(
-    gaps: DataFrame,
-    active: DataFrame,
-    profiles: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    name: str = "name",
-    most: int = calendar.SERVICE_COUNT,
+    gaps: DataFrame, active: DataFrame, profiles: DataFrame, keys: Sequence[str], position: str, name: str = "name"
 ) -> DataFrame:
-    """The first ``gap`` absent services of each sample in catalogue order: what would be started next.
-
-    ``most`` is the greatest target. Of the first ``most`` services at most ``active`` run, so at least
-    ``target - active``, which is the gap, are absent: the rest of the catalogue is never needed, however long.
-    """
+    """The first ``gap`` absent services of each sample in catalogue order: what would be started next."""
     order = F.struct(F.min(position).alias("position"), F.col(name).alias("name"))
-    first = profiles.groupBy(name).agg(order.alias("__entry")).orderBy("__entry").limit(most)
-    running = _running_known(active, first.select(name), keys, name)
-    everything = first.select(F.array_sort(F.collect_list("__entry"))["name"]).scalar()
-    short = gaps.where(F.col("gap") > 0).select(*keys, "gap")
-    absent = F.array_except(everything, F.coalesce(F.col("__running"), F.array().cast("array<string>")))
-    return short.join(running, list(keys), "left").select(
-        *keys, F.explode(F.slice(absent, F.lit(1), F.col("gap"))).alias(name)
-    )
-
-
-def _is_small(catalogue: DataFrame, small: int) -> bool:
-    return catalogue.limit(small + 1).count() <= small
+    catalogue = profiles.where(F.col(name).isNotNull()).groupBy(name).agg(order.alias("__entry"))
+    everything = catalogue.select(F.array_sort(F.collect_list("__entry"))["name"]).scalar()
+    short = _with_running(gaps.where(F.col("gap") > 0).select(*keys, "gap"), active, profiles, keys, name)
+    absent = F.array_except(everything, F.coalesce("__running", F.array().cast("array<string>")))
+    return short.select(*keys, F.explode(F.slice(absent, F.lit(1), F.col("gap"))).alias(name))
 
 
-def _running_known(active: DataFrame, catalogue: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Catalogue names active in each sample, as an array no longer than the catalogue, whose size callers bound.
-
-    Other names become NULL, which a set skips, and each task reduces its part to a set before the shuffle.
-    """
-    known = active.select(*keys, name).join(F.broadcast(catalogue.withColumn("__known", F.lit(True))), [name], "left")
-    return known.groupBy(*keys).agg(F.collect_set(F.when(F.col("__known"), F.col(name))).alias("__running"))
-
-
-def _absent_by_join(
-    samples: DataFrame, active: DataFrame, catalogue: DataFrame, keys: Sequence[str], name: str, pieces: int = 2048
+def _with_running(
+    samples: DataFrame, active: DataFrame, profiles: DataFrame, keys: Sequence[str], name: str
 ) -> DataFrame:
-    """Expand every sample by the pieces of a large catalogue, then remove what is active."""
-    piece = F.pmod(F.xxhash64(name), F.lit(pieces))
-    lists = catalogue.groupBy(piece.alias("__piece")).agg(F.collect_list(name).alias("__names"))
-    spread = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint")))
-    expected = samples.select(*keys, spread.alias("__piece")).join(lists, "__piece")
-    return expected.select(*keys, F.explode("__names").alias(name)).join(
-        active.select(*keys, name).distinct(), [*keys, name], "left_anti"
-    )
+    """Add the set of catalogue names active in each sample (NULL: none); each task reduces its part first."""
+    known = active.select(*keys, name).join(profiles.select(name).distinct(), name, "left_semi")
+    running = known.groupBy(*keys).agg(F.collect_set(name).alias("__running"))
+    running = running.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__running")
+    same = F.lit(True)
+    for key in keys:
+        same = same & samples[key].eqNullSafe(running[f"__key_{key}"])
+    return samples.join(running, same, "left").drop(*[f"__key_{k}" for k in keys])
 
 
 # Arbitrary functions ---------------------------------------------------------------------------------------------
 
 
 def map_cells(df: DataFrame, column: str, function, out: str, dtype: str | T.DataType) -> DataFrame:
-    """Apply a Python function to every cell of a column, in Arrow batches. For what built-ins cannot express."""
+    """Apply a Python function from Series to Series to a column, in Arrow batches. For what built-ins cannot express."""
+
     @F.pandas_udf(dtype)
     def mapped(cells: pd.Series) -> pd.Series:
-        return cells.map(function)
+        return function(cells)
 
     return df.withColumn(out, mapped(F.col(column)))

@@ -49,20 +49,15 @@ def sample_and_hold(
     every: int = SAMPLE_HOLD_EVERY,
     width: Column | None = None,
 ) -> DataFrame:
-    """Measure on the first and then every ``every``-th sample of a machine; repeat the measurement in between.
+    """Measure on the first and then every ``every``-th sample of a machine; repeat the last measurement in between.
 
-    Samples that share a measurement share ``floor(n / every)``, and its first row is the measured one. Such a group
-    has at most ``every`` rows, so the second shuffle is even for any machine.
+    A measurement that is NULL is none: the one before it goes on.
     """
+    width = ordered.slice_width(samples, keys, order[0]) if width is None else width
     numbered = ordered.with_running_counts(samples, keys, order, {"n": F.lit(True)}, width)
-    shared = F.coalesce(F.floor(F.col("n") / every), -1 - F.pmod(F.xxhash64(*order), F.lit(4096)))
-    group = (
-        Window.partitionBy(*keys, "__hold")
-        .orderBy("n")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    held = F.when(F.col("n").isNotNull(), F.first(value).over(group))
-    return numbered.withColumn("__hold", shared).withColumn(out, held).drop("__hold")
+    due = (F.col("n") == 1) | (F.col("n") % every == 0)
+    measured = numbered.withColumn("__measured", F.when(due, F.col(value)))
+    return ordered.with_last_known(measured, keys, order, "__measured", out, width).drop("__measured")
 
 
 def running_counter(

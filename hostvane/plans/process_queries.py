@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -250,13 +251,16 @@ def profile_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{LINES}, samples AS (SELECT DISTINCT sample FROM lines)
-    SELECT sample, n_name AS service FROM samples, nation
-    WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE l.sample = samples.sample AND l.service = n_name)"""
+    f"""WITH {views.LINES_SQL}, {views.HEADERS_SQL} SELECT sample, n_name AS service FROM headers, nation
+    WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE l.sample = headers.sample AND l.service = n_name)"""
 )
 def missing_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processes.missing_services(
-        views.process_lines(spark, sf_dir), views.services(spark, sf_dir), ["sample"], "service"
+        views.sample_headers(spark, sf_dir),
+        views.process_lines(spark, sf_dir),
+        views.services(spark, sf_dir),
+        ["sample"],
+        "service",
     )
 
 
@@ -289,19 +293,21 @@ def unknown_services(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{PROC} SELECT machine, name, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS samples
-    FROM proc GROUP BY machine, name"""
+    f"""{PROC} SELECT machine, pid, name, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS samples
+    FROM proc GROUP BY machine, pid, name"""
 )
 def lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processes.lifetimes(views.process_rows(spark, sf_dir), ["machine", "name"])
+    return processes.lifetimes(views.process_rows(spark, sf_dir))
 
 
 @query(
-    f"{PROC} SELECT machine, service AS name, count(DISTINCT pid) - 1 AS restarts FROM proc GROUP BY machine, service"
+    f"""{PROC} SELECT machine, service AS name, greatest(count(DISTINCT CASE WHEN line < 4 THEN pid END) - 1, 0) AS restarts
+    FROM proc GROUP BY machine, service"""
 )
 def restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines from the fourth on have no process id, and some groups consist of such lines alone."""
     rows = views.process_rows(spark, sf_dir).drop("name").withColumnRenamed("service", "name")
-    return processes.restarts(rows)
+    return processes.restarts(rows.withColumn("pid", F.when(F.col("line") < 4, F.col("pid"))))
 
 
 @query(
@@ -334,7 +340,12 @@ def cap_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("sample", "pid", "name", "line", "rank")
 
 
-@query(f"{LINES} SELECT sample, pid, line, replace(name, 'P', 'svc-') AS label FROM lines")
+def _name_form(names: pd.Series) -> pd.Series:
+    """The decomposed Unicode form of a name, for which there is no built-in function."""
+    return ("é " + names).str.normalize("NFD")
+
+
+@query(f"{LINES} SELECT sample, pid, line, 'e' || chr(769) || ' ' || name AS label FROM lines")
 def map_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.process_lines(spark, sf_dir).select("sample", "pid", "line", "name")
-    return processes.map_cells(lines, "name", lambda name: "svc-" + name[1:], "label", "string").drop("name")
+    return processes.map_cells(lines, "name", _name_form, "label", "string").drop("name")

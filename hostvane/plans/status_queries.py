@@ -43,9 +43,9 @@ def limited_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treatment.attach_limits(samples, views.limits(spark, sf_dir), "machine_group")
 
 
-def treated_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def treated_hosts(spark: SparkSession, sf_dir: str, wording: bool = False) -> DataFrame:
     samples = views.hosts(spark, sf_dir).withColumn("machine_group", views.machine_group())
-    return treatment.treat(samples, views.limits(spark, sf_dir), key="machine_group")
+    return treatment.treat(samples, views.limits(spark, sf_dir), key="machine_group", wording=wording)
 
 
 @query(f"{LIMITED} SELECT sample_id, machine, limit_cpu, limit_ram, limit_disk FROM limited")
@@ -164,6 +164,16 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treatment.status_counts(treated_hosts(spark, sf_dir))
 
 
+@query(
+    f"""{TREATED} SELECT machine, 'status_cpu' AS component,
+    CASE status_cpu WHEN 'CRITICO' THEN 'CRÍTICO' WHEN 'ATENCAO' THEN 'ATENÇÃO' ELSE 'Normal' END AS status,
+    count(*) AS samples FROM treated WHERE status_cpu IS NOT NULL GROUP BY ALL"""
+)
+def status_counts_worded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels in the wording that users see."""
+    return treatment.status_counts(treated_hosts(spark, sf_dir, wording=True), statuses=["status_cpu"])
+
+
 def _light(value: str) -> str:
     return f"CASE WHEN {value} >= 80 THEN 'RED' WHEN {value} >= 60 THEN 'YELLOW' ELSE 'GREEN' END"
 

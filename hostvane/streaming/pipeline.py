@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hostvane.functions import scalars
 from hostvane.operators import ordered, series
 from hostvane.plans import treatment
 from hostvane.sources import landing, sinks
@@ -44,7 +45,7 @@ def minute_series(
     aggregates = [F.count(F.lit(1)).alias("samples")]
     for value in values:
         aggregates += [
-            F.sum(F.col(value).cast("decimal(28,6)")).alias(f"sum_{value}"),
+            scalars.exact_sum(F.col(value)).alias(f"sum_{value}"),
             F.max(value).alias(f"max_{value}"),
         ]
     windowed = samples.withWatermark(ts, delay).groupBy(*keys, F.window(ts, width).alias("__window"))
@@ -56,7 +57,7 @@ def minute_series(
             column
             for value in values
             for column in (
-                F.try_divide(F.col(f"sum_{value}").cast("double"), F.col("samples")).alias(f"avg_{value}"),
+                F.try_divide(F.col(f"sum_{value}"), F.col("samples")).alias(f"avg_{value}"),
                 F.col(f"max_{value}"),
             )
         ],

@@ -61,15 +61,14 @@ def test_totals_from_rows_and_from_lists_agree(spark):
     assert sizes == names
 
 
-def test_lists_of_an_oversized_sample_are_split_and_complete(spark):
-    entries = [(1, i, "hot", 0.0, 0, 0, 0) for i in range(1000)] + [(2, i, "cold", 0.0, 0, 0, 0) for i in range(10)]
-    lists = processes.build_lists(rows_of(spark, entries), ["sample"], ["pid", "name"], ["pid"], max_records=100)
-    collected = lists.collect()
-    assert max(len(r["processes"]) for r in collected) <= 100
-    hot = [p.pid for r in collected if r["sample"] == 1 for p in r["processes"]]
-    assert sorted(hot) == list(range(1000))
-    [cold] = [r for r in collected if r["sample"] == 2]
-    assert cold["part"] == 0 and [p.pid for p in cold["processes"]] == list(range(10))
+def test_every_sample_has_one_list_of_any_length(spark):
+    entries = [(1, i, "hot", 0.0, 0, 0, 0) for i in range(12_000)] + [(2, i, "cold", 0.0, 0, 0, 0) for i in range(10)]
+    entries += [(3, 7, "same", 0.0, 0, 0, 0)] * 25
+    lists = processes.build_lists(rows_of(spark, entries), ["sample"], ["pid", "name"], ["pid"])
+    collected = {r["sample"]: [p.pid for p in r["processes"]] for r in lists.collect()}
+    assert collected == {1: list(range(12_000)), 2: list(range(10)), 3: [7] * 25}
+    totals = processes.list_totals(lists.selectExpr("sample", "transform(processes, p -> struct(p.name, 1.5D AS cpu_percent, struct(2L AS rss) AS memory_info)) AS p"), "p")
+    assert {r["sample"]: (r["n_processes"], r["sum_cpu"]) for r in totals.collect()} == {1: (12_000, 18_000.0), 2: (10, 15.0), 3: (25, 37.5)}
 
 
 def test_cpu_and_memory_accounting(spark):
@@ -105,13 +104,22 @@ def test_service_gap(spark):
     assert got == {1: (25, 26, 1), 2: (2, 26, 24), 3: (0, 26, 26)}
 
 
-@pytest.mark.parametrize("small", [2_000, 3])
-def test_missing_services_small_and_large_catalogue(spark, small):
-    _, rows, catalogue = fleet(spark)
-    got = processes.missing_services(rows, catalogue, ["sample"], small=small).collect()
+def test_missing_services(spark):
+    hosts, rows, catalogue = fleet(spark)
+    got = processes.missing_services(hosts, rows, catalogue, ["sample"]).collect()
     assert {r["name"] for r in got if r["sample"] == 1} == {"s24", "s25"}
     assert {r["name"] for r in got if r["sample"] == 2} == {f"s{i:02d}" for i in range(26)} - {"s05"}
-    assert len(got) == 27
+    assert sorted(r["name"] for r in got if r["sample"] == 3) == [f"s{i:02d}" for i in range(26)]
+
+
+def test_missing_services_of_a_long_catalogue_and_null_samples(spark):
+    catalogue = spark.range(3000).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    hosts = spark.createDataFrame([(1,), (None,)], "sample int")
+    active = spark.createDataFrame([(1, "n5"), (None, "n7"), (None, "other"), (1, None)], "sample int, name string")
+    got = processes.missing_services(hosts, active, catalogue, ["sample"])
+    every = {f"n{i}" for i in range(3000)}
+    assert {r["name"] for r in got.where("sample = 1").collect()} == every - {"n5"}
+    assert {r["name"] for r in got.where("sample is null").collect()} == every - {"n7"}
 
 
 def test_services_to_start_follow_catalogue_order(spark):
@@ -124,6 +132,22 @@ def test_services_to_start_follow_catalogue_order(spark):
     assert sum(r["sample"] == 3 for r in got) == 26
 
 
+def test_more_than_the_usual_number_of_services(spark):
+    catalogue = spark.range(60).select(F.format_string("s%02d", "id").alias("name"), F.col("id").alias("position"))
+    gaps = spark.createDataFrame([(1, 40)], "sample int, gap int")
+    active = spark.createDataFrame([(1, "s00")], "sample int, name string")
+    got = processes.services_to_start(gaps, active, catalogue, ["sample"], "position").collect()
+    assert sorted(r["name"] for r in got) == [f"s{i:02d}" for i in range(1, 41)]
+    rows = spark.createDataFrame([(1, p) for p in range(60)], "sample int, pid int")
+    hosts = spark.createDataFrame([(1, 40)], "sample int, target int")
+    assert processes.cap_to_target(rows, hosts, ["sample"], [F.col("pid")], F.col("target")).count() == 40
+
+
+def test_restarts_without_ids(spark):
+    rows = spark.createDataFrame([("m", "a", None), ("m", "b", 1), ("m", "b", 2)], "machine string, name string, pid int")
+    assert {r["name"]: r["restarts"] for r in processes.restarts(rows).collect()} == {"a": 0, "b": 1}
+
+
 def test_unknown_services(spark):
     _, rows, catalogue = fleet(spark)
     assert [r["name"] for r in processes.unknown_services(rows, catalogue).collect()] == ["alien"]
@@ -178,7 +202,7 @@ def test_hung_runs(spark):
 
 def test_map_cells(spark):
     frame = spark.createDataFrame([("a",), (None,)], "x string")
-    out = processes.map_cells(frame, "x", lambda s: None if s is None else s.upper(), "y", "string")
+    out = processes.map_cells(frame, "x", lambda cells: cells.str.upper(), "y", "string")
     assert [r["y"] for r in out.collect()] == ["A", None]
 
 

@@ -97,6 +97,7 @@ def test_number_text_is_plain(one, value):
 
 def test_fixed_text(one):
     assert one(scalars.fixed_text(X), "x double", 9.12) == "9.1"
+    assert one(scalars.fixed_text(X), "x double", None) is None
 
 
 def test_stamps(one):
@@ -141,5 +142,12 @@ def test_exact_sums_do_not_depend_on_order(spark):
     down = spark.createDataFrame(values[::-1], "x double").coalesce(1)
     totals = {d.agg(scalars.exact_sum(X).alias("s")).first()["s"] for d in (up, down)}
     assert len(totals) == 1 and math.isclose(totals.pop(), 30.0)
+    small = spark.range(1_000_000).select(F.lit(4e-7).alias("x")).agg(scalars.exact_sum(X).alias("s")).first()["s"]
+    assert small == 0.4
+    large = spark.createDataFrame([(1e23,), (1.0,), (-1e23,), (1e300,)], "x double")
+    assert large.agg(scalars.exact_sum(X).alias("s")).first()["s"] == 1e300
+    assert large.where("x < 1e299").agg(scalars.exact_sum(X).alias("s")).first()["s"] == 1.0
+    tiny = spark.createDataFrame([(1e-20,)] * 10, "x double").agg(scalars.exact_sum(X).alias("s")).first()["s"]
+    assert math.isclose(tiny, 1e-19)
     empty = spark.createDataFrame([], "x double").agg(scalars.exact_avg(X).alias("m")).first()["m"]
     assert empty is None

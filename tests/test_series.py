@@ -41,6 +41,15 @@ def test_sample_and_hold(spark):
     assert column(series.sample_and_hold(frame, "v", every=1), "held") == list(range(1, 15))
 
 
+@pytest.mark.parametrize("width", [None, 5_000_000])
+def test_failed_measurements_are_passed_over(spark, width):
+    frame = samples(spark, [*range(1, 6), None, *range(7, 15)])
+    width = None if width is None else F.lit(width)
+    assert column(series.sample_and_hold(frame, "v", width=width), "held") == [1] * 11 + [12] * 3
+    none = samples(spark, [None] * 9)
+    assert column(series.sample_and_hold(none, "v", width=width), "held") == [None] * 9
+
+
 def test_batches(spark):
     frame = samples(spark, range(130))
     numbers = column(series.batch_numbers(frame), "batch")

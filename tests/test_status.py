@@ -139,6 +139,16 @@ def test_status_counts_add_up(spark):
         assert sum(r["samples"] for r in counted if r["component"] == component) == len(rows)
 
 
+def test_status_counts_of_worded_labels(spark):
+    rows = [("m", "Normal", "CRÍTICO"), ("m", "Normal", None), ("n", "ATENÇÃO", "CRÍTICO")]
+    frame = spark.createDataFrame(rows, "machine string, status_cpu string, status_ram string")
+    counted = treatment.status_counts(frame, statuses=["status_cpu", "status_ram"]).collect()
+    assert sorted(map(tuple, counted)) == [
+        ("m", "status_cpu", "Normal", 2), ("m", "status_ram", "CRÍTICO", 1),
+        ("n", "status_cpu", "ATENÇÃO", 1), ("n", "status_ram", "CRÍTICO", 1),
+    ]
+
+
 def test_treatment_needs_no_shuffle_of_samples(spark, tmp_path):
     """One broadcast of the small limits, one projection: the sample side is not exchanged."""
     samples = spark.range(1000).select(
