@@ -1,7 +1,7 @@
 """Documents that hold benchmark items, exactly or with edits, by CGK embeddings and bit sampling.
 
-Texts are sequences of words. Windows start at winnowed words (the smallest hash among any `SPAN` consecutive words), so
-an item and its copy inside a document start windows at the same words. The CGK random walk reads a window word by word:
+Texts are sequences of words. Windows start at winnowed pairs of words (the smallest hash among any `SPAN` consecutive
+pairs), so an item and its copy inside a document start windows at the same words. The CGK random walk reads a window word by word:
 at step j it outputs the current word and moves on or stays by a random bit of (j, word). Sequences at a small edit
 distance give outputs at a small Hamming distance. Every table samples a few steps of the walk as its key. A window is
 walked once for items of all sizes: the tables of each size class sample steps that lie within it. Windows that share a
@@ -33,7 +33,7 @@ LEAST_WORDS = 10
 SPAN = 6
 CLASSES = (4, 8, 16, 32, 64)
 #: Steps that a table samples; share of a window's steps that edits may disturb; and how often such a window is found.
-SAMPLED, DISTURBED, RECALL = 4, 0.25, 0.95
+SAMPLED, DISTURBED, RECALL = 5, 0.25, 0.95
 #: Items and characters of a block of the benchmark.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 WORDS_AT_ONCE = 200_000
@@ -53,10 +53,10 @@ def hashes(found: list[bytes]) -> np.ndarray:
 
 
 def anchors(hashed: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """Positions of words that are the smallest of some `span` consecutive words; all words of a shorter text."""
-    mixed = (hashed * _MIX) >> np.uint64(16)
-    if len(mixed) < span:
-        return np.arange(len(mixed))
+    """Positions of pairs of words that are the smallest of some `span` consecutive ones; all words of a short text."""
+    if len(hashed) <= span:
+        return np.arange(len(hashed))
+    mixed = ((hashed[:-1] ^ (hashed[1:] >> np.uint64(7))) * _MIX) >> np.uint64(16)  # of a word and the next: rarer
     count = len(mixed) - span + 1
     low = functools.reduce(np.minimum, (mixed[k : k + count] for k in range(span)))
     edge = np.zeros(span - 1, dtype=np.uint64)
@@ -117,7 +117,9 @@ class Index:
         rng = np.random.default_rng(20_26)
         self.tables = []
         for size in CLASSES:
-            steps = [sorted(rng.choice(3 * size // 2, SAMPLED, replace=False).tolist()) for _ in range(tables)]
+            # one step of each stretch of the walk: neighbours mostly read the same word
+            edges = np.linspace(0, max(3 * size // 2, SAMPLED), SAMPLED + 1).astype(int)
+            steps = [rng.integers(edges[:-1], edges[1:]).tolist() for _ in range(tables)]
             if size in classes:
                 own = [Table(size, s) for s in steps]
                 self._fill(own, classes[size])
@@ -149,8 +151,20 @@ class Index:
                     out.add((int(owner[window]), item, int(start[window]) - first))
         return out
 
-    def _edits(self, item: int, stretch: str) -> int:
-        return 0 if self.items[item][2] in stretch else fewest_edits(self.items[item][2], stretch)
+    def _edits(self, item: int, stretch: str) -> int | None:
+        """The fewest edits of the item in the stretch, or None where there are surely too many.
+
+        k edits leave all but q * k of the item's q-grams unchanged.
+        """
+        wording = self.items[item][2]
+        if wording in stretch:
+            return 0
+        for q in (4, 3):
+            there = {stretch[k : k + q] for k in range(len(stretch) - q + 1)}
+            kept = sum(wording[k : k + q] in there for k in range(len(wording) - q + 1))
+            if kept < len(wording) - q + 1 - q * int(self.most_edits * len(wording)):
+                return None
+        return fewest_edits(wording, stretch)
 
     def matches(self, documents: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(document, item, edits, first word) of every item found in every document, with the fewest edits."""
@@ -177,7 +191,7 @@ class Index:
             slack = int(self.most_edits * n_words) + 2
             stretch = b" ".join(document[max(0, begin - slack) : begin + n_words + slack]).decode()
             edits = self.verified(item, stretch)
-            if edits <= self.most_edits * len(wording):
+            if edits is not None and edits <= self.most_edits * len(wording):
                 key, now = (which[own], item), (edits, max(0, begin))
                 best[key] = min(best.get(key, now), now)
         for (document, item), (edits, begin) in sorted(best.items()):
@@ -193,16 +207,19 @@ def fewest_edits(wording: str, stretch: str) -> int:
     for k, c in enumerate(wording):
         masks[c] = masks.get(c, 0) | 1 << k
     full, top = (1 << n) - 1, 1 << (n - 1)
-    plus, minus, score = full, 0, n
-    best = n
+    plus, minus, score, best = full, 0, n, n
     for c in stretch:
         equal = masks.get(c, 0)
         diagonal = (((equal & plus) + plus) ^ plus) | equal | minus
         more, less = minus | (full & ~(diagonal | plus)), plus & diagonal
-        score += bool(more & top) - bool(less & top)
-        more, less = more << 1 & full, less << 1 & full
-        plus, minus = less | (full & ~(diagonal | more)), more & diagonal
-        best = min(best, score)
+        if less & top:
+            score -= 1
+            if score < best:
+                best = score
+        elif more & top:
+            score += 1
+        more, less = more << 1, less << 1
+        plus, minus = (less | ~(diagonal | more)) & full, more & diagonal
     return best
 
 

@@ -69,12 +69,14 @@ def test_fewest_edits_against_the_table():
         assert d.fewest_edits(a, b) == plain_edits(a, b)
 
 
-def test_anchors_are_the_winnowed_words():
+def test_anchors_are_the_winnowed_pairs():
     rng = np.random.default_rng(3)
     for n in (0, 1, 5, 6, 7, 40):
         hashed = rng.integers(1, 50, n).astype(np.uint64) | np.uint64(1)
-        mixed = (hashed * d._MIX) >> np.uint64(16)
-        want = {k for s in range(n - 5) for k in range(s, s + 6) if mixed[k] == mixed[s : s + 6].min()} if n >= 6 else set(range(n))
+        with np.errstate(over="ignore"):
+            mixed = [int(((a ^ (b >> np.uint64(7))) * d._MIX) >> np.uint64(16)) for a, b in zip(hashed, hashed[1:])]
+        spans = [range(s, s + d.SPAN) for s in range(len(mixed) - d.SPAN + 1)]
+        want = {k for span in spans for k in span if mixed[k] == min(mixed[j] for j in span)} if spans else set(range(n))
         assert set(d.anchors(hashed).tolist()) == want
 
 
