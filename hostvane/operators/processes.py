@@ -32,6 +32,12 @@ def explode_list(samples: DataFrame, processes: str, keep: Sequence[str]) -> Dat
     return exploded.where(F.col("__pos").isNotNull()).select(*keep, "__process.*")
 
 
+def unreadable_lists(samples: DataFrame, text: str, parsed: str) -> DataFrame:
+    """Samples whose list has text but could not be read, for a table of rejects: ``explode_list`` gives no rows for
+    them. ``parsed`` is the column that the text was parsed into."""
+    return samples.where(F.col(text).isNotNull() & F.col(parsed).isNull()).drop(parsed)
+
+
 def flatten_struct(rows: DataFrame, column: str) -> DataFrame:
     """Replace a struct column by one column per field, prefixed with its name."""
     fields = [f.name for f in rows.schema[column].dataType.fields]
@@ -236,11 +242,22 @@ def cap_to_target(
 def profile_deviation(
     rows: DataFrame, profiles: DataFrame, ts: str = "ts", on: Sequence[str] = ("name",)
 ) -> DataFrame:
-    """Observed minus expected CPU (base times load multiplier) and MiB, for every process with a profile."""
-    expected = profiles.select(*on, F.col("cpu").alias("__cpu"), F.col("mem_mb").alias("__mem"))
+    """Observed minus expected CPU (base times load multiplier), MiB and, where both sides have it, disk KiB per second
+    (read and written), for every process with a profile."""
+    disk = "disk_kbps" in profiles.columns and {"read_bps", "write_bps"} <= set(rows.columns)
+    expected = profiles.select(
+        *on,
+        F.col("cpu").alias("__cpu"),
+        F.col("mem_mb").alias("__mem"),
+        *[F.col("disk_kbps").alias("__disk")] * disk,
+    )
     boost = calendar.load_multiplier(calendar.load_factor(F.col(ts)))
+    joined = rows.join(expected, list(on))
+    if disk:
+        moved = (F.coalesce("read_bps", F.lit(0)) + F.coalesce("write_bps", F.lit(0))) / 1024
+        joined = joined.withColumn("disk_deviation_kbps", moved - F.col("__disk")).drop("__disk")
     return (
-        rows.join(expected, list(on))
+        joined
         .withColumns(
             {
                 "cpu_expected": scalars.clamp(F.col("__cpu") * boost, 0.1, 100.0),

@@ -3,11 +3,13 @@ the shared work folder, then runs the reader, sink or stream on them."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostvane import schemas, work_dir
-from hostvane.functions import scalars
+from hostvane.functions import scalars, status
 from hostvane.operators import series
 from hostvane.plans import status_queries, treatment, views
 from hostvane.plans.registry import query
@@ -41,13 +43,23 @@ def agent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = [by_name.get(name, empty) for name, _ in schemas.AGENT_COLUMNS[:-1]]
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     line = F.concat_ws(",", *measures, F.when(F.col("k") % 2 == 1, F.col("k").cast("string")), ts)
-    return views.hosts(spark, sf_dir).select(line.alias("value"))
+    return views.hosts(spark, sf_dir).select(line.alias("value"), "machine", "k", "ts")
+
+
+def write_uploads(spark: SparkSession, sf_dir: str) -> str:
+    """Uploads in order of arrival: a fifth of the machines come after all others, and a quarter comes again."""
+    path = work_dir(spark, "uploads")
+    lines = agent_lines(spark, sf_dir)
+    late = F.col("machine") % 5 == 0
+    for part in (lines.where(~late), lines.where(late), lines.where("k % 4 = 0")):
+        part.select("value").repartition(4).write.mode("append").text(path)
+    return path
 
 
 def write_landing(spark: SparkSession, sf_dir: str) -> str:
     """A landing folder with headers, headerless files and every sample uploaded twice."""
     path = work_dir(spark, "landing")
-    lines = agent_lines(spark, sf_dir)
+    lines = agent_lines(spark, sf_dir).select("value")
     header = spark.range(1).select(F.lit(",".join(name for name, _ in schemas.AGENT_COLUMNS)).alias("value"))
     lines.unionByName(header).write.text(path)
     lines.write.mode("append").text(path)
@@ -104,15 +116,118 @@ def curated_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT strftime(ts, '%Y/%m/%d') AS pasta, true AS tem_dados FROM events GROUP BY 1"""
+    """SELECT strftime(ts, '%Y') AS ano, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia,
+    ceil(count(*) / 100.0)::BIGINT AS objetos FROM events GROUP BY 1, 2, 3"""
 )
 def list_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of at most 100 samples, counted per day folder from their paths."""
     path = work_dir(spark, "objects")
     events = views.table(spark, sf_dir, "events").select("event_id", "ts")
-    sinks.write_by_day(events, path, cluster=["event_id"])
-    listed = landing.list_objects(spark, path, "*.parquet")
-    folder = F.regexp_replace(F.regexp_extract("path", r"ano=(\d+/mes=\d+/dia=\d+)", 1), "mes=|dia=", "")
-    return listed.groupBy(folder.alias("pasta")).agg((F.sum("length") > 0).alias("tem_dados"))
+    keyed = sinks.with_date_keys(events).repartition(*sinks.DAY_KEYS)
+    keyed.write.option("maxRecordsPerFile", 100).partitionBy(*sinks.DAY_KEYS).parquet(path)
+    listed = landing.list_objects(spark, path, "*.parquet").where("length > 0")
+    keys = [F.regexp_extract("path", rf"/{key}=(\d+)/", 1).alias(key) for key in sinks.DAY_KEYS]
+    return listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("objetos"))
+
+
+@query(
+    """SELECT event_id, user_id, ts FROM events
+    WHERE ts >= (SELECT date_trunc('day', min(ts)) + INTERVAL 2 DAY FROM events)
+      AND ts < (SELECT date_trunc('day', min(ts)) + INTERVAL 5 DAY FROM events)"""
+)
+def curated_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days, read by the folders alone."""
+    path = work_dir(spark, "curated")
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    sinks.write_by_day(events, path, cluster=["user_id"])
+    first = events.agg(F.to_date(F.min("ts"))).first()[0]
+    days = [(first + timedelta(days=n)).isoformat() for n in (2, 4)]
+    return sinks.read_curated(spark, path, *days).select("event_id", "user_id", "ts")
+
+
+@query(
+    f"""{HOST} SELECT format('{{:012x}}', machine) AS machine, ts, cpu_pct, ram_used_pct, ping_ms, sample_id FROM host
+    WHERE date_trunc('day', ts) = (SELECT date_trunc('day', max(ts)) FROM host)"""
+)
+def landing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest day of a landing zone that has a folder per day."""
+    root = work_dir(spark, "zone")
+    lines = agent_lines(spark, sf_dir)
+    newest = lines.agg(F.to_date(F.max("ts"))).first()[0]
+    for day in (newest - timedelta(days=1), newest):
+        path = landing.day_path(root, day.year, day.month, day.day)
+        lines.where(F.to_date("ts") == F.lit(day)).select("value").write.text(path)
+    day = landing.read_agent_csv(spark, landing.day_path(root, newest.year, newest.month, newest.day))
+    samples = landing.canonical_agent(day).withColumn("sample_id", F.regexp_extract("processes", r"'pid': (\d+)", 1).cast("long"))
+    return naive(samples, "machine", "cpu_pct", "ram_used_pct", "ping_ms", "sample_id")
+
+
+@query(
+    f"""{HOST} SELECT format('{{:012x}}', machine) AS machine, ts, cpu_pct, freq_cur_mhz, disk_used_pct,
+    (100 - ram_used_pct) AS ram_free_pct, 100 - mem_free_bytes::DOUBLE / mem_total_bytes * 100 AS ram_used_pct,
+    bytes_read AS read_bps, 'a, "b"' AS processes FROM host"""
+)
+def simulated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "simulated")
+    by_name = {
+        "macAdress": scalars.mac_text(F.col("machine")),
+        "usuario": F.lit("user"),
+        "porcentagem_uso_da_cpu": F.col("cpu_pct"),
+        "frequencia_atual": F.col("freq_cur_mhz").cast("int"),
+        "frequencia_min": F.col("freq_min_mhz").cast("int"),
+        "frequencia_max": F.col("freq_max_mhz").cast("int"),
+        "porcentagem_uso_do_disco": F.col("disk_used_pct"),
+        "read_rate_Bps": F.col("bytes_read"),
+        "write_rate_Bps": F.col("bytes_written"),
+        "memoria_percentual": (100 - F.col("ram_used_pct")).cast("int"),
+        "memoria_total": F.col("mem_total_bytes"),
+        "memoria_livre": F.col("mem_free_bytes"),
+        "processos": F.lit('a, "b"'),
+        "data": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+    }
+    written = views.hosts(spark, sf_dir).select(*[by_name[n].alias(n) for n, _ in schemas.SIMULATED_COLUMNS])
+    sinks.overwrite_csv(written, path)
+    samples = landing.canonical_simulated(landing.read_simulated_csv(spark, path))
+    return naive(samples, "machine", "cpu_pct", "freq_cur_mhz", "disk_used_pct", "ram_free_pct", "ram_used_pct", "read_bps", "processes")
+
+
+def _worded(case: str) -> str:
+    return f"""CASE {case} WHEN 'CRITICO' THEN 'CRÍTICO' WHEN 'ATENCAO' THEN 'ATENÇÃO' WHEN 'NORMAL' THEN 'Normal' END"""
+
+
+@query(
+    f"""{HOST} SELECT ts AS data_hora_iso, percentual_uso_cpu, status_cpu, status_ram, status_disco, colunas FROM (
+      SELECT ts, cpu_pct AS percentual_uso_cpu,
+      {_worded(status_queries.limit_case('cpu_pct', '(60.0::DOUBLE + n_nationkey)'))} AS status_cpu,
+      {_worded(status_queries.limit_case('ram_used_pct', '(50.0::DOUBLE + n_nationkey)'))} AS status_ram,
+      {_worded(status_queries.limit_case('disk_used_pct', '(70.0::DOUBLE + n_nationkey)'))} AS status_disco,
+      32 AS colunas FROM host LEFT JOIN nation ON n_nationkey = machine)"""
+)
+def treated_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout of 26 agent columns and 6 worded labels."""
+    path = work_dir(spark, "agent")
+    agent_lines(spark, sf_dir).select("value").write.text(path)
+    treated = treatment.treat_agent(landing.read_agent_csv(spark, path), views.machine_limits(spark, sf_dir))
+    stamp = F.col("data_hora_iso").cast("timestamp_ntz").alias("data_hora_iso")
+    labels = ["percentual_uso_cpu", "status_cpu", "status_ram", "status_disco"]
+    return treated.select(stamp, *labels, F.lit(len(treated.columns)).alias("colunas"))
+
+
+@query(
+    f"""{status_queries.TREATED} SELECT cpu_pct AS cpu, disk_used_pct AS disco, ts AS datahora,
+    ram_used_pct AS ram_percentual, status_ram, status_cpu, status_disco, event_type AS periodo FROM treated"""
+)
+def treated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "treated")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("datahora")
+    written = status_queries.treated_hosts(spark, sf_dir).select(
+        F.col("cpu_pct").alias("cpu"), F.col("disk_used_pct").alias("disco"), stamp,
+        F.col("ram_used_pct").alias("ram_percentual"), "status_ram", "status_cpu", "status_disco",
+        F.col("event_type").alias("periodo"),
+    )
+    sinks.overwrite_csv(written, path)
+    read = landing.read_treated_csv(spark, path)
+    return read.withColumn("datahora", F.col("datahora").cast("timestamp_ntz"))
 
 
 @query(
@@ -151,8 +266,19 @@ def _versions(host: DataFrame) -> DataFrame:
 # Streams ---------------------------------------------------------------------------------------------------------
 
 
+def staged_events(spark: SparkSession, sf_dir: str) -> str:
+    """The events as files that arrive in order of time, in four lots of two."""
+    path = work_dir(spark, "arrivals")
+    events = views.table(spark, sf_dir, "events")
+    first, last = events.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp"))), F.max(F.unix_seconds(F.col("ts").cast("timestamp")))).first()
+    lot = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - first) * 4 / (last - first + 1))
+    for n in range(4):
+        events.where(lot == n).repartition(2).write.mode("append").parquet(path)
+    return path
+
+
 def host_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = pipeline.stream_parquet(spark, sf_dir, views.EVENT_SCHEMA, "events.parquet")
+    events = pipeline.stream_parquet(spark, staged_events(spark, sf_dir), views.EVENT_SCHEMA, files_per_trigger=2)
     return views.host_columns(events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -164,32 +290,68 @@ def finish(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 @query(
     f"""{status_queries.TREATED} SELECT sample_id, machine, ts, degradacao, status_cpu, status_ram, status_swap,
-    status_disco, status_ping FROM treated"""
+    status_disco, status_ping, cpu_pct > 50 AND freq_cur_mhz < freq_max_mhz * 0.6::DOUBLE AS bottleneck,
+    mem_free_bytes::DOUBLE / 1073741824 < 48.15::DOUBLE AS low_memory, freq_cur_mhz < freq_min_mhz AS below_min,
+    CASE WHEN cpu_pct >= 80 THEN 'RED' WHEN cpu_pct >= 60 THEN 'YELLOW' ELSE 'GREEN' END AS severity FROM treated"""
 )
 def stream_treated(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = host_stream(spark, sf_dir).withColumn("machine_group", views.machine_group())
-    treated = treatment.treat(samples, views.limits(spark, sf_dir), key="machine_group")
-    return naive(finish(spark, treated), "sample_id", "machine", *schemas.STATUS_COLUMNS)
+    treated = treatment.treat(samples, views.limits(spark, sf_dir), key="machine_group").withColumns(
+        {
+            "bottleneck": status.cpu_bottleneck(F.col("cpu_pct"), F.col("freq_cur_mhz"), F.col("freq_max_mhz")),
+            "low_memory": status.low_memory(scalars.bytes_to_gib(F.col("mem_free_bytes"))),
+            "below_min": status.below_min_freq(F.col("freq_cur_mhz"), F.col("freq_min_mhz")),
+            "severity": status.severity(F.col("cpu_pct")),
+        }
+    )
+    flags = ["bottleneck", "low_memory", "below_min", "severity"]
+    return naive(finish(spark, treated), "sample_id", "machine", *schemas.STATUS_COLUMNS, *flags)
 
 
 @query(AGENT_SQL)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = landing.stream_agent_csv(spark, write_landing(spark, sf_dir))
-    samples = pipeline.drop_repeats(landing.canonical_agent(lines))
+    lines = landing.stream_agent_csv(spark, write_landing(spark, sf_dir), files_per_trigger=2)
+    samples = pipeline.drop_repeats(landing.canonical_agent(lines), delay="36500 days")
     return naive(finish(spark, samples), *AGENT_COLUMNS)
 
 
+def _ingested(spark: SparkSession, sf_dir: str, files_per_trigger: int) -> DataFrame:
+    out = work_dir(spark, "ingest")
+    limits = views.machine_limits(spark, sf_dir)
+    path = write_uploads(spark, sf_dir)
+    pipeline.ingest(spark, path, limits, f"{out}/data", f"{out}/checkpoint", files_per_trigger).awaitTermination()
+    return naive(pipeline.read_ingested(spark, f"{out}/data"), *AGENT_COLUMNS, "status_cpu")
+
+
+INGEST_SQL = f"""{HOST} SELECT format('{{:012x}}', machine) AS machine, ts, cpu_pct, ram_used_pct, ping_ms,
+    CASE WHEN k % 2 = 1 THEN k END AS n_processes, '[{{''pid'': ' || sample_id || ', ''name'': ''a,b "c"''}}]' AS processes,
+    {status_queries.limit_case('cpu_pct', '(60.0::DOUBLE + n_nationkey)')} AS status_cpu
+    FROM host LEFT JOIN nation ON n_nationkey = machine
+    QUALIFY row_number() OVER (PARTITION BY machine, ts ORDER BY n_processes IS NULL, cpu_pct DESC) = 1"""
+
+
+@query(INGEST_SQL)
+def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch per upload; a fifth of the machines upload after all others."""
+    return _ingested(spark, sf_dir, 1)
+
+
+@query(INGEST_SQL)
+def ingest_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, 10)
+
+
 @query(
     f"""{HOST} SELECT machine, date_trunc('minute', ts) AS ts, count(*) AS samples,
     sum(cpu_pct::DECIMAL(18, 2))::DOUBLE / count(*) AS avg_cpu_pct, max(cpu_pct) AS max_cpu_pct
     FROM host GROUP BY machine, date_trunc('minute', ts)"""
 )
 def stream_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = pipeline.minute_series(host_stream(spark, sf_dir), ["cpu_pct"])
     out = work_dir(spark, "stream")
-    pipeline.write_updates(minutes, f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    latest = pipeline.read_updates(spark, f"{out}/data", minutes.schema, ["machine", "window_start"])
-    return naive(latest.withColumnRenamed("window_start", "ts"), "machine", "samples", "avg_cpu_pct", "max_cpu_pct")
+    stream = host_stream(spark, sf_dir)
+    pipeline.write_minutes(stream, ["cpu_pct"], f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    series_so_far = pipeline.read_minutes(spark, f"{out}/data", ["cpu_pct"])
+    return naive(series_so_far.withColumnRenamed("minute", "ts"), "machine", "samples", "avg_cpu_pct", "max_cpu_pct")
 
 
 @query(
@@ -200,14 +362,23 @@ def stream_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = host_stream(spark, sf_dir).select("machine", "ts", "sample_id", "bytes_read")
-    out = work_dir(spark, "stream")
+    out, order = work_dir(spark, "stream"), ["ts", "sample_id"]
     pipeline.write_counter_rates(
-        stream,
-        {"read_bps": "bytes_read"},
-        f"{out}/data",
-        f"{out}/checkpoint",
-        order=["ts", "sample_id"],
-        interval=3.0,
+        stream, {"read_bps": "bytes_read"}, f"{out}/data", f"{out}/checkpoint", order=order, interval=3.0
+    ).awaitTermination()
+    return pipeline.read_counter_rates(spark, f"{out}/data", order=order).select("sample_id", "machine", "read_bps")
+
+
+@query(
+    f"""{HOST}, numbered AS (SELECT *, row_number() OVER (PARTITION BY machine ORDER BY ts, sample_id) AS n FROM host)
+    SELECT sample_id, machine, n, last_value(CASE WHEN (n = 1 OR n % 6 = 0) AND k % 3 <> 0 THEN ping_ms END IGNORE NULLS)
+    OVER (PARTITION BY machine ORDER BY n ROWS UNBOUNDED PRECEDING) AS held FROM numbered"""
+)
+def stream_sample_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ping = F.when(F.col("k") % 3 != 0, F.col("ping_ms")).alias("ping_ms")
+    stream = host_stream(spark, sf_dir).select("machine", "ts", "sample_id", ping)
+    out = work_dir(spark, "stream")
+    pipeline.write_held(
+        stream, "ping_ms", f"{out}/data", f"{out}/checkpoint", order=["ts", "sample_id"]
     ).awaitTermination()
-    schema = "sample_id bigint, machine bigint, read_bps double, batch bigint"
-    return spark.read.schema(schema).parquet(f"{out}/data").drop("batch")
+    return spark.read.parquet(f"{out}/data").select("sample_id", "machine", "n", "held")

@@ -239,15 +239,18 @@ def active_set_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{PROC}, {views.PROFILES_SQL},
-    e AS (SELECT p.*, mem_mb, greatest(0.1::DOUBLE, least(100.0::DOUBLE, cpu *
+    e AS (SELECT p.*, mem_mb, disk_kbps, greatest(0.1::DOUBLE, least(100.0::DOUBLE, cpu *
           (CASE WHEN {views.load_factor_sql('ts')} >= 0.75 THEN 1.15::DOUBLE ELSE 0.9::DOUBLE END))) AS cpu_expected
           FROM proc p JOIN profiles USING (name))
     SELECT sample, pid, name, cpu_expected, cpu_percent - cpu_expected AS cpu_deviation,
-    rss::DOUBLE / 1048576 - mem_mb AS mem_deviation_mib FROM e"""
+    rss::DOUBLE / 1048576 - mem_mb AS mem_deviation_mib,
+    (read_bps + write_bps)::DOUBLE / 1024 - disk_kbps AS disk_deviation_kbps FROM e"""
 )
 def profile_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = processes.profile_deviation(views.process_rows(spark, sf_dir), views.profiles(spark, sf_dir))
-    return compared.select("sample", "pid", "name", "cpu_expected", "cpu_deviation", "mem_deviation_mib")
+    return compared.select(
+        *["sample", "pid", "name", "cpu_expected", "cpu_deviation", "mem_deviation_mib", "disk_deviation_kbps"]
+    )
 
 
 @query(
@@ -311,16 +314,30 @@ def restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{LINES}, instants AS (SELECT name, started, bool_and(idle) AS idle FROM lines GROUP BY name, started),
+    f"""{PROC}, keyed AS (SELECT machine % 40 AS machine, pid % 25 AS pid, ts, idle FROM proc),
+    instants AS (SELECT machine, pid, ts, bool_and(idle) AS idle FROM keyed GROUP BY machine, pid, ts),
     numbered AS (
       SELECT *, row_number() OVER w - sum(idle::INTEGER) OVER w AS run FROM instants
-      WINDOW w AS (PARTITION BY name ORDER BY started ROWS UNBOUNDED PRECEDING))
-    SELECT name, min(started) AS first_idle, max(started) AS last_idle, count(*) AS samples
-    FROM numbered WHERE idle GROUP BY name, run HAVING count(*) >= 2"""
+      WINDOW w AS (PARTITION BY machine, pid ORDER BY ts ROWS UNBOUNDED PRECEDING))
+    SELECT machine, pid, min(ts) AS first_idle, max(ts) AS last_idle, count(*) AS samples
+    FROM numbered WHERE idle GROUP BY machine, pid, run HAVING count(*) >= 2"""
 )
 def hung_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = views.process_lines(spark, sf_dir).select("name", "started", "idle")
-    return processes.hung_processes(lines, F.col("idle"), min_samples=2, keys=["name"], ts="started")
+    """Customers stand for 40 machines and parts for 25 process ids, so that processes are seen again and again."""
+    machine, pid = (F.col("machine") % 40).alias("machine"), (F.col("pid") % 25).alias("pid")
+    rows = views.process_rows(spark, sf_dir).select(machine, pid, "ts", "idle")
+    return processes.hung_processes(rows, F.col("idle"), min_samples=2)
+
+
+@query(f"{LINES} SELECT DISTINCT sample, NULL::BIGINT AS pid FROM lines WHERE sample % 7 = 0")
+def unreadable_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh sample's list is cut off."""
+    texts = sample_texts(spark, sf_dir)
+    cut = F.expr("substr(processos, 1, length(processos) - 2)")
+    texts = texts.withColumn("processos", F.when(F.col("sample") % 7 == 0, cut).otherwise(F.col("processos")))
+    parsed = texts.withColumn("lista", process_text.parse_list(F.col("processos")))
+    rejected = processes.unreadable_lists(parsed, "processos", "lista")
+    return rejected.select("sample", F.lit(None).cast("long").alias("pid"))
 
 
 CAP_ORDER = ", ".join(FULL_ORDER)

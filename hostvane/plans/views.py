@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostvane.functions import scalars
+
 EVENT_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
@@ -128,6 +130,13 @@ def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def machine_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limits by the hexadecimal id of a machine; few machines have any."""
+    limits_by_group = limits(spark, sf_dir)
+    machine = scalars.machine_id(scalars.mac_text(F.col("machine_group").cast("bigint")))
+    return limits_by_group.select(machine.alias("machine"), "component", "limit")
+
+
 def machine_group() -> Column:
     return F.pmod(F.col("machine"), F.lit(27)).cast("int")
 
@@ -147,12 +156,14 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("name"),
         (F.pmod("s_suppkey", F.lit(60)) + 1).cast("int").alias("cpu"),
         (F.lit(64) + F.pmod("s_suppkey", F.lit(200))).cast("int").alias("mem_mb"),
+        (F.pmod("s_suppkey", F.lit(50)) * 2).cast("int").alias("disk_kbps"),
     )
 
 
 PROFILES_SQL = """
 profiles AS (
-  SELECT 'P' || s_suppkey AS name, (s_suppkey % 60 + 1)::INTEGER AS cpu, (64 + s_suppkey % 200)::INTEGER AS mem_mb
+  SELECT 'P' || s_suppkey AS name, (s_suppkey % 60 + 1)::INTEGER AS cpu, (64 + s_suppkey % 200)::INTEGER AS mem_mb,
+         (s_suppkey % 50 * 2)::INTEGER AS disk_kbps
   FROM supplier
 )"""
 

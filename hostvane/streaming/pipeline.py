@@ -1,8 +1,9 @@
 """Streams over files as they arrive.
 
-Every sink is exactly-once: file sinks commit through their checkpoint, and each ``foreachBatch`` writer overwrites
-a folder named after its batch, so a batch that is run again replaces its own output. Checkpoints and state belong
-on storage all executors share.
+File sinks commit through their checkpoint, and each ``foreachBatch`` writer overwrites what is named after its batch, so
+a batch that is run again replaces its own output. Machines go offline and upload hours later: ``ingest`` and
+``write_minutes`` therefore use no watermark; they keep every row, or its part of a sum, and their readers merge.
+Checkpoints and state belong on storage all executors share.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hostvane import schemas
 from hostvane.functions import scalars
 from hostvane.operators import ordered, series
 from hostvane.plans import treatment
@@ -22,14 +24,22 @@ from hostvane.sources import landing, sinks
 DEFAULT_DELAY = "10 minutes"
 
 
-def stream_parquet(spark: SparkSession, folder: str, schema: T.StructType | str, glob: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+def stream_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None
+) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def drop_repeats(
     samples: DataFrame, keys: Sequence[str] = ("machine", "ts"), ts: str = "ts", delay: str = DEFAULT_DELAY
 ) -> DataFrame:
-    """Keep the first copy of each sample; a key is remembered for ``delay``, which bounds the state."""
+    """Keep the first copy of each sample; a key is remembered for ``delay``, which bounds the state.
+
+    Samples older than the watermark are dropped by Spark: only for sources that are never later than ``delay``.
+    """
     return samples.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -41,7 +51,10 @@ def minute_series(
     delay: str = DEFAULT_DELAY,
     width: str = "1 minute",
 ) -> DataFrame:
-    """Exact sum, peak and count per machine and window; the watermark lets finished windows leave the state."""
+    """Mean, peak and count per machine and window; the watermark lets finished windows leave the state.
+
+    Samples older than the watermark are dropped by Spark; ``write_minutes`` counts them, however late.
+    """
     aggregates = [F.count(F.lit(1)).alias("samples")]
     for value in values:
         aggregates += [
@@ -95,6 +108,58 @@ def read_updates(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     return ordered.last_row(versions, keys, ["batch"]).drop("batch")
 
 
+def write_minutes(
+    stream: DataFrame,
+    values: Sequence[str],
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("machine",),
+    ts: str = "ts",
+    step: str = "minute",
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Sums, peaks and counts per machine and minute of each batch; ``read_minutes`` adds the batches up.
+
+    No watermark and no state: a late sample adds to its minute whenever it comes.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bucket = F.date_trunc(step, F.col(ts)).cast(batch.schema[ts].dataType).alias(step)
+        aggregates = [F.count(F.lit(1)).alias("samples")]
+        for value in values:
+            aggregates += [
+                scalars.exact_sum(F.col(value)).alias(f"sum_{value}"),
+                F.count(value).alias(f"n_{value}"),
+                F.max(value).alias(f"max_{value}"),
+            ]
+        parts = batch.groupBy(*keys, bucket).agg(*aggregates)
+        parts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(stream, write, checkpoint, available_now)
+
+
+def read_minutes(
+    spark: SparkSession, path: str, values: Sequence[str], keys: Sequence[str] = ("machine",), step: str = "minute"
+) -> DataFrame:
+    """The series so far, in the shape of the batch operator."""
+    parts = spark.read.parquet(path)
+    aggregates = [F.sum("samples").alias("samples")]
+    for value in values:
+        mean = F.try_divide(scalars.exact_sum(F.col(f"sum_{value}")), F.sum(f"n_{value}"))
+        aggregates += [mean.alias(f"avg_{value}"), F.max(f"max_{value}").alias(f"max_{value}")]
+    return parts.groupBy(*keys, step).agg(*aggregates)
+
+
+def _start(stream: DataFrame, write, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+SAMPLE_KEYS = ("machine", "ts")
+
+
 def ingest(
     spark: SparkSession,
     landing_path: str,
@@ -102,17 +167,39 @@ def ingest(
     out: str,
     checkpoint: str,
     files_per_trigger: int | None = None,
-    delay: str = DEFAULT_DELAY,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Landing files to treated samples: read, bring to the canonical model, drop re-uploaded rows, classify, write.
+    """Landing files to treated samples: read, bring to the canonical model, classify, write by day.
 
-    The output is partitioned by day like the batch sink's. ``files_per_trigger`` is the flush size: how many uploads
-    make up a batch.
+    ``files_per_trigger`` is the flush size: how many uploads make up a batch. Each batch writes its own subfolder of
+    every day it has rows of, and replaces it when it runs again. Copies of a sample within a batch are merged at once,
+    those of different batches by ``read_ingested`` or for good by ``compact``: no row is lost for coming late.
     """
     samples = landing.canonical_agent(landing.stream_agent_csv(spark, landing_path, files_per_trigger))
-    treated = treatment.treat(drop_repeats(samples, delay=delay), limits)
-    return write_files(sinks.with_date_keys(treated), out, checkpoint, available_now, sinks.DAY_KEYS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        treated = sinks.with_date_keys(treatment.treat(series.drop_repeats(batch, SAMPLE_KEYS), limits))
+        parts = treated.withColumn("batch", F.lit(batch_id)).hint("rebalance", *sinks.DAY_KEYS)
+        writer = parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*sinks.DAY_KEYS, "batch").parquet(out)
+
+    return _start(samples, write, checkpoint, available_now)
+
+
+def read_ingested(spark: SparkSession, out: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """One row per sample of what ``ingest`` has written, of the days from ``start`` to ``end`` (ISO dates, inclusive).
+
+    The copy that wins is the one the batch operator chooses; labels follow from it.
+    """
+    treated = sinks.read_curated(spark, out, start, end).drop("batch", *sinks.DAY_KEYS)
+    measured = [c for c in treated.columns if c not in (*SAMPLE_KEYS, *schemas.STATUS_COLUMNS)]
+    return series.drop_repeats(treated, SAMPLE_KEYS, decide=measured)
+
+
+def compact(spark: SparkSession, out: str, curated: str, start: str, end: str) -> None:
+    """Write days that are closed, with one row per sample, as few files sorted by machine. May be run again."""
+    merged = read_ingested(spark, out, start, end)
+    sinks.write_by_day(merged, curated, mode="overwrite", replace_days=True)
 
 
 def write_counter_rates(
@@ -123,34 +210,108 @@ def write_counter_rates(
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
     interval: float | None = None,
+    delay: str = DEFAULT_DELAY,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Rates across batches: each batch starts from the last sample of every machine seen so far.
+    """Rates across batches, corrected when samples come late; ``read_counter_rates`` gives the current ones.
 
-    That state is one row per machine, kept in two alternating folders next to the checkpoint: batch n reads what
-    batch n-1 wrote and overwrites what batch n-2 wrote, so a batch that is run again finds its input unchanged.
-    The work per batch is the batch operator itself, on built-in expressions, and a busy machine is sliced as
-    there. A sample that arrives after a later one of its machine is rated against what its own batch holds.
+    The state holds, per machine, the samples within ``delay`` of its newest and the one before them, in two alternating
+    folders next to the checkpoint: batch n reads what batch n-1 wrote and overwrites what batch n-2 wrote, so a batch
+    that is run again finds its input unchanged. A late sample is rated against its neighbours in time, and the rate of
+    the sample behind it is written again. Samples from before the state get ``late`` = true and no rate.
     """
     columns = list(dict.fromkeys([*keys, *order, *counters.values()]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = batch.withColumn("__carried", F.lit(False)).persist()
-        combined = current
+        state_schema = T.StructType(
+            [
+                *batch.select(*columns).schema.fields,
+                *[T.StructField(f"__old_{rate}", T.DoubleType()) for rate in counters],
+                T.StructField("__base", T.BooleanType()),
+            ]
+        )
+        carried = spark.createDataFrame([], state_schema)
         if batch_id > 0:
-            carried = spark.read.schema(batch.select(*columns).schema).parquet(_state(checkpoint, batch_id - 1))
-            combined = current.unionByName(carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
-        rated = series.counter_rates(combined, counters, keys, order, interval)
-        rated.where(~F.col("__carried")).drop("__carried").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        state = ordered.last_row(combined.select(*columns), keys, order)
-        state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
-        current.unpersist()
+            carried = spark.read.schema(state_schema).parquet(_state(checkpoint, batch_id - 1))
+        floors = carried.groupBy(*keys).agg(F.min(order[0]).alias("__floor"))
+        current = batch.join(floors, list(keys), "left").withColumn("late", F.coalesce(F.col(order[0]) < F.col("__floor"), F.lit(False)))
+        current = current.drop("__floor").withColumn("__carried", F.lit(False)).persist()
+        try:
+            timely = current.where(~F.col("late"))
+            combined = timely.unionByName(carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
+            rated = series.counter_rates(combined, counters, keys, order, interval)
+            rated = rated.withColumns(
+                {rate: F.when(F.col("__base"), F.col(f"__old_{rate}")).otherwise(F.col(rate)) for rate in counters}
+            )
+            changed = F.lit(False)
+            for rate in counters:
+                changed = changed | ~F.col(rate).eqNullSafe(F.col(f"__old_{rate}"))
+            fresh = rated.where(~F.col("__carried") | changed).withColumn("late", F.lit(False))
+            done = fresh.unionByName(current.where("late"), allowMissingColumns=True)
+            helpers = ["__carried", "__base", *[f"__old_{rate}" for rate in counters]]
+            done.drop(*helpers).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            held = rated.select(*columns, *[F.col(rate).alias(f"__old_{rate}") for rate in counters])
+            newest = held.groupBy(*keys).agg(F.max(order[0]).alias("__newest"))
+            held = held.join(newest, list(keys))
+            recent = F.col(order[0]) >= F.col("__newest") - F.expr(f"interval {delay}")
+            before = ordered.last_row(held.where(~recent), keys, order).withColumn("__base", F.lit(True))
+            state = held.where(recent).withColumn("__base", F.lit(False)).unionByName(before).drop("__newest")
+            state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
+        finally:
+            current.unpersist()
 
-    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(stream, write, checkpoint, available_now)
+
+
+def read_counter_rates(
+    spark: SparkSession, path: str, keys: Sequence[str] = ("machine",), order: Sequence[str] = ("ts",)
+) -> DataFrame:
+    """The newest version of every sample's rates."""
+    versions = spark.read.option("mergeSchema", "false").parquet(path)
+    newest = versions.groupBy(*keys, *order).agg(F.max("batch").alias("batch"))
+    return versions.join(newest, [*keys, *order, "batch"]).drop("batch")
+
+
+def write_held(
+    stream: DataFrame,
+    value: str,
+    path: str,
+    checkpoint: str,
+    out: str = "held",
+    keys: Sequence[str] = ("machine",),
+    order: Sequence[str] = ("ts",),
+    every: int = series.SAMPLE_HOLD_EVERY,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Sample-and-hold across batches: samples are counted as they arrive, by time within a batch.
+
+    The state is one row per machine (number of samples, last measurement), kept like that of the rates.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fields = [batch.schema[k] for k in keys]
+        state_schema = T.StructType([*fields, T.StructField("__n", T.LongType()), T.StructField("__held", batch.schema[value].dataType)])
+        before = spark.createDataFrame([], state_schema)
+        if batch_id > 0:
+            before = spark.read.schema(state_schema).parquet(_state(checkpoint, batch_id - 1))
+        width = ordered.slice_width(batch, keys, order[0])
+        numbered = ordered.with_running_counts(batch, keys, order, {"n": F.lit(True)}, width)
+        numbered = numbered.join(before, list(keys), "left").withColumn("n", F.col("n") + F.coalesce("__n", F.lit(0)))
+        due = (F.col("n") == 1) | (F.col("n") % every == 0)
+        measured = numbered.withColumn("__measured", F.when(due, F.col(value)))
+        held = ordered.with_last_known(measured, keys, order, "__measured", out, width)
+        held = held.withColumn(out, F.coalesce(F.col(out), F.col("__held"))).drop("__measured", "__n", "__held").persist()
+        try:
+            held.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            now = held.groupBy(*keys).agg(F.max("n").alias("__n"), F.max_by(out, "n").alias("__held"))
+            state = now.unionByName(before.join(now, list(keys), "left_anti"))
+            state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
+        finally:
+            held.unpersist()
+
+    return _start(stream, write, checkpoint, available_now)
 
 
 def _state(checkpoint: str, batch_id: int) -> str:

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -16,24 +17,48 @@ def limits(spark):
     return spark.createDataFrame([(files.MACHINE, "cpu", 20.0), (files.MACHINE, "disk", 60.0)], schemas.LIMITS_SCHEMA)
 
 
-def test_ingest_equals_batch(spark, tmp_path):
+def batch_of(spark, root):
+    day = landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7))
+    return treatment.treat(series.drop_repeats(landing.canonical_agent(day)), limits(spark))
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 10])
+def test_ingest_equals_batch(spark, tmp_path, files_per_trigger):
     root = files.write_landing(tmp_path)
     out = str(tmp_path / "out")
-    query = pipeline.ingest(
-        spark, landing.day_path(root, 2031, 2, 7), limits(spark), f"{out}/data", f"{out}/check", files_per_trigger=1
-    )
-    query.awaitTermination()
-    assert (tmp_path / "out" / "data" / "ano=2031" / "mes=02" / "dia=07").is_dir()
-    streamed = spark.read.parquet(f"{out}/data").drop(*sinks.DAY_KEYS)
-    batch = treatment.treat(
-        series.drop_repeats(landing.canonical_agent(landing.read_agent_csv(spark, landing.day_path(root, 2031, 2, 7)))),
-        limits(spark),
-    ).select(*streamed.columns)
+    day = landing.day_path(root, 2031, 2, 7)
+    pipeline.ingest(spark, day, limits(spark), f"{out}/data", f"{out}/check", files_per_trigger).awaitTermination()
+    assert (tmp_path / "out" / "data" / "ano=2031" / "mes=02" / "dia=07" / "batch=0").is_dir()
+    batch = batch_of(spark, root)
+    streamed = pipeline.read_ingested(spark, f"{out}/data").select(*batch.columns)
     assert streamed.count() == 27
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert {r[0] for r in streamed.select("status_cpu").distinct().collect()} == {"NORMAL", "ATENCAO", "CRITICO"}
 
 
+@pytest.mark.parametrize("files_per_trigger", [1, 10])
+def test_uploads_hours_late_are_kept_and_compacted(spark, tmp_path, files_per_trigger):
+    day = tmp_path / "raw"
+    day.mkdir()
+    for n in range(4):  # the second machine's only upload is the oldest in time and the last to come
+        start = 0 if n == 3 else 3000 + 60 * n
+        rows = [files.agent_fields(start + i) for i in range(60)]
+        if n == 3:
+            rows = [["0a:1b:2c:3d:4e:60", *row[1:]] for row in rows]
+        (day / f"{n}.csv").write_text(files.text(rows))
+        os.utime(day / f"{n}.csv", (1_900_000_000 + n, 1_900_000_000 + n))
+    out = str(tmp_path / "out")
+    pipeline.ingest(spark, str(day), limits(spark), f"{out}/data", f"{out}/check", files_per_trigger).awaitTermination()
+    assert pipeline.read_ingested(spark, f"{out}/data").count() == 240
+    for _ in range(2):
+        pipeline.compact(spark, f"{out}/data", f"{out}/curated", "2031-02-07", "2031-02-07")
+        assert spark.read.parquet(f"{out}/curated").groupBy("machine").count().count() == 2
+    assert spark.read.parquet(f"{out}/curated").count() == 240
+    assert sinks.read_curated(spark, f"{out}/curated", start="2031-02-08").count() == 0
+    plan = sinks.read_curated(spark, f"{out}/curated", "2031-02-08", "2031-02-09")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [" in plan.toString() and "PartitionFilters: []" not in plan.toString()
+
+
 def arrivals(spark, tmp_path, parts=4, n=400):
     """Samples of three machines in time order, one file per arrival."""
     rng = random.Random(1)
@@ -60,10 +85,48 @@ def test_rates_across_batches_equal_batch(spark, tmp_path, interval):
     pipeline.write_counter_rates(
         stream, {"rate": "counter"}, f"{out}/data", f"{out}/check", interval=interval
     ).awaitTermination()
-    streamed = spark.read.parquet(f"{out}/data")
-    assert streamed.select("batch").distinct().count() == 4
+    assert spark.read.parquet(f"{out}/data").select("batch").distinct().count() == 4
     expected = series.counter_rates(everything, {"rate": "counter"}, interval=interval)
-    assert sorted(map(tuple, streamed.drop("batch").collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    streamed = pipeline.read_counter_rates(spark, f"{out}/data").drop("late").select(*expected.columns)
+    assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_late_samples_are_rated_and_correct_their_neighbour(spark, tmp_path):
+    start, folder = datetime(2031, 2, 7), tmp_path / "in"
+    schema = "machine string, ts timestamp, counter bigint"
+    folder.mkdir()
+    for n, lot in enumerate([[(0, 0), (30, 300)], [(10, 50), (40, 350)], [(-7200, 1)], [(2000, 2310)]]):
+        rows = [("m", start + timedelta(seconds=s), c) for s, c in lot]
+        part = tmp_path / f"part{n}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(part))
+        [written] = part.glob("part-*.parquet")
+        (folder / f"{n}.parquet").write_bytes(written.read_bytes())
+        os.utime(folder / f"{n}.parquet", (1_900_000_000 + n, 1_900_000_000 + n))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    out = str(tmp_path / "out")
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
+    rated = {r["counter"]: (r["rate"], r["late"]) for r in pipeline.read_counter_rates(spark, f"{out}/data").collect()}
+    assert rated == {0: (None, False), 50: (5.0, False), 300: (12.5, False), 350: (5.0, False), 1: (None, True), 2310: (1.0, False)}
+
+
+def test_held_values_across_batches_equal_batch(spark, tmp_path):
+    folder, everything, schema = arrivals(spark, tmp_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = str(tmp_path / "out")
+    pipeline.write_held(stream, "counter", f"{out}/data", f"{out}/check").awaitTermination()
+    expected = series.sample_and_hold(everything, "counter")
+    streamed = spark.read.parquet(f"{out}/data").select(*expected.columns)
+    assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_minutes_without_a_watermark_equal_batch(spark, tmp_path):
+    folder, everything, schema = arrivals(spark, tmp_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", "true").parquet(folder)
+    out = str(tmp_path / "out")
+    pipeline.write_minutes(stream, ["counter"], f"{out}/data", f"{out}/check").awaitTermination()
+    expected = series.minute_series(everything, ["counter"])
+    got = pipeline.read_minutes(spark, f"{out}/data", ["counter"]).select(*expected.columns)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
 def test_minutes_across_batches_equal_batch(spark, tmp_path):
