@@ -188,7 +188,16 @@ def with_last_known(
 
 
 def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The latest row of each key, by aggregation: every task sends at most one row per key."""
-    newest = F.max_by(F.struct(*df.columns), F.struct(*order))
-    grouped = df.groupBy(*keys).agg(newest.alias("__row"))
+    """The latest row of each key.
+
+    The greatest first order column per key is found by hash aggregation over key and time alone; only rows that have
+    it are sorted and compared by the other order columns. NULL keys are keys, and a NULL time comes before all others.
+    """
+    newest = df.groupBy(*keys).agg(F.max(order[0]).alias("__newest"))
+    newest = newest.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__newest")
+    same = df[order[0]].eqNullSafe(newest["__newest"])
+    for key in keys:
+        same = same & df[key].eqNullSafe(newest[f"__key_{key}"])
+    latest = df.join(newest, same, "left_semi")
+    grouped = latest.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("__row"))
     return grouped.select(*[F.col("__row")[c].alias(c) for c in df.columns])

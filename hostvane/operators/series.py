@@ -175,13 +175,14 @@ def drop_repeats(
     """One row per machine and instant from overlapping uploads.
 
     A copy with more filled columns wins (a later agent version), then the greatest row, so the choice does not
-    depend on arrival order; ``decide`` limits which columns count. Copies collapse inside each task before the shuffle.
+    depend on arrival order; ``decide`` limits which columns count. Nearly every key is unique, so rows are shuffled
+    first and sorted once, behind the shuffle.
     """
     others = [c for c in samples.columns if c not in keys]
     decide = others if decide is None else list(decide)
     others = [*decide, *[c for c in others if c not in decide]]
     filled = sum((F.col(c).isNotNull().cast("int") for c in decide), F.lit(0))
     best = F.max(F.struct(filled.alias("__filled"), *others)).alias("__row")
-    return samples.groupBy(*keys).agg(best).select(
+    return samples.repartition(*keys).groupBy(*keys).agg(best).select(
         *[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in samples.columns]
     )

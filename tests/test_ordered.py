@@ -114,3 +114,12 @@ def test_last_row(spark):
         if machine and ts:
             want[machine] = max(want.get(machine, (ts, i)), (ts, i))
     assert got == {machine: key[1] for machine, key in want.items()}
+
+
+def test_last_row_sorts_only_the_latest_rows(spark):
+    rows = [("a", 1, 5, "x"), ("a", 2, 1, "y"), ("a", 2, 3, "z"), (None, 7, 1, "n"), ("t", None, 1, "p"), ("t", None, 2, "q")]
+    frame = spark.createDataFrame(rows, "k string, t int, n int, v string")
+    assert {r["k"]: r["v"] for r in ordered.last_row(frame, ["k"], ["t", "n"]).collect()} == {"a": "z", None: "n", "t": "q"}
+    plan = ordered.last_row(frame, ["k"], ["t", "n"])._jdf.queryExecution().executedPlan().toString()
+    below_join = plan[plan.index("Join") :]
+    assert "HashAggregate" in below_join and "SortAggregate" not in below_join

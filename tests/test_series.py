@@ -113,3 +113,9 @@ def test_series_is_sorted(spark):
     frame = samples(spark, range(100)).repartition(9)
     times = [r["ts"] for r in series.series(frame, {"ts": F.col("ts"), "v": F.col("v")}).collect()]
     assert times == sorted(times)
+
+
+def test_repeats_are_sorted_once(spark):
+    frame = samples(spark, [1, 2, 3])
+    plan = series.drop_repeats(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
