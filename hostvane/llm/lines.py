@@ -99,7 +99,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = stored(_chunk_rows(rows, True).join(repeated, "hash", "left_semi"), "chunks")
     first = found.groupBy("hash", "chunk").agg(F.min(order).alias("first"))
     same = found.join(first, ["hash", "chunk"]).where(order != F.col("first"))
-    return same.select("doc_id", "text_hash", "position", F.col("first.doc_id").alias("first_doc_id"), F.length("chunk").cast("long").alias("n_chars"))
+    places = same.select("doc_id", "text_hash", "position", F.col("first.doc_id").alias("first_doc_id"), F.length("chunk").cast("long").alias("n_chars"))
+    return places.distinct()
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -86,3 +86,12 @@ def test_odd_rows(spark):
     other = next(r for r in got if r.doc_id is None and r.text is not None)
     assert "word word" not in other.text and other.removed_chunks > 0
     assert lines.line_dedup(docs.limit(0)).collect() == []
+
+
+def test_many_equal_rows_are_one_document(spark):
+    text = "one line here\nand another\n" * 2 + "word " * 60
+    docs = spark.createDataFrame([(1, text, None, None, None), *[(2, text, None, None, None)] * 500], COLUMNS)
+    gone = lines.repeated_chunks(docs)
+    assert gone.count() == gone.dropDuplicates(["doc_id", "text_hash", "position"]).count() < 10
+    got = lines.line_dedup(docs).where("doc_id = 2").select("text", "removed_chars").distinct().collect()
+    assert len(got) == 1 and got[0].removed_chars <= len(text)
