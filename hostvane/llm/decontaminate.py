@@ -170,11 +170,13 @@ class Index:
         """(document, item, edits, first word) of every item found in every document, with the fewest edits."""
         found = [words(text) for text in documents]
         held: list[int] = []
+        n_words = 0
         for k, own in enumerate(found):
             held.append(k)
-            if k + 1 == len(found) or sum(len(found[h]) for h in held) + len(found[k + 1]) > WORDS_AT_ONCE:
+            n_words += len(own)
+            if k + 1 == len(found) or n_words + len(found[k + 1]) > WORDS_AT_ONCE:
                 yield from self._matches_of(held, found)
-                held = []
+                held, n_words = [], 0
 
     def _matches_of(self, which: list[int], found: list[list[bytes]]) -> Iterator[tuple[int, int, int, int]]:
         if not self.tables:
