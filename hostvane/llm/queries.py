@@ -11,9 +11,50 @@ from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
 
-@query()
+def _values(rows) -> str:
+    return ", ".join(str(row) for row in rows)
+
+
+#: Phrases by their words; notices by all stretches around each unchanged part, compared by edit distance.
+LICENSE_SQL = rf"""
+    WITH doc AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    line AS (SELECT row_number() OVER () AS r, doc_id, w, CASE WHEN len(w) > 0 THEN ' ' || array_to_string(w, ' ') || ' ' ELSE '' END AS l
+             FROM doc),
+    phrase(label, p) AS (VALUES {_values(licenses.PHRASES)}),
+    base AS (
+      SELECT r, label, unnest(list_filter(range(0, len(w)),
+        lambda i: array_to_string(w[i + 1 : i + len(string_split(p, ' '))], ' ') = p)) AS place
+      FROM line JOIN phrase ON contains(l, ' ' || p || ' ')),
+    bases AS (SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                     list(DISTINCT label) AS base_list FROM base GROUP BY r),
+    notice(label, n, k) AS (VALUES {_values(licenses.NOTICES)}),
+    part AS (
+      SELECT label, n, k, length(n) * j // (k + 1) AS a,
+             substr(n, length(n) * j // (k + 1) + 1, length(n) * (j + 1) // (k + 1) - length(n) * j // (k + 1)) AS seed
+      FROM (SELECT *, unnest(range(0, k + 1)) AS j FROM notice)),
+    cut AS (SELECT r, l, part.*, string_split(l, seed) AS pieces FROM line JOIN part ON contains(l, seed)),
+    hit AS (
+      SELECT r, l, label, n, k, a, unnest(list_transform(range(1, len(pieces)), lambda j:
+        list_sum(list_transform(pieces[1:j], lambda x: length(x)))::BIGINT + (j - 1) * length(seed) + 1)) AS place FROM cut),
+    started AS (SELECT *, unnest(range(place - a - k, place - a + k + 1)) AS s FROM hit),
+    stretch AS (SELECT *, unnest(range(length(n) - k, length(n) + k + 1)) AS m FROM started WHERE s >= 1),
+    edited AS (SELECT r, label, n, min(levenshtein(substr(l, s, m), n)) AS e FROM stretch
+               WHERE s + m - 1 <= length(l) GROUP BY r, label, n, k HAVING e <= k),
+    near AS (SELECT r, list(DISTINCT label) AS near_list, max(1 - e::DOUBLE / length(n)) AS best FROM edited GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(array_to_string(list_sort(base_list), ','), '') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(base_list, []), coalesce(near_list, [])))), ',') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+    FROM line LEFT JOIN bases USING (r) LEFT JOIN near USING (r)
+    """
+
+
+@query(LICENSE_SQL)
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(table(spark, sf_dir, "documents"))
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
 @query()
