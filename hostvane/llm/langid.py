@@ -162,13 +162,13 @@ def _sample(rows: DataFrame, idf: np.ndarray, sizes: dict[str, int], sample_rows
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             at, weight = zip(*(vector(counts(text), shared.value) for text in texts(batch)), strict=True)
-            arrays = [pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([w.astype(np.float32) for w in weight], pa.list_(pa.float32()))]
+            arrays = [pa.array([a.astype("<i4").tobytes() for a in at], pa.binary()), pa.array([w.astype("<f4").tobytes() for w in weight], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("draw"), batch.column("lang"), *arrays], ["draw", "lang", "at", "weight"])
 
     drawn = rows.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).limit(sample_rows)
-    drawn = drawn.select("draw", "lang", "text").mapInArrow(features, "draw double, lang string, at array<int>, weight array<float>")
-    found = sorted(drawn.collect(), key=lambda r: (r.draw, r.lang, r.at, r.weight))
-    return [(r.draw, r.lang, np.array(r.at, dtype=np.int64), np.array(r.weight)) for r in found]
+    drawn = drawn.select("draw", "lang", "text").mapInArrow(features, "draw double, lang string, at binary, weight binary")
+    found = sorted((r.draw, r.lang, bytes(r.at), bytes(r.weight)) for r in drawn.collect())
+    return [(draw, lang, np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(weight, "<f4").astype(np.float64)) for draw, lang, at, weight in found]
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
