@@ -97,7 +97,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "position")
     repeated = _chunk_rows(rows, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     found = stored(_chunk_rows(rows, True).join(repeated, "hash", "left_semi"), "chunks")
-    first = found.groupBy("hash", "chunk").agg(F.min(order).alias("first"))
+    # written, so that both sides of the join are plain shuffles and a chunk that stands in many documents can be split
+    first = stored(found.groupBy("hash", "chunk").agg(F.min(order).alias("first")), "first-chunks")
     same = found.join(first, ["hash", "chunk"]).where(order != F.col("first"))
     places = same.select("doc_id", "text_hash", "position", F.col("first.doc_id").alias("first_doc_id"), F.length("chunk").cast("long").alias("n_chars"))
     return places.distinct()
