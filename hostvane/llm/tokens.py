@@ -8,16 +8,18 @@ go to the tokenizer whole.
 
 from __future__ import annotations
 
+import base64
 import functools
 import json
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
+from itertools import chain
 
 DEFAULT_FILE = "byte_bpe_50k.json"
-#: Pieces that a worker keeps; the ids do not depend on it.
-KEPT_PIECES = 600_000
+#: Pieces of a generation; a worker keeps two generations. The ids do not depend on it.
+KEPT_PIECES = 400_000
 LONGEST_KEPT = 64
 
 _CUT = re.compile(r" (?=\S)")
@@ -31,9 +33,12 @@ def tokenizer_path(name: str = DEFAULT_FILE) -> str:
 
 
 class Encoder:
-    """Encodes texts one by one; `seed` pieces stay known when the worker's memory of pieces is emptied."""
+    """A public tokenizer, and whether its file allows encoding piece by piece."""
 
     def __init__(self, name: str = DEFAULT_FILE):
+        if name.endswith(".tiktoken"):
+            self._from_ranks(name)
+            return
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -48,20 +53,23 @@ class Encoder:
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space", True)
         )
+        self.vocabulary = self.tokenizer.get_vocab_size()
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def _from_ranks(self, name: str) -> None:
+        """A byte-level BPE as ranks; strings of special tokens are ordinary text."""
+        import public_tokenizers
+        import tiktoken
+
+        with open(tokenizer_path(name), "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.by_piece, self.special, self.vocabulary = True, [], len(ranks)
+        self.whole = lambda texts: list(map(encoding.encode_ordinary, texts))
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, text: str, known) -> tuple[str, list[str], set[str]]:
-        """First piece, the others without their space, and those of them that are not known."""
-        head, *rest = text.split(" ")
-        new = set(rest).difference(known)
-        if any(not piece or piece[0].isspace() for piece in new):  # runs of white space: cut only where it is safe
-            head, *rest = _CUT.split(text)
-            new = set(rest).difference(known)
-        return head, rest, new
-
     def needs_whole(self, text: str) -> bool:
         return not self.by_piece or any(special in text for special in self.special)
 
@@ -71,11 +79,20 @@ def encoder(name: str = DEFAULT_FILE) -> Encoder:
     return Encoder(name)
 
 
+def _unsafe(piece: str) -> bool:
+    """Whether the space before the piece belongs to a run of white space."""
+    return not piece or piece[0].isspace()
+
+
 class _Kept:
-    """Values per piece in a worker's memory, which starts again from the seed when it is full."""
+    """Values per piece in a worker's memory.
+
+    When that is full, a new generation starts from the seed, and takes over from the last one what is met again.
+    """
 
     def __init__(self, name: str, seed: dict):
-        self.encoder, self.seed, self.known = encoder(name), seed, dict(seed)
+        self.encoder, self.seed = encoder(name), seed
+        self.known, self.last = dict(seed), {}  # by piece, without the space before it
 
     def value(self, ids: list[int]):
         raise NotImplementedError
@@ -83,30 +100,38 @@ class _Kept:
     def total(self, parts):
         raise NotImplementedError
 
+    def _learn(self, pieces: set[str]) -> dict:
+        """Make new pieces known; returns the values of long ones, which are not kept."""
+        again = self.last.keys() & pieces
+        self.known.update((piece, self.last[piece]) for piece in again)
+        new = list(pieces.difference(again))
+        values = dict(zip(new, map(self.value, self.encoder.whole([" " + piece for piece in new])), strict=True))
+        long = {piece: values.pop(piece) for piece in new if len(piece) > LONGEST_KEPT}
+        self.known.update(values)
+        return long
+
     def of(self, texts: list[str]) -> list:
         """One value per text."""
         if len(self.known) > len(self.seed) + KEPT_PIECES:
-            self.known = dict(self.seed)
+            self.known, self.last = dict(self.seed), self.known
         whole = [k for k, text in enumerate(texts) if self.encoder.needs_whole(text)]
         out: list = [None] * len(texts)
         for k, ids in zip(whole, self.encoder.whole([texts[k] for k in whole]), strict=True):
             out[k] = self.total([self.value(ids)])
-        cut, new, heads = {}, set(), []
-        for k, text in enumerate(texts):
-            if out[k] is None:
-                head, rest, unknown = self.encoder.pieces(text, self.known)
-                cut[k] = rest
-                heads.append(head)
-                new |= unknown
-        order = list(new)
-        values = dict(zip(order, map(self.value, self.encoder.whole([" " + p for p in order])), strict=True))
-        long = {p: values.pop(p) for p in order if len(p) > LONGEST_KEPT}
-        self.known.update(values)
-        for (k, rest), ids in zip(cut.items(), self.encoder.whole(heads), strict=True):
-            if long and not long.keys().isdisjoint(rest):
-                parts = [long[p] if p in long else self.known[p] for p in rest]
+        cut = {k: text.split(" ") for k, text in enumerate(texts) if out[k] is None}
+        heads = {k: pieces.pop(0) for k, pieces in cut.items()}
+        new = set(chain.from_iterable(cut.values())).difference(self.known)
+        if any(map(_unsafe, new)):  # runs of white space: cut those texts only where it is safe
+            for k, pieces in cut.items():
+                if any(map(_unsafe, pieces)):
+                    heads[k], *cut[k] = _CUT.split(texts[k])
+            new = set(chain.from_iterable(cut.values())).difference(self.known)
+        long = self._learn(new)
+        for (k, pieces), ids in zip(cut.items(), self.encoder.whole(list(heads.values())), strict=True):
+            if long and not long.keys().isdisjoint(pieces):
+                parts = [long[p] if p in long else self.known[p] for p in pieces]
             else:
-                parts = list(map(self.known.__getitem__, rest))
+                parts = map(self.known.__getitem__, pieces)
             out[k] = self.total([self.value(ids), *parts])
         return out
 
@@ -124,7 +149,10 @@ class PieceIds(_Kept):
         super().__init__(name, {})
 
     def value(self, ids):
-        return np.array(ids, dtype="<u4").tobytes()
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def total(self, parts):
         return b"".join(parts)

@@ -78,6 +78,15 @@ def test_round_trip(spark, block):
     assert len(ids) >= len(at)
 
 
+def test_ranks_give_the_ids_of_the_tokenizer_file():
+    from test_tokens import NASTY, random_texts
+
+    texts = [t for t in NASTY + random_texts(1500, 8) if "<|endoftext|>" not in t]
+    whole = encoder().whole(texts)
+    assert encoder(p.RANKS_FILE).whole(texts) == whole
+    assert [np.frombuffer(b, "<u4").tolist() for b in p.piece_ids(p.RANKS_FILE).of(texts)] == whole
+
+
 def test_empty(spark):
     packed = p.write_packed(spark.createDataFrame([], COLUMNS))
     assert packed.collect() == [] and p.packed_pieces(packed).collect() == []

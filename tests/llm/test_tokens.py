@@ -13,7 +13,7 @@ from hostvane.llm.tokens import PieceIds, PieceLengths, encoder
 NASTY = [
     "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a   b", "a\n b", "a \n b", "a \n\n  b  ", "foo\n \nbar", "x\t y", "x \ty",
     "don't we'll 's  's", "été l'œuvre à  la", "a b  c", "\x1c \x1cfoo \x1c", "a  b", "日本語 テキスト", "🙂 🙂🙂  🙂",
-    "end<|endoftext|> of <|endoftext|>", "<|endoftext", "12 345  6.7,8", "word " * 50, "y" * 500 + " " + "z" * 400, "a\r\n\r\n b",
+    "end<|endoftext|> of <|endoftext|>", "<|endoftext", "12 345  6.7,8", "word " * 50, "Words, in a row.\nNext one;\nthen ª º × ÷ a×b Łódź!?.\nÉté\nx\ny z.\n\nw don't.\nit's it's.", "y" * 500 + " " + "z" * 400, "a\r\n\r\n b",
 ]
 
 
@@ -27,7 +27,7 @@ def plain(text):
 
 def random_texts(n, seed):
     rng = random.Random(seed)
-    alphabet = ["a", "the", "été", " ", "  ", "\n", "\t", "'s", "'", ".", "9", "é", " ", "<|endoftext|>", "ß", "\x1c"]
+    alphabet = ["a", "Word", ".\nNext", "×", ",", "?!", "the", "été", " ", "  ", "\n", "\t", "'s", "'", ".", "9", "é", " ", "<|endoftext|>", "ß", "\x1c"]
     return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(n)]
 
 
