@@ -41,6 +41,15 @@ def frequent_pieces(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(FREQUENT)
 
 
+_KNOWN: list = []  # a broadcast table and what the worker knows beside it, kept from task to task
+
+
+def _known(name: str, table) -> PieceLengths:
+    if not _KNOWN or _KNOWN[0] is not table.value:
+        _KNOWN[:] = [table.value, PieceLengths(name, dict(zip(*table.value, strict=True)))]
+    return _KNOWN[1]
+
+
 def token_counts(docs: DataFrame, name: str = DEFAULT_FILE, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes (UTF-8), n_tokens, over_limit (more tokens than `limit`).
 
@@ -54,7 +63,7 @@ def token_counts(docs: DataFrame, name: str = DEFAULT_FILE, limit: int = 512, do
     table = spark.sparkContext.broadcast((pieces, array("I", lengths)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = PieceLengths(name, dict(zip(*table.value, strict=True)))
+        known = _known(name, table)
         for batch in small_batches(batches):
             values = texts(batch)
             n_bytes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
