@@ -5,10 +5,16 @@ cut alike wherever they stand in a document. A line of `LONG_LINE` words or more
 two lines or more with words in them, or is one long line, is removed wherever it stands but at its first place in the
 corpus (smallest doc_id, then position). Only hashes of chunks are shuffled to find candidates; the text of chunks whose
 hash repeats is then compared byte by byte.
+
+Chunks are cut alike only where the lines around them are alike. Passages do not depend on those: the shortest run of
+lines from every line on, and up to every line, that holds `LONG_LINE` words. Every repeated run of as many words is
+covered by repeated passages, whatever stands around it, and nothing else is. As passages overlap, their SHA-256 digests
+are compared in place of their text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +65,52 @@ def removable(chunk: str) -> bool:
     return len(lines) > 1 or any(len(line.split(None, LONG_LINE)) >= LONG_LINE for line in lines)
 
 
+def passages(text: str) -> list[tuple[int, int]]:
+    """(first line, end) of the shortest runs of two lines or more with `LONG_LINE` words, which begin and end with a word."""
+    n_words = np.array([len(line.split()) for line in text.split("\n")])
+    full = np.flatnonzero(n_words)
+    total = np.r_[0, np.cumsum(n_words[full])]
+    last = np.searchsorted(total, total[:-1] + LONG_LINE) - 1  # from every line on
+    first = np.searchsorted(total, total[1:] - LONG_LINE, side="right") - 1  # up to every line
+    k = np.arange(len(full))
+    onward, upto = last < len(full), first >= 0
+    start, stop = np.r_[k[onward], first[upto]], np.r_[last[onward], k[upto]]
+    several = stop > start
+    return sorted(set(zip(full[start[several]].tolist(), (full[stop[several]] + 1).tolist(), strict=True)))
+
+
+def pieces(text: str, with_passages: bool) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(first line, end, hash, characters, bytes or digest) of the chunks and passages that may be removed."""
+    start = 0
+    for chunk in chunks(text):
+        end = start + chunk.count("\n") + 1
+        if removable(chunk):
+            yield start, end, xxhash.xxh3_64_intdigest(chunk) - (1 << 63), len(chunk), chunk.encode()
+        start = end
+    if with_passages:
+        lines = text.split("\n")
+        for a, b in passages(text):
+            passage = "\n".join(lines[a:b])
+            digest = hashlib.sha256(passage.encode()).digest()
+            yield a, b, int.from_bytes(digest[:8], "little", signed=True), len(passage), digest
+
+
+def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """The text without these ranges of lines, the number of chunks that lose lines, and how many characters they lose."""
+    lines, gone = text.split("\n"), set()
+    for a, b in ranges:
+        gone.update(range(a, b))
+    kept, n_chunks, n_chars, start = [], 0, 0, 0
+    for end in chunk_ends(lines):
+        left = [lines[k] for k in range(start, end) if k not in gone]
+        if len(left) < end - start:
+            n_chunks += 1
+            n_chars += sum(map(len, lines[start:end])) + end - start - 1 - len("\n".join(left))
+        kept += left
+        start = end
+    return "\n".join(kept), n_chunks, n_chars
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
 
@@ -68,74 +120,67 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """(doc_id, text_hash, position, hash[, chunk]) of chunks that may be removed."""
-    names = ["doc_id", "text_hash", "position", "hash", *["chunk"] * with_text]
-    kinds = [pa.int64()] * 4 + [pa.string()] * with_text
+def _chunk_rows(docs: DataFrame, with_text: bool, with_passages: bool) -> DataFrame:
+    """(doc_id, text_hash, position, end, hash[, n_chars, chunk]) of lines that may be removed."""
+    names = ["doc_id", "text_hash", "position", "end", "hash", *["n_chars", "chunk"] * with_text]
+    kinds = [pa.int64()] * 5 + [pa.int64(), pa.binary()] * with_text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             out = []
             for key, named, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts(batch), strict=True):
-                for position, chunk in enumerate(chunks(text)):
-                    if removable(chunk):
-                        hashed = xxhash.xxh3_64_intdigest(chunk) - (1 << 63)
-                        out.append((key, named, position, hashed, chunk)[: len(names)])
+                out += ((key, named, *piece)[: len(names)] for piece in pieces(text, with_passages))
             columns = zip(*out, strict=True) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    schema = "doc_id long, text_hash long, position long, hash long" + ", chunk string" * with_text
+    schema = "doc_id long, text_hash long, position long, end long, hash long" + ", n_chars long, chunk binary" * with_text
     return docs.withColumn("text_hash", text_hash(F.col("text"))).mapInArrow(cut, schema)
 
 
-def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, position, first_doc_id, n_chars) of every chunk that goes, from all documents.
+def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_passages: bool = False) -> DataFrame:
+    """(doc_id, text_hash, position, end, first_doc_id, n_chars) of all lines that go, chunk by chunk, from all documents.
 
-    Null text has no chunks. A null doc_id comes after all others. Rows with equal doc_id and text are one document.
+    `position` is the first line. Null text has no chunks. A null doc_id comes after all others. Rows with equal doc_id
+    and text are one document. With passages, those that repeat have rows too.
     """
     rows = _keyed(docs, doc_id, text)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "position")
-    repeated = _chunk_rows(rows, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    found = stored(_chunk_rows(rows, True).join(repeated, "hash", "left_semi"), "chunks")
+    repeated = _chunk_rows(rows, False, with_passages).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    found = stored(_chunk_rows(rows, True, with_passages).join(repeated, "hash", "left_semi"), "chunks")
     # written, so that both sides of the join are plain shuffles and a chunk that stands in many documents can be split
     first = stored(found.groupBy("hash", "chunk").agg(F.min(order).alias("first")), "first-chunks")
     same = found.join(first, ["hash", "chunk"]).where(order != F.col("first"))
-    places = same.select("doc_id", "text_hash", "position", F.col("first.doc_id").alias("first_doc_id"), F.length("chunk").cast("long").alias("n_chars"))
+    places = same.select("doc_id", "text_hash", "position", "end", F.col("first.doc_id").alias("first_doc_id"), "n_chars")
     return places.distinct()
 
 
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_passages: bool = False) -> DataFrame:
     """All columns of `docs`, with the text without its repeated chunks, and removed_chunks, removed_chars (long).
 
-    Documents in which nothing repeats are unchanged; a document all of whose chunks are found earlier gets the empty
-    text. The first copy of a chunk always stays, also among chunks of one document. Null and empty texts are
-    unchanged. Rows with equal doc_id and text are one document: they stay alike. Columns of `docs` that bear the names
-    of the two new ones are replaced. An empty table gives no rows.
+    With passages, lines go too that stand in a run of `LONG_LINE` words or more found earlier, and removed_chunks counts
+    the chunks that lose lines, in whole or in part. Documents in which nothing repeats are unchanged; a document all of
+    whose chunks are found earlier gets the empty text. The first copy of a chunk always stays, also among chunks of one
+    document; of a passage, every line stays somewhere. Null and empty texts are unchanged. Rows with equal doc_id and
+    text are one document: they stay alike. Columns of `docs` that bear the names of the two new ones are replaced. An
+    empty table gives no rows.
     """
-    gone = repeated_chunks(docs, doc_id, text).groupBy("doc_id", "text_hash").agg(
-        F.collect_list("position").alias("_positions"), F.sum("n_chars").alias("_chars")
+    gone = repeated_chunks(docs, doc_id, text, with_passages).groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("position", "end")).alias("_ranges")
     )
-    gone = gone.select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"), "_positions", "_chars")
+    gone = gone.select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"), "_ranges")
     same = docs[doc_id].cast("long").eqNullSafe(F.col("_key")) & (text_hash(docs[text]) == F.col("_hash"))
-    joined = docs.join(gone, same, "left").withColumns(
-        {
-            "removed_chunks": F.when(F.col("_positions").isNull(), 0).otherwise(F.size("_positions")).cast("long"),
-            "removed_chars": F.coalesce("_chars", F.lit(0)).cast("long"),
-        }
-    )
-    joined = joined.drop("_key", "_hash", "_chars")
+    counts = ("removed_chunks", "removed_chars")
+    joined = docs.join(gone, same, "left").withColumns({c: F.lit(0).cast("long") for c in counts}).drop("_key", "_hash")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            at = batch.schema.get_field_index(text)
-            whole, out = batch.column(at).to_pylist(), []
-            for value, positions in zip(whole, batch.column("_positions").to_pylist(), strict=True):
-                if positions:
-                    positions = set(positions)
-                    value = "\n".join(c for k, c in enumerate(chunks(value)) if k not in positions)
-                out.append(value)
-            kept = batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
-            yield kept.drop_columns(["_positions"])
-
-    result = joined.drop("_positions").schema
+            whole, out = batch.column(text).to_pylist(), []
+            for value, ranges in zip(whole, batch.column("_ranges").to_pylist(), strict=True):
+                out.append(without(value, [(r["position"], r["end"]) for r in ranges]) if ranges else (value, 0, 0))
+            for name, values in zip((text, *counts), zip(*out, strict=True), strict=False):
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+            yield batch.drop_columns(["_ranges"])
+
+    result = joined.drop("_ranges").schema
     return joined.mapInArrow(rebuild, result)

@@ -75,7 +75,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deduplicated = lines.line_dedup(table(spark, sf_dir, "documents"))
+    deduplicated = lines.line_dedup(table(spark, sf_dir, "documents"), with_passages=True)
     return deduplicated.select("doc_id", "text", "removed_chunks", "removed_chars")
 
 
