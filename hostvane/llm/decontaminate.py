@@ -1,11 +1,10 @@
-"""Documents that hold benchmark items, exactly or with edits, by CGK embeddings and bit sampling.
+"""Documents that hold benchmark items, exactly or with edits, by spaced seeds of characters.
 
-Texts are sequences of words. Windows start at winnowed pairs of words (the smallest hash among any `SPAN` consecutive
-pairs), so an item and its copy inside a document start windows at the same words. The CGK random walk reads a window word by word:
-at step j it outputs the current word and moves on or stays by a random bit of (j, word). Sequences at a small edit
-distance give outputs at a small Hamming distance. Every table samples a few steps of the walk as its key. A window is
-walked once for items of all sizes: the tables of each size class sample steps that lie within it. Windows that share a
-key with an item are aligned to the item, and the exact edit distance, in characters, decides.
+Texts are words joined by single spaces. A seed is a pattern of `kept` places within a span of `span` characters; an item
+is indexed at all its places under several patterns, and a document is read at every `stride`-th place. Where enough
+stretches of an item meet equal ones of a document at about the same shift, the item is aligned there, and the exact edit
+distance, in characters, decides. Patterns pass over changed characters between the places that they read, so that no
+word need be unchanged. Short items have seeds of their own, and those of very few characters are found by an automaton.
 
 The benchmark is read in blocks of bounded size, and only a block is ever broadcast.
 """
@@ -13,10 +12,11 @@ The benchmark is read in blocks of bounded size, and only a block is ever broadc
 from __future__ import annotations
 
 import functools
-import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,17 +28,40 @@ from hostvane.llm.shared import small_batches, texts
 
 #: An item is found where a stretch of a document is within this edit distance, as a share of the item's characters.
 MOST_EDITS = 0.2
-#: Items of fewer words are no evidence and take no part.
-LEAST_WORDS = 10
+#: Items of fewer words and fewer bytes are found where a document holds them exactly, as whole words.
+LEAST_WORDS, LEAST_BYTES = 10, 40
+#: Scripts that are written without spaces, in which a word may end anywhere.
+GAPLESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
+
+
+@dataclass(frozen=True)
+class Seeds:
+    """Patterns for items of at least so many characters."""
+
+    chars: int
+    kept: int  # places that a pattern reads
+    span: int
+    patterns: int
+    stride: int  # of places in documents
+    apart: int  # parts of an item, of PART characters, in which stretches must be found; a part in MORE of long items
+
+    def places(self) -> list[np.ndarray]:
+        rng = np.random.default_rng(20_26)
+        found: set[tuple[int, ...]] = set()
+        while len(found) < self.patterns:
+            inner = rng.choice(np.arange(1, self.span - 1), self.kept - 2, replace=False)
+            found.add((0, *sorted(inner.tolist()), self.span - 1))
+        return [np.array(f) for f in sorted(found)]
+
+
+KINDS = LONG, SHORT, TINY = Seeds(64, 10, 12, 8, 1, 2), Seeds(32, 6, 8, 4, 1, 1), Seeds(0, 4, 5, 3, 1, 1)
+PART, MORE = 8, 8
+#: Smallest hash among so many word pairs.
 SPAN = 6
-CLASSES = (4, 8, 16, 32, 64)
-#: Steps that a table samples; share of a window's steps that edits may disturb; and how often such a window is found.
-SAMPLED, DISTURBED, RECALL = 5, 0.25, 0.95
 #: Items and characters of a block of the benchmark.
-BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
-WORDS_AT_ONCE = 200_000
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 4_000_000
+CHARS_AT_ONCE = 400_000
 
-TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - DISTURBED) ** SAMPLED))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITMAP = 16
 
@@ -64,6 +87,9 @@ def anchors(hashed: np.ndarray, span: int = SPAN) -> np.ndarray:
     return np.flatnonzero(functools.reduce(np.maximum, (around[k : k + len(mixed)] for k in range(span))) == mixed)
 
 
+# ---- walks over words: not part of the search any more, kept for those who import them
+
+
 @dataclass
 class Table:
     size: int  # words of the items' class
@@ -94,135 +120,200 @@ def walk(hashed: np.ndarray, start: np.ndarray, tables: list[Table]) -> Iterator
     yield from zip(tables, keys, strict=True)
 
 
+# ---- seeds
+
+
+class Pattern:
+    """One pattern's keys of all places of the items."""
+
+    def __init__(self, places: np.ndarray, chars: np.ndarray, start: np.ndarray):
+        self.places = places
+        self.factors = np.random.default_rng(places).integers(1, 1 << 63, len(places), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        keys = self.keys(chars, 1)[start]
+        order = np.argsort(keys, kind="stable")
+        self.sorted, self.start = keys[order], start[order].astype(np.int32)
+        self.shift = np.uint64(64 - min(24, max(16, (16 * len(keys)).bit_length())))
+        self.bitmap = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bitmap[keys >> self.shift] = True
+
+    def keys(self, chars: np.ndarray, stride: int) -> np.ndarray:
+        n = len(chars) - int(self.places[-1])
+        out = np.zeros(len(range(0, n, stride)), np.uint64)
+        for place, factor in zip(self.places.tolist(), self.factors, strict=True):
+            out += chars[place : place + n : stride] * factor
+        out ^= out >> np.uint64(29)
+        out *= _MIX
+        return out
+
+    def hits(self, chars: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place in `chars`, place among the items' characters) of equal stretches."""
+        keys = self.keys(chars, stride)
+        maybe = np.flatnonzero(self.bitmap[keys >> self.shift])
+        low, high = (np.searchsorted(self.sorted, keys[maybe], side) for side in ("left", "right"))
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(maybe * stride, n), self.start[at].astype(np.int64)
+
+
+def coded(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+
+
+class Finder:
+    """Items that share a kind of seeds."""
+
+    def __init__(self, seeds: Seeds, items: list[tuple[int, str, int]]):
+        self.seeds = seeds
+        self.numbers = np.array([k for k, _, _ in items])
+        self.size = np.array([len(wording) for _, wording, _ in items])
+        self.most = np.array([most for _, _, most in items])
+        self.begin = np.cumsum(np.r_[0, self.size])[:-1]
+        chars = coded("".join(wording for _, wording, _ in items))
+        place = np.arange(len(chars))
+        owner = np.repeat(np.arange(len(items)), self.size)
+        start = place[place + seeds.span <= (self.begin + self.size)[owner]]
+        self.patterns = [Pattern(p, chars, start) for p in seeds.places()] if len(start) else []
+
+    def candidates(self, chars: np.ndarray, begin: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document, item, least and greatest shift of the item) of documents that begin at these places of `chars`."""
+        if not self.patterns or len(chars) < self.seeds.span:
+            return []
+        found = [p.hits(chars, self.seeds.stride) for p in self.patterns]
+        at, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        document = np.searchsorted(begin, at, side="right") - 1
+        item = np.searchsorted(self.begin, place, side="right") - 1
+        offset = place - self.begin[item]
+        shift = at - begin[document] - offset
+        order = np.lexsort((shift, item, document))
+        document, item, offset, shift = (x[order] for x in (document, item, offset, shift))
+        # runs of shifts without a gap wider than the edits can make
+        new = (np.diff(document, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0) | (np.diff(shift, prepend=0) > self.most[item])
+        run = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        parts = np.unique(run << 32 | offset // PART) >> 32
+        least = np.maximum(self.seeds.apart, self.size[item[first]] // (PART * MORE))
+        enough = np.bincount(parts, minlength=len(first)) >= least
+        last = np.r_[first[1:], len(run)] - 1
+        columns = (document[first], self.numbers[item[first]], shift[first], shift[last])
+        return list(zip(*(c[enough].tolist() for c in columns), strict=True))
+
+
 class Index:
-    """The items of a block: their window starts in the tables, and what verification needs."""
+    """The items of a block: what finds their places, and what verification needs."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], most_edits: float = MOST_EDITS, tables: int = TABLES):
+    def __init__(self, items: Iterable[tuple[int, str]], most_edits: float = MOST_EDITS):
         self.most_edits = most_edits
         self.items: list[tuple[int, int, str]] = []  # id, words, words joined
-        self.starts: list[tuple[int, int]] = []  # item, first word of the window
-        classes: dict[int, list[tuple[int, np.ndarray, int]]] = {}
+        near: dict[Seeds, list[tuple[int, str, int]]] = {kind: [] for kind in KINDS}
+        self.whole: set[int] = set()  # items that count as whole words alone
+        self.exact = ahocorasick.Automaton()
         for item_id, text in items:
             found = words(text or "")
             if len(found) < LEAST_WORDS:
                 continue
-            hashed = np.r_[hashes(found), np.uint64(0)]
-            for start in anchors(hashed[:-1]).tolist():
-                left = len(found) - start
-                if left >= max(CLASSES[0], len(found) / 3):
-                    size = max(c for c in CLASSES if c <= left)
-                    classes.setdefault(size, []).append((len(self.starts), hashed, start))
-                    self.starts.append((len(self.items), start))
-            self.items.append((item_id, len(found), b" ".join(found).decode()))
-        rng = np.random.default_rng(20_26)
-        self.tables = []
-        for size in CLASSES:
-            # one step of each stretch of the walk: neighbours mostly read the same word
-            edges = np.linspace(0, max(3 * size // 2, SAMPLED), SAMPLED + 1).astype(int)
-            steps = [rng.integers(edges[:-1], edges[1:]).tolist() for _ in range(tables)]
-            if size in classes:
-                own = [Table(size, s) for s in steps]
-                self._fill(own, classes[size])
-                self.tables += own
+            wording = b" ".join(found).decode()
+            kind = next(kind for kind in KINDS if len(wording) >= kind.chars)
+            if whole := len(found) < LEAST_WORDS and len(wording.encode()) < LEAST_BYTES:
+                self.whole.add(len(self.items))
+            else:
+                near[kind].append((len(self.items), wording, int(most_edits * len(wording))))
+            if whole or kind is not LONG:
+                self.exact.add_word(wording, [*self.exact.get(wording, []), len(self.items)])
+            self.items.append((item_id, len(found), wording))
+        self.finders = [Finder(seeds, own) for seeds, own in near.items() if own]
+        self.exact.make_automaton()
         self.verified = functools.lru_cache(20_000)(self._edits)
 
-    @staticmethod
-    def _fill(tables: list[Table], entries: list[tuple[int, np.ndarray, int]]) -> None:
-        offset, joined, start = 0, [], []
-        for _, hashed, first in entries:
-            joined.append(hashed)
-            start.append(offset + first)
-            offset += len(hashed)
-        for table, keys in walk(np.concatenate(joined), np.array(start), tables):
-            order = np.argsort(keys, kind="stable")
-            table.keys, table.entries = keys[order], np.array([e for e, _, _ in entries])[order]
-            table.bitmap[keys >> np.uint64(64 - _BITMAP)] = True
-
-    def candidates(self, hashed: np.ndarray, start: np.ndarray, owner: np.ndarray) -> set[tuple[int, int, int]]:
-        """(owner, item, position of the item's first word) for windows that share a key with an item."""
-        out: set[tuple[int, int, int]] = set()
-        for table, keys in walk(hashed, start, self.tables):
-            maybe = np.flatnonzero(table.bitmap[keys >> np.uint64(64 - _BITMAP)])
-            low, high = (np.searchsorted(table.keys, keys[maybe], side) for side in ("left", "right"))
-            hit = high > low
-            for window, a, b in zip(maybe[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-                for entry in table.entries[a:b].tolist():
-                    item, first = self.starts[entry]
-                    out.add((int(owner[window]), item, int(start[window]) - first))
-        return out
-
-    def _edits(self, item: int, stretch: str) -> int | None:
-        """The fewest edits of the item in the stretch, or None where there are surely too many.
+    def _edits(self, item: int, stretch: str) -> tuple[int, int] | None:
+        """The fewest edits of the item in the stretch and where that ends, or None where there are surely too many.
 
         k edits leave all but q * k of the item's q-grams unchanged.
         """
         wording = self.items[item][2]
-        if wording in stretch:
-            return 0
+        place = stretch.find(wording)
+        if place >= 0:
+            return 0, place + len(wording)
         for q in (4, 3):
             there = {stretch[k : k + q] for k in range(len(stretch) - q + 1)}
             kept = sum(wording[k : k + q] in there for k in range(len(wording) - q + 1))
             if kept < len(wording) - q + 1 - q * int(self.most_edits * len(wording)):
                 return None
-        return fewest_edits(wording, stretch)
+        return fewest_edits_and_end(wording, stretch)
 
     def matches(self, documents: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(document, item, edits, first word) of every item found in every document, with the fewest edits."""
-        found = [words(text) for text in documents]
-        held: list[int] = []
-        n_words = 0
-        for k, own in enumerate(found):
-            held.append(k)
-            n_words += len(own)
-            if k + 1 == len(found) or n_words + len(found[k + 1]) > WORDS_AT_ONCE:
-                yield from self._matches_of(held, found)
-                held, n_words = [], 0
-
-    def _matches_of(self, which: list[int], found: list[list[bytes]]) -> Iterator[tuple[int, int, int, int]]:
-        if not self.tables:
-            return
-        hashed = [np.r_[hashes(found[k]), np.uint64(0)] for k in which]
-        offset = np.cumsum([0, *map(len, hashed)])
-        start = [anchors(h[:-1]) for h in hashed]
-        owner = np.repeat(np.arange(len(which)), [len(s) for s in start])
-        start = np.concatenate(start) + offset[owner]
+        held: list[str] = []
+        n_chars = done = 0
+        for k, text in enumerate(documents):
+            held.append(b" ".join(words(text)).decode())
+            n_chars += len(held[-1])
+            if k + 1 == len(documents) or n_chars + len(documents[k + 1]) > CHARS_AT_ONCE:
+                for document, *match in self._matches_of(held):
+                    yield done + document, *match
+                done += len(held)
+                held, n_chars = [], 0
+
+    def _matches_of(self, found: list[str]) -> Iterator[tuple[int, int, int, int]]:
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for own, item, first in sorted(self.candidates(np.concatenate(hashed), start, owner)):
-            _, n_words, wording = self.items[item]
-            document, begin = found[which[own]], first - int(offset[own])
-            slack = int(self.most_edits * n_words) + 2
-            stretch = b" ".join(document[max(0, begin - slack) : begin + n_words + slack]).decode()
-            edits = self.verified(item, stretch)
-            if edits is not None and edits <= self.most_edits * len(wording):
-                key, now = (which[own], item), (edits, max(0, begin))
-                best[key] = min(best.get(key, now), now)
-        for (document, item), (edits, begin) in sorted(best.items()):
-            yield document, item, edits, begin
+        if len(self.exact):
+            for document, text in enumerate(found):
+                for end, items in self.exact.iter(text):
+                    place = end + 1 - len(self.items[items[0]][2])
+                    whole = apart(text, place) and apart(text, end + 1)
+                    for item in items:
+                        if whole or item not in self.whole:
+                            best.setdefault((document, item), (0, place))
+        chars = coded("\n".join(found))
+        begin = np.cumsum([0, *(len(text) + 1 for text in found[:-1])])
+        for finder in self.finders:
+            for document, item, low, high in finder.candidates(chars, begin):
+                wording = self.items[item][2]
+                if best.get((document, item), (1, 0))[0] == 0:
+                    continue
+                slack = int(self.most_edits * len(wording)) + 1
+                first = max(0, low - slack)
+                match = self.verified(item, found[document][first : high + len(wording) + slack])
+                if match is not None and match[0] <= self.most_edits * len(wording):
+                    now = (match[0], max(0, first + match[1] - len(wording)))
+                    best[document, item] = min(best.get((document, item), now), now)
+        for (document, item), (edits, place) in sorted(best.items()):
+            yield document, item, edits, found[document].count(" ", 0, place)
+
+
+def apart(text: str, place: int) -> bool:
+    """Whether a word may begin or end at this place."""
+    around = text[max(0, place - 1) : place + 1]
+    return place in (0, len(text)) or " " in around or bool(GAPLESS.search(around))
 
 
 def fewest_edits(wording: str, stretch: str) -> int:
-    """Smallest edit distance of `wording` to any substring of `stretch`: bit-parallel columns of the distance table."""
+    """Smallest edit distance of `wording` to any substring of `stretch`."""
+    return fewest_edits_and_end(wording, stretch)[0]
+
+
+def fewest_edits_and_end(wording: str, stretch: str) -> tuple[int, int]:
+    """That distance, and the end of the first such substring: bit-parallel columns of the distance table."""
     n = len(wording)
     if not n:
-        return 0
+        return 0, 0
     masks: dict[str, int] = {}
     for k, c in enumerate(wording):
         masks[c] = masks.get(c, 0) | 1 << k
     full, top = (1 << n) - 1, 1 << (n - 1)
-    plus, minus, score, best = full, 0, n, n
-    for c in stretch:
+    plus, minus, score, best, end = full, 0, n, n, 0
+    for place, c in enumerate(stretch, 1):
         equal = masks.get(c, 0)
         diagonal = (((equal & plus) + plus) ^ plus) | equal | minus
         more, less = minus | (full & ~(diagonal | plus)), plus & diagonal
         if less & top:
             score -= 1
             if score < best:
-                best = score
+                best, end = score, place
         elif more & top:
             score += 1
         more, less = more << 1, less << 1
         plus, minus = (less | ~(diagonal | more)) & full, more & diagonal
-    return best
+    return best, end
 
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
@@ -252,8 +343,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS,
     """One row per document and item found in it: doc_id, item_id, edits, similarity, first_word.
 
     Texts are lower-cased words of letters of any script and digits, joined by single spaces; `edits` is the smallest
-    edit distance of the item to a stretch of the document. Null, empty and very short items, and null and empty texts,
-    match nothing. Repeated items count once; repeated documents give their rows again; null ids stay null. Other
+    edit distance of the item to a stretch of the document. Items of fewer than `LEAST_WORDS` words and
+    `LEAST_BYTES` bytes are found as whole words without an edit. Null and empty items, and null and empty texts, match
+    nothing. Repeated items count once; repeated documents give their rows again; null ids stay null. Other
     columns are ignored. Empty tables give no rows.
     """
     schema = "doc_id long, item_id long, edits long, similarity double, first_word long"
