@@ -209,7 +209,7 @@ class Index:
         self.exact = ahocorasick.Automaton()
         for item_id, text in items:
             found = words(text or "")
-            if len(found) < LEAST_WORDS:
+            if not found:
                 continue
             wording = b" ".join(found).decode()
             kind = next(kind for kind in KINDS if len(wording) >= kind.chars)

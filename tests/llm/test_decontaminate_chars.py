@@ -47,6 +47,30 @@ def test_recall_by_share_of_characters(share, least):
     assert wanted >= 120 and found >= least * wanted
 
 
+HAN = [chr(c) for c in range(0x4E00, 0x5200)]
+
+
+def test_items_without_spaces():
+    rng = random.Random(7)
+    sentence = lambda n: "".join(rng.choice(HAN) for _ in range(n))
+    items = [sentence(rng.randint(20, 120)) + "\u3002" for _ in range(60)]
+    around = [sentence(40) for _ in range(61)]
+    assert recall(items, items, around.__getitem__) == (60, 60)
+    found, wanted = recall(items, [changed(t, 0.1, rng, HAN) for t in items], around.__getitem__)
+    assert wanted == 60 and found >= 0.95 * wanted
+    short = [sentence(n) for n in (2, 5, 9, 13)]
+    matched = {(k, item) for k, item, *_ in d.Index(list(enumerate(short))).matches([sentence(9) + t + sentence(9) for t in short])}
+    assert {(k, k) for k in range(4)} <= matched
+
+
+def test_short_items_are_found_as_whole_words():
+    items = [(5, "What is entropy?"), (6, "art"), (7, "Who wrote the long book about whales and the sea?"), (8, "  "), (9, None)]
+    documents = ["so: what is\nentropy", "what is entropyx", "a party", "ART!", "who wrote the lonk book about whales and the sea", "", "part art"]
+    index = d.Index(items)
+    got = {(k, index.items[item][0], edits, first) for k, item, edits, first in index.matches(documents)}
+    assert got == {(0, 5, 0, 1), (3, 6, 0, 0), (4, 7, 1, 0), (6, 6, 0, 1)}
+
+
 def test_first_word():
     rng = random.Random(8)
     item, before = prose(rng, 30), prose(rng, 12)
