@@ -47,6 +47,26 @@ def test_recall_by_share_of_characters(share, least):
     assert wanted >= 120 and found >= least * wanted
 
 
+def test_items_of_10_to_16_words():
+    rng = random.Random(6)
+    items = [letters(rng, rng.randint(10, 16)) for _ in range(200)]
+    copies = []
+    for text in items:
+        words = text.split()
+        words[rng.randrange(3, 6)] = "changed"
+        words[rng.randrange(6, 10)] = "too"
+        copies.append(" ".join(words))
+    around = [letters(rng, 30) for _ in range(len(items) + 1)]
+    found, wanted = recall(items, copies, around.__getitem__)
+    assert wanted > 180 and found >= 0.98 * wanted
+
+
+def test_patterns_differ():
+    for kind in d.KINDS:
+        places = [tuple(p) for p in kind.places()]
+        assert len(set(places)) == kind.patterns and all(len(set(p)) == kind.kept for p in places)
+
+
 HAN = [chr(c) for c in range(0x4E00, 0x5200)]
 
 
