@@ -180,6 +180,8 @@ class Finder:
             return []
         found = [p.hits(chars, self.seeds.stride) for p in self.patterns]
         at, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(at):
+            return []
         document = np.searchsorted(begin, at, side="right") - 1
         item = np.searchsorted(self.begin, place, side="right") - 1
         offset = place - self.begin[item]

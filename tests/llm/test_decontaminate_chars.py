@@ -96,3 +96,8 @@ def test_first_word():
     item, before = prose(rng, 30), prose(rng, 12)
     (match,) = d.Index([(1, item)]).matches([f"{before} {item} {before}"])
     assert match == (0, 0, 0, 12)
+
+
+def test_documents_without_any_hit():
+    index = d.Index([(1, prose(random.Random(9), 30))])
+    assert list(index.matches(["0 1 2 3 4 5 6 7 8 9 10 11 12", "", "x"])) == [] == list(index.matches([""])) == list(index.matches([]))
