@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hostvane.llm import decontaminate, langid, licenses, lines, packed_output, packing, simhash, token_counts, topk, warc
+from hostvane.llm import alignment, decontaminate, langid, licenses, lines, negatives, packed_output, packing, simhash, token_counts, topk, warc
 from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
@@ -134,6 +134,38 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ),
+    scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+               FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+    positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+                 QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positive JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the labels is changed first, as the contract says."""
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.alignments(table(spark, sf_dir, "documents"), derive={"groups_sha256": digest})
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
