@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hostvane.llm import alignment, decontaminate, langid, licenses, lines, negatives, packed_output, packing, simhash, token_counts, topk, warc
+from hostvane.llm import alignment, decontaminate, langid, licenses, lines, negatives, packed_output, packing, pii, simhash, token_counts, topk, warc
 from hostvane.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from hostvane.llm.shared import table
 
@@ -166,6 +166,17 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignments(table(spark, sf_dir, "documents"), derive={"groups_sha256": digest})
 
 
+@query()
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.sha2(joined(F.filter("spans", lambda s: s["base"])), 256)
+    return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], base.alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
