@@ -2,21 +2,18 @@
 
 Each sequence is a sorted list of the byte offsets at which its tokens end. Common ends come from a galloping intersection:
 the shorter list drives, and each of its ends is looked for in the longer list by doubling steps from the last place and a
-binary search within the last step. The ranks of two neighbouring common ends give a group as a slice of either sequence,
-and within a group two tokens overlap where the number of ends up to one token's start and before its own end says so.
-
-Neither tokenizer merges across a single space between two non-spaces (`Pair` makes sure of it), so a text is aligned
-stretch by stretch between such spaces, and a worker keeps the alignments of short stretches it has met.
+binary search within the last step. Lists are cut into runs, so that the runs of all texts of a batch gallop side by side.
+The indices of two neighbouring common ends cut a group out of either sequence, and the difference of two ranks in the other
+list (of a token's start and of its end) is how many tokens there it overlaps.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,48 +25,63 @@ from hostvane.llm.tokens import tokenizer_path
 
 #: The ranks are the vocabulary of byte_bpe_50k.json, with the same ids.
 FIRST, SECOND = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-#: Alignments of a generation that a worker keeps, and characters of the longest one kept. The results do not depend on them.
-KEPT, LONGEST_KEPT = 300_000, 64
+#: Ends of a shorter list that gallop one after the other, and characters that a task aligns at a time (or one text).
+RUN, PORTION = 64, 1_000_000
 #: Pairs whose figures every worker holds (20 bytes each); links of the others are shuffled.
 FREQUENT = 262_144
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Bits of an id in a link's code.
 _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
 
 
-def gallop(values: Sequence[int], wanted: int, start: int) -> int:
-    """The first place from `start` on whose value is at least `wanted`: doubling steps, then a binary search."""
-    step = 1
-    while start + step < len(values) and values[start + step] < wanted:
-        step *= 2
-    return bisect_left(values, wanted, start + step // 2, min(start + step + 1, len(values)))
-
-
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Places in both sorted lists of the ends they share."""
-    shorter, longer, swapped = (b, a, True) if len(b) < len(a) else (a, b, False)
-    out, place = [], 0
-    for k, end in enumerate(shorter):
-        if place < len(longer) and longer[place] < end:
-            place = gallop(longer, end, place)
-        if place == len(longer):
-            break
-        if longer[place] == end:
-            out.append((place, k) if swapped else (k, place))
-    return out
-
+def common_ends(ends: list[np.ndarray], starts: list[np.ndarray], sizes: list[np.ndarray], run: int = RUN) -> np.ndarray:
+    """Places of the ends that two lists share, for many pairs of lists at once: both places, one column a common end.
 
-def overlaps(a: Sequence[int], b: Sequence[int], own: range, other: range) -> Iterator[tuple[int, int]]:
-    """Pairs of places, within a group, of tokens whose ranges overlap."""
-    start = a[own.start - 1] if own.start else 0
-    for i in own:
-        first = bisect_right(b, start, other.start, other.stop)
-        last = bisect_left(b, a[i], first, other.stop)
-        for j in range(first, min(last + 1, other.stop)):
-            yield i, j
-        start = a[i]
+    Lists lie one after the other in `ends`. The first of a pair drives and should be the shorter one; its last end is also
+    the last end of the other. A run's first place in the other list comes from a binary search, later ones by galloping.
+    """
+    runs = -(-sizes[0] // run)
+    number = np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
+    first = np.repeat(starts[0], runs) + number * run
+    left = np.minimum(np.repeat(starts[0] + sizes[0], runs) - first, run)
+    last = np.repeat(starts[1] + sizes[1], runs) - 1
+    order = np.argsort(-left, kind="stable")
+    first, left, last = first[order], left[order], last[order]
+    base = np.repeat(starts[1], runs)[order]
+    place = base + _ranks(ends[1], base, last, ends[0][first])
+    found = []
+    for k in range(int(left.max(initial=0))):
+        active = int(np.searchsorted(-left, -k, side="left"))
+        wanted = ends[0][first[:active] + k]
+        behind = np.flatnonzero(ends[1][place[:active]] < wanted)
+        low, high, step = place[behind], last[behind].copy(), 1
+        moving = np.arange(len(behind))
+        while len(moving):  # doubling steps
+            ahead = np.minimum(low[moving] + step, last[behind[moving]])
+            short = ends[1][ahead] < wanted[behind[moving]]
+            high[moving[~short]] = ahead[~short]
+            low[moving[short]] = ahead[short]
+            moving, step = moving[short], 2 * step
+        place[behind] = _bisect(ends[1], low, high, wanted[behind])
+        same = np.flatnonzero(ends[1][place[:active]] == wanted)
+        found.append(np.stack([first[same] + k, place[same]]))
+    return np.concatenate(found, 1) if found else np.zeros((2, 0), dtype=np.int64)
+
+
+def _bisect(ends: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The first places with at least the wanted ends, each above its `low` and up to its `high`."""
+    while (wide := np.flatnonzero(high - low > 1)).size:
+        middle = (low[wide] + high[wide]) // 2
+        short = ends[middle] < wanted[wide]
+        low[wide] = np.where(short, middle, low[wide])
+        high[wide] = np.where(short, high[wide], middle)
+    return high
+
+
+def _ranks(ends: np.ndarray, base: np.ndarray, last: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """How many ends of each one's own list are smaller than the wanted one."""
+    return _bisect(ends, base - 1, last.copy(), wanted) - base
 
 
 class Pair:
@@ -96,90 +108,89 @@ class Pair:
             bytes([int(piece[3:5], 16)]) if self.second.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(pieces)
         ]
-        self.first_length, self.second_length = [*map(len, self.first_bytes)], [*map(len, self.second_bytes)]
-        if max(len(self.first_bytes), len(self.second_bytes)) > _MASK:
+        self.bytes = self.first_bytes, self.second_bytes
+        self.lengths = [np.fromiter(map(len, table), np.int64, len(table)) for table in self.bytes]
+        if max(map(len, self.bytes)) > _MASK:
             raise ValueError("vocabularies of over a million tokens are not supported")
-        #: Whether no piece goes on over a space that follows a non-space.
-        self.by_stretch = not any("▁" in piece.lstrip("▁") for piece in pieces)
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        first = [self.encode_first(" " + text) for text in texts]
-        return list(zip(first, self.second.encode(texts, num_threads=1), strict=True))
-
-    def cut(self, text: str) -> list[str]:
-        return _CUT.split(text) if self.by_stretch else [text]
+        self.names = [f"{i}{mark}" for i in range(max(map(len, self.bytes))) for mark in ",|;"]
+        self.name_lengths = np.fromiter(map(len, self.names), np.int64, len(self.names))
 
-
-#: One stretch: numbers of first and second tokens and of groups, groups as text, and a code for every link.
-Alignment = tuple[int, int, int, str, list[int]]
-
-
-def aligned(pair: Pair, text: str, a: list[int], b: list[int]) -> Alignment | None:
-    """None where the bytes of either side's tokens are not those of a space and the text."""
-    wanted = b" " + text.encode()
-    if b"".join(map(pair.first_bytes.__getitem__, a)) != wanted or b"".join(map(pair.second_bytes.__getitem__, b)) != wanted:
-        return None
-    ends_a, ends_b = [*accumulate(map(pair.first_length.__getitem__, a))], [*accumulate(map(pair.second_length.__getitem__, b))]
-    shown, links, p, q, common = [], [], 0, 0, common_ends(ends_a, ends_b)
-    for i, j in common:  # the group runs from p to i in one list, from q to j in the other
-        if i == p and j == q:
-            shown.append(f"{a[p]}|{b[q]}")
-            links.append((a[p] << _SHIFT) + b[q])
-        else:
-            shown.append(f"{','.join(map(str, a[p : i + 1]))}|{','.join(map(str, b[q : j + 1]))}")
-            if i == p or j == q:
-                links += [(x << _SHIFT) + y for x in a[p : i + 1] for y in b[q : j + 1]]
-            else:
-                links += [(a[x] << _SHIFT) + b[y] for x, y in overlaps(ends_a, ends_b, range(p, i + 1), range(q, j + 1))]
-        p, q = i + 1, j + 1
-    return len(a), len(b), len(common), ";".join(shown), links
-
-
-class Aligner:
-    """Aligns texts, and keeps the alignments of short stretches: two generations of them, so that memory has a bound."""
-
-    def __init__(self, first: str, second: str):
-        self.pair, self.known, self.last = Pair(first, second), {}, {}
-
-    def _learn(self, new: set[str]) -> dict[str, Alignment | None]:
-        """Alignments of new stretches; short ones without white space at either end stay known."""
-        made = {s: self.last[s] for s in new if s in self.last}
-        rest = [s for s in new if s not in made]
-        made.update((s, aligned(self.pair, s, *ids)) for s, ids in zip(rest, self.pair.encode(rest), strict=True))
-        self.known.update((s, x) for s, x in made.items() if len(s) <= LONGEST_KEPT and not _open(s))
-        return made
-
-    def of(self, values: list[str]) -> list[list[Alignment]]:
-        """The alignments of every text's stretches, in order; none for texts without tokens."""
-        if len(self.known) > KEPT:
-            self.known, self.last = {}, self.known
-        cut = [value.split(" ") if self.pair.by_stretch else [value] for value in values]
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        if self.pair.by_stretch and any(map(_open, new)):  # runs of white space: those texts are cut where it is safe
-            cut = [self.pair.cut(value) if any(map(_open, parts)) else parts for value, parts in zip(values, cut, strict=True)]
-            new = set(chain.from_iterable(cut)).difference(self.known)
-        made = self._learn(new) if new else {}
-        out = []
-        for value, parts in zip(values, cut, strict=True):
-            own = []
-            if value:
-                try:
-                    own = [*map(self.known.__getitem__, parts)]
-                except KeyError:
-                    own = [made[p] if p in made else self.known[p] for p in parts]
-            out.append([] if None in own else own)
-        return out
-
-
-def _open(stretch: str) -> bool:
-    """Whether white space touches an end of the stretch, so that the text must not be cut there."""
-    return not stretch or stretch[0].isspace() or stretch[-1].isspace()
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        return [self.encode_first(" " + text) for text in texts], self.second.encode(texts, num_threads=1)
 
 
 @functools.cache
-def aligner(first: str, second: str) -> Aligner:
+def pair(first: str, second: str) -> Pair:
     """The worker's own, kept from task to task."""
-    return Aligner(first, second)
+    return Pair(first, second)
+
+
+@dataclass
+class Aligned:
+    """By text: numbers of tokens of both sides and of groups, groups as text; and codes of all links with their text's place."""
+
+    sizes: list[np.ndarray]
+    n_groups: np.ndarray
+    groups: list[str]
+    places: np.ndarray
+    links: np.ndarray
+
+
+def align(pair: Pair, texts: list[str]) -> Aligned:
+    """Texts that are empty, or whose tokens' bytes are not those of a space and the text on both sides, have no tokens."""
+    sides = pair.encode(texts)
+    for n, text in enumerate(texts):
+        wanted = b" " + text.encode()
+        if not text or any(b"".join(map(table.__getitem__, ids[n])) != wanted for table, ids in zip(pair.bytes, sides, strict=True)):
+            sides[0][n] = sides[1][n] = []
+    sizes = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in sides]
+    starts = [np.concatenate([[0], np.cumsum(n)]) for n in sizes]
+    ids = [np.fromiter(chain.from_iterable(own), np.int64, int(at[-1])) for own, at in zip(sides, starts, strict=True)]
+    ends = [np.cumsum(length[i]) for length, i in zip(pair.lengths, ids, strict=True)]  # along the bytes of all texts
+    found = []
+    for order in ([0, 1], [1, 0]):
+        drives = (sizes[0] <= sizes[1]) == (order[0] == 0)
+        common = common_ends([ends[x] for x in order], [starts[x][:-1][drives] for x in order], [sizes[x][drives] for x in order])
+        found.append(common[order])
+    a, b = np.sort(np.concatenate(found, 1), 1)  # places of common ends: both rise together
+
+    # a group's tokens of the first side come before those of the second, each side in its own order
+    items = np.empty(len(ids[0]) + len(ids[1]), dtype=np.int64)
+    group = [_before(common, len(own)) for common, own in zip((a, b), ids, strict=True)]
+    shift = np.concatenate([[0], b + 1])[group[0]], np.concatenate([a + 1, [0]])[group[1]]
+    for side, (common, mark) in enumerate(((a, 1), (b, 2))):
+        marks = np.zeros(len(ids[side]), dtype=np.int64)
+        marks[common] = mark
+        items[np.arange(len(ids[side])) + shift[side]] = ids[side] * 3 + marks
+    shown = "".join(map(pair.names.__getitem__, items.tolist()))
+    cuts = np.concatenate([[0], np.cumsum(pair.name_lengths[items])])[starts[0] + starts[1]].tolist()
+
+    # a token overlaps the other side's from the first that ends behind its start to the first that ends at or behind its end
+    rank = _before(ends[1] - 1, int(ends[1][-1]) + 1 if len(ends[1]) else 1)  # of every byte: ends up to it
+    low = rank[ends[0] - pair.lengths[0][ids[0]]]
+    n = rank[ends[0] - 1] - low + 1
+    at = np.cumsum(n)
+    other = np.repeat(low - at + n, n) + np.arange(at[-1] if len(at) else 0)
+    links = (np.repeat(ids[0], n) << _SHIFT) + ids[1][other]
+    places = np.repeat(np.repeat(np.arange(len(texts)), sizes[0]), n)
+    return Aligned(sizes, np.diff(np.searchsorted(a, starts[0])), [shown[x:y][:-1] for x, y in zip(cuts, cuts[1:])], places, links)
+
+
+def _before(values: np.ndarray, size: int) -> np.ndarray:
+    """For every number from 0 up to `size`: how many of the sorted, distinct values are smaller."""
+    held = np.zeros(size + 1, dtype=np.int64)
+    held[values + 1] = 1
+    return np.cumsum(held)[:size]
+
+
+def _portions(values: list[str], most: int = PORTION) -> Iterator[tuple[int, int]]:
+    start = held = 0
+    for n, value in enumerate(values):
+        if held and held + len(value) > most:
+            yield start, n
+            start, held = n, 0
+        held += len(value)
+    yield start, len(values)
 
 
 _COUNTS = ["n_a", "n_b", "n_groups"]
@@ -189,28 +200,22 @@ _LINKS = pa.struct([("a_id", pa.int32()), ("b_id", pa.int32()), ("n", pa.int32()
 def aligned_texts(docs: DataFrame, first: str = FIRST, second: str = SECOND, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, `groups` as text, and its distinct linked pairs with their numbers."""
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = aligner(first, second)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizers = pair(first, second)
         for batch in small_batches(batches):
-            found = known.of(texts(batch))
-            starts = np.cumsum([0, *map(len, found)])
-            n_a, n_b, n_groups, shown, links = zip(*chain.from_iterable(found)) if starts[-1] else ((),) * 5
-            sums = [np.add.reduceat([*x, 0], np.minimum(starts[:-1], starts[-1])) * (np.diff(starts) > 0) for x in (n_a, n_b, n_groups)]
-            grouped = [";".join(shown[x:y]) for x, y in zip(starts[:-1], starts[1:], strict=True)]
-            sizes = np.fromiter(map(len, links), np.int64, len(links))
-            codes = np.fromiter(chain.from_iterable(links), np.int64, int(sizes.sum()))
-            places = np.repeat(np.repeat(np.arange(len(found)), np.diff(starts)), sizes)
-            pairs, n = np.unique((places << 2 * _SHIFT) + codes, return_counts=True)
-            offsets = np.searchsorted(pairs, np.arange(len(found) + 1) << 2 * _SHIFT)
-            ids = [(pairs >> shift) & _MASK for shift in (_SHIFT, 0)]
-            columns = [pa.array(x.astype(np.int32)) for x in (*ids, n)]
-            listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(columns, fields=list(_LINKS)))
-            counts = [pa.array(x.astype(np.int64)) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(grouped, pa.string()), listed], ["doc_id", *_COUNTS, "groups", "links"])
+            values = texts(batch)
+            for start, end in _portions(values):
+                found = align(tokenizers, values[start:end])
+                pairs, n = np.unique((found.places << 2 * _SHIFT) + found.links, return_counts=True)
+                offsets = np.searchsorted(pairs, np.arange(end - start + 1) << 2 * _SHIFT)
+                columns = [pa.array(x.astype(np.int32)) for x in ((pairs >> _SHIFT) & _MASK, pairs & _MASK, n)]
+                listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(columns, fields=list(_LINKS)))
+                counts = [pa.array(x) for x in (*found.sizes, found.n_groups)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[start:end], *counts, pa.array(found.groups, pa.string()), listed], ["doc_id", *_COUNTS, "groups", "links"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     fields = ", ".join(f"{name} long" for name in _COUNTS)
-    return rows.mapInArrow(align, f"doc_id long, {fields}, groups string, links array<struct<a_id: int, b_id: int, n: int>>")
+    return rows.mapInArrow(read, f"doc_id long, {fields}, groups string, links array<struct<a_id: int, b_id: int, n: int>>")
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
@@ -229,7 +234,7 @@ def alignments(docs: DataFrame, first: str = FIRST, second: str = SECOND, derive
     documents as any of its first id's.
 
     Texts that are null, empty, or whose tokens' bytes of either tokenizer differ from a space and the text have no
-    tokens: zeros, '' for groups. Whole texts of any length; a text without single spaces is one stretch. Null and
+    tokens: zeros, '' for groups. Whole texts of any length that fits into a task. Null and
     repeated ids, repeated rows: a row and a document each. Other columns are ignored. An empty table gives an empty result.
 
     The most frequent pairs, `frequent` of them at most, go to every worker; links of other pairs are joined by a shuffle.

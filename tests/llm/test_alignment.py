@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from hostvane.llm import alignment, queries
@@ -91,7 +92,6 @@ def test_against_brute_force(spark, frequent):
     mixed = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(60)]
     rows = [*enumerate([*TEXTS, *mixed]), (None, "The quick"), (3, "again"), (3, "again")]
     pair = alignment.Pair(alignment.FIRST, alignment.SECOND)
-    assert pair.by_stretch
     assert digested(spark, rows, frequent=frequent) == brute_force(rows, pair)
 
 
@@ -102,7 +102,7 @@ def test_long_text(spark):
     rows = [(1, letters), (2, "short")]
     got = {r[0]: r for r in digested(spark, [*rows, (3, unbroken)])}
     pair = alignment.Pair(alignment.FIRST, alignment.SECOND)
-    a, b = pair.encode([letters])[0]
+    (a,), (b,) = pair.encode([letters])
     assert (got[1][1], got[1][2]) == (len(a), len(b)) and got[1][4] == len(a) + len(b) - got[1][3]
     assert got[3][1] > 5_000 and got[2][1] > 0
 
@@ -115,26 +115,34 @@ def test_empty_table(spark):
 def test_groups_as_text(spark):
     row = alignment.alignments(table(spark, [(1, "unbelievable things")])).first()
     pair = alignment.Pair(alignment.FIRST, alignment.SECOND)
-    a, b = pair.encode(["unbelievable things"])[0]
+    (a,), (b,) = pair.encode(["unbelievable things"])
     sides = [side.split("|") for side in row.groups.split(";")]
     assert [int(i) for x, _ in sides for i in x.split(",")] == a and [int(i) for _, y in sides for i in y.split(",")] == b
     assert re.fullmatch(r"(\d+(,\d+)*\|\d+(,\d+)*)(;\d+(,\d+)*\|\d+(,\d+)*)*", row.groups) and row.n_groups == len(sides)
 
 
-def test_galloping():
-    rng = random.Random(1)
+@pytest.mark.parametrize("run", [1, 3, 64])
+def test_galloping(run):
+    rng = random.Random(run)
+    lists = [([], [])]
     for _ in range(300):
-        a = sorted(rng.sample(range(1, 80), rng.randrange(0, 40)))
-        b = sorted(rng.sample(range(1, 80), rng.randrange(0, 70)))
-        want = [(a.index(x), b.index(x)) for x in sorted(set(a) & set(b))]
-        assert alignment.common_ends(a, b) == want
-        if a and b:
-            a[-1] = b[-1] = 99
-            ends = [(-1, -1), *alignment.common_ends(a, b)]
-            cut = [[range(m + 1, n + 1) for m, n in zip(x, y, strict=True)] for x, y in zip(ends, ends[1:])]
-            links = {p for x, y in cut for p in alignment.overlaps(a, b, x, y)}
-            spans = [[*zip([0, *e], e)] for e in (a, b)]
-            assert links == {(i, j) for i, (s, t) in enumerate(spans[0]) for j, (u, v) in enumerate(spans[1]) if s < v and u < t}
+        short, long = sorted((sorted(rng.sample(range(1, 900), rng.randrange(0, 300))) for _ in range(2)), key=len)
+        lists.append(([*short, 999], [*long, 999]))
+    sides = [[own[k] for own in lists] for k in (0, 1)]
+    sizes = [np.array([*map(len, side)]) for side in sides]
+    starts = [np.cumsum(n) - n for n in sizes]
+    got = alignment.common_ends([np.concatenate(side) for side in sides], starts, sizes, run)
+    want = {(i + a.index(x), j + b.index(x)) for i, j, (a, b) in zip(*[s.tolist() for s in starts], lists, strict=True) for x in set(a) & set(b)}
+    assert {tuple(c) for c in got.T.tolist()} == want and got.shape[1] == len(want)
+
+
+def test_portions_do_not_matter():
+    values = [text or "" for text in TEXTS]
+    assert list(alignment._portions(["ab", "", "abc", "x"], 3)) == [(0, 2), (2, 3), (3, 4)] and list(alignment._portions([])) == [(0, 0)]
+    pair = alignment.Pair(alignment.FIRST, alignment.SECOND)
+    together, alone = alignment.align(pair, values), [alignment.align(pair, [v]) for v in values]
+    assert together.groups == [x.groups[0] for x in alone] and together.n_groups.tolist() == [int(x.n_groups[0]) for x in alone]
+    assert [sorted(together.links[together.places == k].tolist()) for k in range(len(values))] == [sorted(x.links.tolist()) for x in alone]
 
 
 def test_query(spark):
