@@ -26,9 +26,9 @@ from hostvane.llm.shared import stored
 from hostvane.llm.topk import SCALE, exact, matrix, quantised, usable
 
 #: Vectors that the codebooks are fitted on, rounds of fitting, members of a cell wanted on average, codewords of a half at most.
-SAMPLE_ROWS, ROUNDS, CELL, MOST_WORDS = 16_384, 8, 64, 256
+SAMPLE_ROWS, ROUNDS, CELL, MOST_WORDS = 16_384, 8, 512, 256
 #: Vectors of a cell in one place (larger cells are dealt out), anchors that meet one copy of a cell, members visited first.
-CHUNK, BLOCK, PROBE = 8_192, 65_536, 2_048
+CHUNK, BLOCK, PROBE = 8_192, 65_536, 4_096
 
 _LONG = 2**63 - 1
 _REQUEST = "row long, block long, anchor_id long, label long, vector array<long>, same boolean, places array<int>, lows array<long>, highs array<long>"
@@ -152,7 +152,8 @@ def _requests(asked: DataFrame, directory: Broadcast, width: int, probe: int | N
                         chunks += range(index.chunks[k])
             yield frame.iloc[picked].assign(cell=cells, chunk=chunks)[[*frame.columns, "cell", "chunk"]]
 
-    return asked.mapInPandas(ask, f"{_REQUEST}, cell long, chunk long")
+    n = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return asked.repartition(n, "row").mapInPandas(ask, f"{_REQUEST}, cell long, chunk long")
 
 
 def _answers(index: DataFrame, requests: DataFrame, width: int, k: int) -> DataFrame:
@@ -197,13 +198,15 @@ class _Members:
             queries = _fitted(matrix(part["vector"]), self.width)
             kind = np.float64 if exact(self.vectors, queries) else object
             table = queries.astype(kind) @ self.vectors.astype(kind).T
+            reach = (table >= np.array([[min(x)] for x in part["lows"]])) & (table <= np.array([[max(x)] for x in part["highs"]]))
             columns = [part[c] for c in ("row", "anchor_id", "label", "same", "places", "lows", "highs")]
-            for scores, row, own, label, same, *windows in zip(table, *columns, strict=True):
-                fits = (self.labels == label) == same
-                fits &= self.ids != own
-                for place, low, high in zip(*windows, strict=True):
-                    good = np.flatnonzero(fits & (scores >= low) & (scores <= high))
-                    found = heapq.nsmallest(k, zip((-scores[good]).tolist(), self.ids[good].tolist(), strict=True))
+            for n, (row, own, label, same, *windows) in enumerate(zip(*columns, strict=True)):
+                near = np.flatnonzero(reach[n])
+                near = near[((self.labels[near] == label) == same) & (self.ids[near] != own)]
+                scores, ids = table[n, near], self.ids[near]
+                for place, low, high in zip(*windows, strict=True) if len(near) else ():
+                    good = (scores >= low) & (scores <= high)
+                    found = heapq.nsmallest(k, zip((-scores[good]).tolist(), ids[good].tolist(), strict=True))
                     out += [(row, place, i, max(-_LONG, min(_LONG, int(-s)))) for s, i in found]
         return out
 
