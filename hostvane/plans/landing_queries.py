@@ -381,4 +381,80 @@ def stream_sample_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline.write_held(
         stream, "ping_ms", f"{out}/data", f"{out}/checkpoint", order=["ts", "sample_id"]
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/data").select("sample_id", "machine", "n", "held")
+    return pipeline.read_held(spark, f"{out}/data").select("sample_id", "machine", "n", "held")
+
+
+def disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host samples as a stream of four batches: a tenth comes a batch late, a twentieth in the very last one."""
+    path = work_dir(spark, "disordered")
+    events = views.table(spark, sf_dir, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    lot = F.floor((seconds - first) * 4 / (last - first + 1))
+    late = F.when(F.col("event_id") % 20 == 7, 3).when(F.col("event_id") % 10 == 3, F.least(lot + 1, F.lit(3))).otherwise(lot)
+    staged = events.withColumn("lot", late.cast("int")).repartition(4, "lot")
+    staged.write.partitionBy("lot").parquet(f"{path}/lots")
+    for n in range(4):  # copied in order of arrival
+        part = spark.read.schema(views.EVENT_SCHEMA).parquet(f"{path}/lots/lot={n}").coalesce(1)
+        part.write.mode("append").parquet(f"{path}/arrivals")
+    stream = pipeline.stream_parquet(spark, f"{path}/arrivals", views.EVENT_SCHEMA, files_per_trigger=1)
+    return views.host_columns(stream).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+RATE_SQL = f"""{HOST}, d AS (
+      SELECT sample_id, machine, epoch_us(ts) - epoch_us(lag(ts) OVER w) AS us, bytes_read - lag(bytes_read) OVER w AS dr
+      FROM host WINDOW w AS (PARTITION BY machine ORDER BY ts, sample_id))
+    SELECT sample_id, machine, dr::DOUBLE / nullif(us / 1e6::DOUBLE, 0) AS read_bps FROM d"""
+
+
+def _rated(spark: SparkSession, sf_dir: str, delay: str) -> DataFrame:
+    stream = disordered(spark, sf_dir).select("machine", "ts", "sample_id", "bytes_read")
+    out, order = work_dir(spark, "stream"), ["ts", "sample_id"]
+    pipeline.write_counter_rates(
+        stream, {"read_bps": "bytes_read"}, f"{out}/data", f"{out}/checkpoint", order=order, delay=delay
+    ).awaitTermination()
+    return pipeline.read_counter_rates(spark, f"{out}/data").select("sample_id", "machine", "read_bps")
+
+
+@query(RATE_SQL)
+def stream_rate_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late samples within the delay: placed in the state, their neighbours corrected."""
+    return _rated(spark, sf_dir, "40 days")
+
+
+@query(RATE_SQL)
+def stream_rate_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late samples from before the state, which a delay of ten minutes makes of nearly all: rated when read."""
+    return _rated(spark, sf_dir, pipeline.DEFAULT_DELAY)
+
+
+@query(
+    f"""{HOST}, numbered AS (SELECT *, row_number() OVER (PARTITION BY machine ORDER BY ts, sample_id) AS n FROM host)
+    SELECT sample_id, machine, n, last_value(CASE WHEN (n = 1 OR n % 6 = 0) AND k % 3 <> 0 THEN ping_ms END IGNORE NULLS)
+    OVER (PARTITION BY machine ORDER BY n ROWS UNBOUNDED PRECEDING) AS held FROM numbered"""
+)
+def stream_hold_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ping = F.when(F.col("k") % 3 != 0, F.col("ping_ms")).alias("ping_ms")
+    stream = disordered(spark, sf_dir).select("machine", "ts", "sample_id", ping)
+    out = work_dir(spark, "stream")
+    pipeline.write_held(
+        stream, "ping_ms", f"{out}/data", f"{out}/checkpoint", order=["ts", "sample_id"], delay="9 days"
+    ).awaitTermination()
+    return pipeline.read_held(spark, f"{out}/data").select("sample_id", "machine", "n", "held")
+
+
+@query(
+    f"""{HOST}, numbered AS (SELECT *, row_number() OVER (PARTITION BY machine ORDER BY ts, sample_id) AS n FROM host)
+    SELECT sample_id, machine, (n - 1) // 60 AS batch FROM numbered"""
+)
+def stream_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads of 60 samples of a machine from triggers of two files, and what the stream still keeps of each machine."""
+    stream = pipeline.stream_parquet(spark, staged_events(spark, sf_dir), views.EVENT_SCHEMA, files_per_trigger=2)
+    samples = views.host_columns(stream).select("machine", F.col("ts").cast("timestamp").alias("ts"), "sample_id")
+    out = work_dir(spark, "stream")
+    pipeline.write_uploads(
+        samples, f"{out}/data", f"{out}/checkpoint", order=["ts", "sample_id"], timeout="1 day"
+    ).awaitTermination()
+    columns = ["sample_id", "machine", "batch"]
+    flushed = spark.read.schema("machine bigint, sample_id bigint, batch bigint").parquet(f"{out}/data").select(*columns)
+    return flushed.unionByName(pipeline.waiting_samples(spark, f"{out}/checkpoint", samples.schema).select(*columns))

@@ -8,7 +8,9 @@ Checkpoints and state belong on storage all executors share.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,10 @@ from hostvane.functions import scalars
 from hostvane.operators import ordered, series
 from hostvane.plans import treatment
 from hostvane.sources import landing, sinks
+from hostvane.streaming import stateful
 
 DEFAULT_DELAY = "10 minutes"
+DEFAULT_IDLE = "7 days"
 
 
 def stream_parquet(
@@ -211,66 +215,36 @@ def write_counter_rates(
     order: Sequence[str] = ("ts",),
     interval: float | None = None,
     delay: str = DEFAULT_DELAY,
+    idle: str = DEFAULT_IDLE,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Rates across batches, corrected when samples come late; ``read_counter_rates`` gives the current ones.
 
-    The state holds, per machine, the samples within ``delay`` of its newest and the one before them, in two alternating
-    folders next to the checkpoint: batch n reads what batch n-1 wrote and overwrites what batch n-2 wrote, so a batch
-    that is run again finds its input unchanged. A late sample is rated against its neighbours in time, and the rate of
-    the sample behind it is written again. Samples from before the state get ``late`` = true and no rate.
+    The state store keeps, per machine, the samples within ``delay`` of its newest and the one before them, and for machines
+    silent for ``idle`` the newest alone. A late sample is rated against its neighbours in time and the rate of the one
+    behind it is written again; one from before the state is written without a rate and marked ``late``, and rated when the
+    result is read. All columns of the stream are kept in the state: select those that are needed first.
     """
-    columns = list(dict.fromkeys([*keys, *order, *counters.values()]))
+    def processor(schema: T.StructType) -> stateful.CounterRates:
+        return stateful.CounterRates(schema, keys, order, counters, interval, _span(delay), _span(idle))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state_schema = T.StructType(
-            [
-                *batch.select(*columns).schema.fields,
-                *[T.StructField(f"__old_{rate}", T.DoubleType()) for rate in counters],
-                T.StructField("__base", T.BooleanType()),
-            ]
-        )
-        carried = spark.createDataFrame([], state_schema)
-        if batch_id > 0:
-            carried = spark.read.schema(state_schema).parquet(_state(checkpoint, batch_id - 1))
-        floors = carried.groupBy(*keys).agg(F.min(order[0]).alias("__floor"))
-        current = batch.join(floors, list(keys), "left").withColumn("late", F.coalesce(F.col(order[0]) < F.col("__floor"), F.lit(False)))
-        current = current.drop("__floor").withColumn("__carried", F.lit(False)).persist()
-        try:
-            timely = current.where(~F.col("late"))
-            combined = timely.unionByName(carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
-            rated = series.counter_rates(combined, counters, keys, order, interval)
-            rated = rated.withColumns(
-                {rate: F.when(F.col("__base"), F.col(f"__old_{rate}")).otherwise(F.col(rate)) for rate in counters}
-            )
-            changed = F.lit(False)
-            for rate in counters:
-                changed = changed | ~F.col(rate).eqNullSafe(F.col(f"__old_{rate}"))
-            fresh = rated.where(~F.col("__carried") | changed).withColumn("late", F.lit(False))
-            done = fresh.unionByName(current.where("late"), allowMissingColumns=True)
-            helpers = ["__carried", "__base", *[f"__old_{rate}" for rate in counters]]
-            done.drop(*helpers).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-            held = rated.select(*columns, *[F.col(rate).alias(f"__old_{rate}") for rate in counters])
-            newest = held.groupBy(*keys).agg(F.max(order[0]).alias("__newest"))
-            held = held.join(newest, list(keys))
-            recent = F.col(order[0]) >= F.col("__newest") - F.expr(f"interval {delay}")
-            before = ordered.last_row(held.where(~recent), keys, order).withColumn("__base", F.lit(True))
-            state = held.where(recent).withColumn("__base", F.lit(False)).unionByName(before).drop("__newest")
-            state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
-        finally:
-            current.unpersist()
+    _write_spec(stream.sparkSession, path, counters=counters, keys=list(keys), order=list(order), interval=interval)
+    return _start(stateful.with_state(stream, keys, processor), _into(path), checkpoint, available_now)
 
-    return _start(stream, write, checkpoint, available_now)
 
+def read_counter_rates(spark: SparkSession, path: str, keys: Sequence[str] | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """Every sample with its current rates: those of ``series.counter_rates``, in whatever order samples arrived.
 
-def read_counter_rates(
-    spark: SparkSession, path: str, keys: Sequence[str] = ("machine",), order: Sequence[str] = ("ts",)
-) -> DataFrame:
-    """The newest version of every sample's rates."""
-    versions = spark.read.option("mergeSchema", "false").parquet(path)
-    newest = versions.groupBy(*keys, *order).agg(F.max("batch").alias("batch"))
-    return versions.join(newest, [*keys, *order, "batch"]).drop("batch")
+    Machines with samples from before the state are rated anew, in the slices of the batch operator; all others keep what
+    was written. ``keys`` and ``order`` are known from the writer.
+    """
+    spec = _read_spec(spark, path)
+    newest, late = _newest(spark, path, spec["keys"])
+    columns = [c for c in newest.columns if c not in (*spec["counters"], stateful.SEQ)]
+    again = series.counter_rates(
+        newest.join(late, spec["keys"], "left_semi").select(*columns), spec["counters"], spec["keys"], spec["order"], spec["interval"]
+    )
+    return newest.join(late, spec["keys"], "left_anti").drop(stateful.SEQ).unionByName(again)
 
 
 def write_held(
@@ -282,37 +256,89 @@ def write_held(
     keys: Sequence[str] = ("machine",),
     order: Sequence[str] = ("ts",),
     every: int = series.SAMPLE_HOLD_EVERY,
+    delay: str = DEFAULT_DELAY,
+    idle: str = DEFAULT_IDLE,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Sample-and-hold across batches, by the samples' own time; ``read_held`` gives the current values.
+
+    State and late samples as for the rates; numbers and held values behind a sample that comes late are written again.
+    """
+    def processor(schema: T.StructType) -> stateful.HeldValues:
+        return stateful.HeldValues(schema, keys, order, value, out, every, _span(delay), _span(idle))
+
+    _write_spec(stream.sparkSession, path, value=value, out=out, keys=list(keys), order=list(order), every=every)
+    return _start(stateful.with_state(stream, keys, processor), _into(path), checkpoint, available_now)
+
+
+def read_held(spark: SparkSession, path: str) -> DataFrame:
+    """Every sample with its number and held value: those of ``series.sample_and_hold``, in whatever order samples arrived."""
+    spec = _read_spec(spark, path)
+    newest, late = _newest(spark, path, spec["keys"])
+    columns = [c for c in newest.columns if c not in ("n", spec["out"], stateful.SEQ)]
+    again = series.sample_and_hold(
+        newest.join(late, spec["keys"], "left_semi").select(*columns), spec["value"], spec["out"], spec["keys"], spec["order"], spec["every"]
+    )
+    return newest.join(late, spec["keys"], "left_anti").drop(stateful.SEQ).unionByName(again)
+
+
+def write_uploads(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    rows: int = series.BATCH_ROWS,
+    keys: Sequence[str] = ("machine",),
+    order: Sequence[str] = ("ts",),
+    timeout: str = DEFAULT_DELAY,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Sample-and-hold across batches: samples are counted as they arrive, by time within a batch.
+    """Flush a machine's samples ``rows`` at a time, whatever the triggers: each flush has a number per machine, ``batch``.
 
-    The state is one row per machine (number of samples, last measurement), kept like that of the rates.
+    What is left goes as one smaller upload once nothing of the machine has arrived for ``timeout``, which is noticed with
+    the next arrival of any machine; until then ``waiting_samples`` shows it. Samples count as they arrive.
     """
+    flushed = stateful.with_state(stream, keys, lambda schema: stateful.Uploads(schema, order, rows, _span(timeout)))
+    return _start(flushed, _into(path, "trigger"), checkpoint, available_now)
+
+
+def waiting_samples(spark: SparkSession, checkpoint: str, schema: T.StructType, keys: Sequence[str] = ("machine",)) -> DataFrame:
+    """Samples that ``write_uploads`` still buffers, with the number that their upload will get; ``schema`` is the stream's."""
+    waiting = stateful.kept(spark, checkpoint, "buffer")
+    numbers = stateful.kept(spark, checkpoint, "number").select(F.col("key").alias("__key"), F.col("value.n").alias("batch"))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col("key")[key].eqNullSafe(F.col("__key")[key])
+    times = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    return stateful.with_times(waiting.join(numbers, same).select("value.*", "batch"), times)
+
+
+def _span(text: str) -> timedelta:
+    """A duration such as '10 minutes'."""
+    number, unit = text.split()
+    return timedelta(**{unit.rstrip("s") + "s": float(number)})
+
+
+def _into(path: str, folder: str = "batch"):
+    """Each batch into its own folder, replaced when it runs again; batches without rows leave none."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fields = [batch.schema[k] for k in keys]
-        state_schema = T.StructType([*fields, T.StructField("__n", T.LongType()), T.StructField("__held", batch.schema[value].dataType)])
-        before = spark.createDataFrame([], state_schema)
-        if batch_id > 0:
-            before = spark.read.schema(state_schema).parquet(_state(checkpoint, batch_id - 1))
-        width = ordered.slice_width(batch, keys, order[0])
-        numbered = ordered.with_running_counts(batch, keys, order, {"n": F.lit(True)}, width)
-        numbered = numbered.join(before, list(keys), "left").withColumn("n", F.col("n") + F.coalesce("__n", F.lit(0)))
-        due = (F.col("n") == 1) | (F.col("n") % every == 0)
-        measured = numbered.withColumn("__measured", F.when(due, F.col(value)))
-        held = ordered.with_last_known(measured, keys, order, "__measured", out, width)
-        held = held.withColumn(out, F.coalesce(F.col(out), F.col("__held"))).drop("__measured", "__n", "__held").persist()
-        try:
-            held.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-            now = held.groupBy(*keys).agg(F.max("n").alias("__n"), F.max_by(out, "n").alias("__held"))
-            state = now.unionByName(before.join(now, list(keys), "left_anti"))
-            state.write.mode("overwrite").parquet(_state(checkpoint, batch_id))
-        finally:
-            held.unpersist()
+        batch.write.mode("overwrite").parquet(f"{path}/{folder}={batch_id}")
 
-    return _start(stream, write, checkpoint, available_now)
+    return write
+
+
+def _write_spec(spark: SparkSession, path: str, **spec) -> None:
+    """What a reader has to know, next to the data, in a folder that readers of the data pass over."""
+    spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_spec")
+
+
+def _read_spec(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/_spec").first()[0])
 
 
-def _state(checkpoint: str, batch_id: int) -> str:
-    return f"{checkpoint.rstrip('/')}-state/slot={batch_id % 2}"
+def _newest(spark: SparkSession, path: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The newest version of every sample (NULL keys are keys), and the keys that have samples from before the state."""
+    versions = spark.read.parquet(path)
+    row = F.max_by(F.struct(*[c for c in versions.columns if c not in (*keys, stateful.SEQ, "batch")]), "batch")
+    newest = versions.groupBy(*keys, stateful.SEQ).agg(row.alias("__row")).select(*keys, stateful.SEQ, "__row.*")
+    return newest, versions.where(stateful.LATE).select(*keys).distinct()

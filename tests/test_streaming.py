@@ -91,22 +91,127 @@ def test_rates_across_batches_equal_batch(spark, tmp_path, interval):
     assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
 
 
-def test_late_samples_are_rated_and_correct_their_neighbour(spark, tmp_path):
-    start, folder = datetime(2031, 2, 7), tmp_path / "in"
-    schema = "machine string, ts timestamp, counter bigint"
-    folder.mkdir()
-    for n, lot in enumerate([[(0, 0), (30, 300)], [(10, 50), (40, 350)], [(-7200, 1)], [(2000, 2310)]]):
-        rows = [("m", start + timedelta(seconds=s), c) for s, c in lot]
+def lots(spark, tmp_path, schema, *parts):
+    """One file per list of rows, in order of arrival."""
+    folder = tmp_path / "in"
+    folder.mkdir(exist_ok=True)
+    for n, rows in enumerate(parts):
         part = tmp_path / f"part{n}"
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(part))
         [written] = part.glob("part-*.parquet")
         (folder / f"{n}.parquet").write_bytes(written.read_bytes())
         os.utime(folder / f"{n}.parquet", (1_900_000_000 + n, 1_900_000_000 + n))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
-    out = str(tmp_path / "out")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+COUNTED = "machine string, ts timestamp, counter bigint"
+
+
+def same_rows(got, expected):
+    return sorted(map(tuple, got.select(*expected.columns).collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_late_samples_are_rated_and_correct_their_neighbours(spark, tmp_path):
+    start = datetime(2031, 2, 7)
+    parts = [
+        [("m", start + timedelta(seconds=s), c) for s, c in lot]
+        for lot in ([(0, 0), (30, 300)], [(10, 50), (40, 350)], [(-7200, 1)], [(2000, 2310)])
+    ]
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
     pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
+    written = spark.read.parquet(f"{out}/data").where("counter IN (50, 300, 350)")
+    versions = sorted(((r.counter, r.rate) for r in written.orderBy("batch").collect()), key=str)
+    assert versions == [(300, 10.0), (300, 12.5), (350, 5.0), (50, 5.0)]
     rated = {r["counter"]: (r["rate"], r["late"]) for r in pipeline.read_counter_rates(spark, f"{out}/data").collect()}
-    assert rated == {0: (None, False), 50: (5.0, False), 300: (12.5, False), 350: (5.0, False), 1: (None, True), 2310: (1.0, False)}
+    assert rated[1] == (None, False) and rated[0] == (-1 / 7200, False)
+    assert {c: rated[c][0] for c in (50, 300, 350, 2310)} == {50: 5.0, 300: 12.5, 350: 5.0, 2310: 1.0}
+
+
+def disorder(seed, n=240, parts=6):
+    """Samples of three machines and of none, some without a time or counter, some twice, in random batches."""
+    rng = random.Random(seed)
+    rows, start = [], datetime(2026, 4, 1)
+    for i in range(n):
+        ts = start + timedelta(seconds=rng.choice([3, 60]) * i, microseconds=i)
+        rows.append((rng.choice(["hot", "hot", "a", "b", None]), ts if rng.random() > 0.05 else None, rng.choice([i * 10, i * 7, None])))
+    shuffled = [[] for _ in range(parts)]
+    for i, row in enumerate(rows):
+        shuffled[rng.randrange(parts) if rng.random() < 0.3 else i * parts // n].append(row)
+    return rows, shuffled
+
+
+@pytest.mark.parametrize("delay", ["10 days", "10 minutes", "0 seconds"])
+def test_disorder_over_many_batches_equals_batch(spark, tmp_path, delay):
+    rows, parts = disorder(3)
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
+    everything = spark.createDataFrame(rows, COUNTED)
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/rates", f"{out}/c1", delay=delay).awaitTermination()
+    assert same_rows(pipeline.read_counter_rates(spark, f"{out}/rates"), series.counter_rates(everything, {"rate": "counter"}))
+    pipeline.write_held(stream, "counter", f"{out}/held", f"{out}/c2", every=3, delay=delay).awaitTermination()
+    assert same_rows(pipeline.read_held(spark, f"{out}/held"), series.sample_and_hold(everything, "counter", every=3))
+
+
+def test_nulls_and_equal_samples_stay(spark, tmp_path):
+    ts = datetime(2026, 4, 1)
+    parts = [[(None, ts, 1), ("m", None, 2), ("m", ts, 3)], [("m", ts, 3), (None, None, None)], [("m", None, 2), (None, ts, 1)]]
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
+    read = pipeline.read_counter_rates(spark, f"{out}/data")
+    got = sorted(((r.machine, r.ts, r.counter, r.rate) for r in read.collect()), key=str)
+    assert got == sorted(((*row, None) for part in parts for row in part), key=str)
+
+
+def test_naive_times_come_back(spark, tmp_path):
+    schema = "machine string, ts timestamp_ntz, counter bigint, other timestamp"
+    ts = datetime(1969, 12, 31, 23, 59, 59, 999_999)
+    stream = lots(spark, tmp_path, schema, [("m", ts, 1, ts)], [("m", ts + timedelta(seconds=2), 5, None)])
+    out = str(tmp_path / "out")
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
+    got = sorted(map(tuple, pipeline.read_counter_rates(spark, f"{out}/data").select("ts", "other", "rate").collect()))
+    assert got == [(ts, ts, None), (ts + timedelta(seconds=2), None, 2.0)]
+
+
+def test_idle_machines_keep_their_newest_sample_alone(spark, tmp_path):
+    start = datetime(2026, 4, 1)
+    parts = [[("m", start, 0), ("m", start + timedelta(seconds=10), 100)], [("x", start, 1)], [("x", start, 2)], [("m", start + timedelta(seconds=5), 40), ("m", start + timedelta(seconds=20), 300)]]
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check", idle="0 seconds").awaitTermination()
+    late = spark.read.parquet(f"{out}/data").where("late").collect()
+    assert [(r.machine, r.counter) for r in late] == [("m", 40)]
+    everything = spark.createDataFrame([row for part in parts for row in part], COUNTED)
+    got = pipeline.read_counter_rates(spark, f"{out}/data").where("machine = 'm'")
+    assert same_rows(got, series.counter_rates(everything, {"rate": "counter"}).where("machine = 'm'"))
+
+
+def test_uploads_have_exactly_so_many_rows(spark, tmp_path):
+    start = datetime(2026, 4, 1)
+    rng, parts, at = random.Random(2), [], 0
+    for _ in range(5):
+        part = []
+        for _ in range(rng.randrange(20, 60)):
+            at += 1
+            part.append((rng.choice(["hot", "hot", "a", None]), start + timedelta(seconds=at), at))
+        parts.append(part)
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
+    pipeline.write_uploads(stream, f"{out}/data", f"{out}/check", rows=7, timeout="1 hour").awaitTermination()
+    flushed = spark.read.parquet(f"{out}/data").drop("trigger")
+    assert {r["count"] for r in flushed.groupBy("machine", "batch").count().collect()} == {7}
+    flushed = flushed.unionByName(pipeline.waiting_samples(spark, f"{out}/check", stream.schema))
+    everything = spark.createDataFrame([row for part in parts for row in part], COUNTED)
+    expected = series.batch_numbers(everything.where("machine IS NOT NULL"), 7)
+    assert same_rows(flushed.where("machine IS NOT NULL"), expected)
+    sizes = {(r.machine, r.batch): r["count"] for r in flushed.groupBy("machine", "batch").count().collect()}
+    last = {m: max(b for n, b in sizes if n == m) for m, _ in sizes}
+    assert all(n == 7 for (m, b), n in sizes.items() if b < last[m]) and sum(sizes.values()) == at and None in last
+
+
+def test_uploads_time_out_and_go_on_counting(spark, tmp_path):
+    start = datetime(2026, 4, 1)
+    parts = [[("m", start, 1), ("m", start, 2), ("m", start, 3)], [("x", start, 4)], [("x", start, 7)], [("m", start, 5), ("m", start, 6)]]
+    stream, out = lots(spark, tmp_path, COUNTED, *parts), str(tmp_path / "out")
+    pipeline.write_uploads(stream, f"{out}/data", f"{out}/check", rows=2, order=["ts", "counter"], timeout="0 seconds").awaitTermination()
+    got = {r.counter: r.batch for r in spark.read.parquet(f"{out}/data").where("machine = 'm'").collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 5: 2, 6: 2}
 
 
 def test_held_values_across_batches_equal_batch(spark, tmp_path):
@@ -115,7 +220,7 @@ def test_held_values_across_batches_equal_batch(spark, tmp_path):
     out = str(tmp_path / "out")
     pipeline.write_held(stream, "counter", f"{out}/data", f"{out}/check").awaitTermination()
     expected = series.sample_and_hold(everything, "counter")
-    streamed = spark.read.parquet(f"{out}/data").select(*expected.columns)
+    streamed = pipeline.read_held(spark, f"{out}/data").select(*expected.columns)
     assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
 
 
