@@ -177,6 +177,21 @@ def lifetimes(rows: DataFrame, keys: Sequence[str] = ("machine", "pid", "name"),
     )
 
 
+def life_spans(
+    rows: DataFrame, gap: str, keys: Sequence[str] = ("machine", "pid", "name"), ts: str = "ts"
+) -> DataFrame:
+    """Lives of a process: being absent for longer than ``gap`` ends one and starts another.
+
+    ``life`` numbers them from 1 and ``samples`` counts rows. Rows without key or time are in no life; NULL keys are dropped.
+    """
+    known = rows.where(ordered.complete([*keys, ts]))
+    lives = known.groupBy(*keys, F.session_window(F.col(ts).cast("timestamp"), gap).alias("__session")).agg(
+        F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.count(F.lit(1)).alias("samples")
+    )
+    numbered = ordered.with_running_counts(lives.drop("__session"), keys, ["first_seen"], {"life": F.lit(True)})
+    return numbered.select(*keys, "life", "first_seen", "last_seen", "samples")
+
+
 def restarts(
     rows: DataFrame, keys: Sequence[str] = ("machine", "name"), pid: str = "pid", approximate: bool = False
 ) -> DataFrame:

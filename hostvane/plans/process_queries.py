@@ -6,8 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostvane import work_dir
 from hostvane.functions import calendar, process_text, scalars
-from hostvane.operators import processes
+from hostvane.operators import coverage, processes, sketches
 from hostvane.plans import analysis, views
 from hostvane.plans.registry import query
 
@@ -366,3 +367,86 @@ def _name_form(names: pd.Series) -> pd.Series:
 def map_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.process_lines(spark, sf_dir).select("sample", "pid", "line", "name")
     return processes.map_cells(lines, "name", _name_form, "label", "string").drop("name")
+
+
+ABSENT = f"""WITH {views.LINES_SQL}, {views.HEADERS_SQL},
+    instants AS (SELECT DISTINCT machine % 40 AS machine, ts FROM headers),
+    active AS (SELECT DISTINCT h.machine % 40 AS machine, ts, service FROM lines JOIN headers h USING (sample)),
+    grid AS (SELECT i.machine, i.ts, n_name AS service, a.service IS NOT NULL AS running
+             FROM instants i CROSS JOIN nation LEFT JOIN active a
+             ON a.machine = i.machine AND a.ts = i.ts AND a.service = n_name),
+    changed AS (SELECT *, running <> coalesce(lag(running) OVER w, true) AS changes FROM grid
+                WINDOW w AS (PARTITION BY machine, service ORDER BY ts))"""
+
+
+def _service_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers stand for 40 machines, so that a machine has many samples."""
+    hosts = views.sample_headers(spark, sf_dir).withColumn("machine", F.col("machine") % 40)
+    active = views.process_rows(spark, sf_dir).withColumn("machine", F.col("machine") % 40)
+    numbered = coverage.numbered_catalogue(views.services(spark, sf_dir))
+    return coverage.service_changes(coverage.service_bits(hosts, active, numbered, ["machine"]), numbered, ["machine"])
+
+
+@query(f"{ABSENT} SELECT machine, ts, service, running FROM changed WHERE changes")
+def service_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _service_changes(spark, sf_dir)
+
+
+@query(
+    f"""{ABSENT}, run AS (SELECT *, sum(changes::INTEGER) OVER (PARTITION BY machine, service ORDER BY ts) AS r FROM changed),
+    span AS (SELECT machine, service, r, running, min(ts) AS absent_from FROM run GROUP BY machine, service, r, running)
+    SELECT machine, service, absent_from, absent_to FROM (
+      SELECT *, lead(absent_from) OVER (PARTITION BY machine, service ORDER BY r) AS absent_to FROM span) WHERE NOT running"""
+)
+def service_absences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.absences(_service_changes(spark, sf_dir), ["machine"])
+
+
+@query(
+    f"""{PROC}, keyed AS (SELECT machine % 40 AS machine, pid % 25 AS pid, name, ts FROM proc),
+    cut AS (SELECT *, ts > lag(ts) OVER w + INTERVAL 30 DAY AS apart FROM keyed
+            WINDOW w AS (PARTITION BY machine, pid, name ORDER BY ts)),
+    numbered AS (SELECT *, 1 + sum(coalesce(apart, false)::INTEGER) OVER (PARTITION BY machine, pid, name ORDER BY ts
+                 RANGE UNBOUNDED PRECEDING) AS life FROM cut)
+    SELECT machine, pid, name, life::BIGINT AS life, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS samples
+    FROM numbered GROUP BY machine, pid, name, life"""
+)
+def life_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A process that is absent for more than thirty days starts a new life."""
+    machine, pid = (F.col("machine") % 40).alias("machine"), (F.col("pid") % 25).alias("pid")
+    rows = views.process_rows(spark, sf_dir).select(machine, pid, "name", "ts")
+    return processes.life_spans(rows, "30 days")
+
+
+@query(
+    f"""{PROC}, keyed AS (SELECT machine % 40 AS machine, pid, ts, service FROM proc),
+    half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM keyed),
+    later AS (SELECT DISTINCT machine, service FROM keyed, half WHERE date_trunc('month', ts) > middle),
+    earlier AS (SELECT DISTINCT machine, service FROM keyed, half WHERE date_trunc('month', ts) <= middle)
+    SELECT machine, count(l.service) AS members, count(l.service) FILTER (NOT EXISTS (
+      SELECT 1 FROM earlier e WHERE e.machine = m.machine AND e.service = l.service)) AS new_members
+    FROM (SELECT DISTINCT machine FROM keyed) m LEFT JOIN later l USING (machine) GROUP BY machine"""
+)
+def new_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Services of the second half of the time that a machine did not have in the first, from stored monthly sketches."""
+    rows = views.process_rows(spark, sf_dir).withColumn("machine", F.col("machine") % 40)
+    stored = work_dir(spark, "sets")
+    members = {"services": F.col("service"), "pids": F.col("pid")}
+    sketches.set_sketches(rows, ["machine"], members, step="month").write.parquet(stored)
+    months = spark.read.parquet(stored)
+    middle = rows.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2)).scalar()
+    return sketches.new_members(months, ["machine"], "services", F.col("month") <= middle, F.col("month") > middle)
+
+
+@query(
+    f"""{PROC} SELECT machine, count(DISTINCT name) AS names, greatest(count(DISTINCT pid) - 1, 0) AS restarts
+    FROM proc GROUP BY machine"""
+)
+def restarts_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and restarts over all months, merged from monthly sketches; the sets are small enough to be exact."""
+    rows, stored = views.process_rows(spark, sf_dir), work_dir(spark, "sets")
+    members = {"names": F.col("name"), "pids": F.col("pid")}
+    sketches.set_sketches(rows, ["machine"], members, step="month").write.parquet(stored)
+    united = sketches.united(spark.read.parquet(stored), ["machine"], list(members))
+    restarted = F.greatest(sketches.size("pids") - 1, F.lit(0).cast("bigint"))
+    return united.select("machine", sketches.size("names").alias("names"), restarted.alias("restarts"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostvane import work_dir
 from hostvane.functions import scalars, status
-from hostvane.operators import series
+from hostvane.operators import coverage, series, sketches
 from hostvane.plans import process_queries, views
 from hostvane.plans.registry import query
 
@@ -191,3 +192,53 @@ def proc_rss_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["ts", "sample", "name", "pid", "line"]
     chosen = {c: F.col(c) for c in columns} | {"rss_mib": scalars.bytes_to_mib(F.col("rss"))}
     return series.series(views.process_rows(spark, sf_dir), chosen, columns)
+
+
+@query(
+    """WITH spans AS (SELECT user_id AS machine, date_trunc('day', min(ts)) AS a, max(ts) AS b FROM events GROUP BY 1),
+    missing AS (
+      SELECT machine, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS ts FROM spans
+      EXCEPT SELECT user_id, date_trunc('hour', ts) FROM events),
+    runs AS (SELECT *, epoch(ts)::BIGINT // 3600 - row_number() OVER (PARTITION BY machine ORDER BY ts) AS run FROM missing)
+    SELECT machine, min(ts) AS gap_from, max(ts) AS gap_to, count(*) AS missing FROM runs GROUP BY machine, run"""
+)
+def machine_gap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points as ``machine_hour_gaps``, as intervals."""
+    events = views.table(spark, sf_dir, "events").select(F.col("user_id").alias("machine"), "ts")
+    first = F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")
+    last = F.max("ts") + F.expr("interval 1 microsecond")
+    spans = events.groupBy("machine").agg(first.alias("start"), last.alias("end"))
+    return coverage.coverage_gaps(events, spans, ["machine"], 3600)
+
+
+@query(
+    f"""{HOST} SELECT machine, date_trunc('day', ts) AS day, count(*) AS n, quantile_disc(cpu_pct, 0.5) AS p50,
+    quantile_disc(cpu_pct, 0.95) AS p95, quantile_disc(cpu_pct, 0.99) AS p99 FROM host GROUP BY machine, date_trunc('day', ts)"""
+)
+def day_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per machine and day, from stored sketches of minutes; a day's samples are few enough for exact quantiles."""
+    path = work_dir(spark, "sketches")
+    sketches.quantile_sketches(views.hosts(spark, sf_dir), ["machine"], "cpu_pct").write.parquet(path)
+    hours = sketches.rolled_up(spark.read.parquet(path), ["machine"], "minute", "hour")
+    return sketches.quantiles(sketches.rolled_up(hours, ["machine"], "hour", "day"))
+
+
+@query(
+    f"""{HOST} SELECT event_type, count(*) AS n, true AS p50_within, true AS p95_within, true AS p99_within
+    FROM host GROUP BY event_type"""
+)
+def type_quantiles_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per type of event over all time, from the same stored sketches: whether each quantile's true rank is within the error."""
+    path, host = work_dir(spark, "sketches"), views.hosts(spark, sf_dir)
+    sketches.quantile_sketches(host, ["event_type"], "cpu_pct").write.parquet(path)
+    merged = sketches.quantiles(sketches.rolled_up(spark.read.parquet(path), ["event_type"], "minute", None))
+    counts = []
+    for name in sketches.QUANTILES:
+        counts += [F.count_if(F.col("cpu_pct") < F.col(name)).alias(f"{name}_below"), F.count_if(F.col("cpu_pct") <= F.col(name)).alias(f"{name}_up_to")]
+    ranked = host.join(merged, "event_type").groupBy("event_type", "n").agg(*counts)
+    error = sketches.RANK_ERROR
+    within = [
+        ((F.col(f"{name}_below") / F.col("n") <= rank + error) & (F.col(f"{name}_up_to") / F.col("n") >= rank - error)).alias(f"{name}_within")
+        for name, rank in sketches.QUANTILES.items()
+    ]
+    return ranked.select("event_type", "n", *within)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: str | None = None
 
@@ -52,6 +52,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/hostvane/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a table in the shared folder, for results that several parts of a plan read."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _local_root() -> str:
     global _LOCAL_ROOT
     if _LOCAL_ROOT is None:
