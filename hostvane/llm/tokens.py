@@ -66,6 +66,8 @@ class Encoder:
         encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.by_piece, self.special, self.vocabulary = True, [], len(ranks)
         self.whole = lambda texts: list(map(encoding.encode_ordinary, texts))
+        #: The ids of one text as an array of unsigned 32-bit numbers.
+        self.ordinary = lambda text: encoding.encode_to_numpy(text, disallowed_special=())
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
