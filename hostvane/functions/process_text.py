@@ -76,6 +76,14 @@ def parse_list(text: Column, schema: str = schemas.SIMULATED_PROCESS, safe: bool
     return F.from_json(literal_to_json(text, safe), schema, _JSON_OPTIONS)
 
 
+def parse_open_list(text: Column) -> Column:
+    """Text of either encoding to an array of VARIANT, one per process, which keeps fields that no schema names.
+
+    Named tuples stay texts. Malformed text is NULL. ``processes.open_rows`` types the fields that are known.
+    """
+    return F.from_json(literal_to_json(quote_named_tuples(text)), "array<variant>", _JSON_OPTIONS)
+
+
 def _tuple_field(text: Column, field: str, dtype: str) -> Column:
     return F.regexp_extract(text, rf"\b{field}=([0-9.eE+-]+)", 1).try_cast(dtype)
 

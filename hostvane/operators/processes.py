@@ -32,6 +32,22 @@ def explode_list(samples: DataFrame, processes: str, keep: Sequence[str]) -> Dat
     return exploded.where(F.col("__pos").isNotNull()).select(*keep, "__process.*")
 
 
+def open_rows(samples: DataFrame, processes: str, keep: Sequence[str], fields: dict[str, str]) -> DataFrame:
+    """One row per process of a list of VARIANT: ``fields`` maps names to types, NULL where a process has no such value, and
+    ``process`` is the whole of it, with all other fields. Samples with an empty or unreadable list give none."""
+    exploded = samples.select(*keep, F.posexplode_outer(processes).alias("__pos", "process")).where(F.col("__pos").isNotNull())
+    typed = [F.try_variant_get("process", f"$['{name}']", kind).alias(name) for name, kind in fields.items()]
+    return exploded.select(*keep, *typed, "process")
+
+
+def list_fields(rows: DataFrame, process: str = "process") -> DataFrame:
+    """Which fields the processes of a table have: ``field``, in how many processes, and their types; from one pass."""
+    fields = rows.sparkSession.tvf.variant_explode(F.col(process).outer())
+    named = rows.select(process).lateralJoin(fields).where(F.col("key").isNotNull())
+    kinds = F.array_join(F.array_sort(F.collect_set(F.schema_of_variant("value"))), ",")
+    return named.groupBy(F.col("key").alias("field")).agg(F.count(F.lit(1)).alias("processes"), kinds.alias("types"))
+
+
 def unreadable_lists(samples: DataFrame, text: str, parsed: str) -> DataFrame:
     """Samples whose list has text but could not be read, for a table of rejects: ``explode_list`` gives no rows for
     them. ``parsed`` is the column that the text was parsed into."""

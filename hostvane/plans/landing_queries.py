@@ -3,7 +3,7 @@ the shared work folder, then runs the reader, sink or stream on them."""
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,16 +150,60 @@ def curated_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE date_trunc('day', ts) = (SELECT date_trunc('day', max(ts)) FROM host)"""
 )
 def landing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest day of a landing zone that has a folder per day."""
+    """The newest day of a landing zone that has a folder for every day."""
+    root, (_, newest) = write_zone(spark, sf_dir)
+    day = landing.read_agent_csv(spark, landing.day_path(root, newest.year, newest.month, newest.day, keyed=True))
+    return _zone_samples(day)
+
+
+def write_zone(spark: SparkSession, sf_dir: str) -> tuple[str, tuple[date, date]]:
+    """A landing zone with all days, written by one job, and its first and last day."""
     root = work_dir(spark, "zone")
     lines = agent_lines(spark, sf_dir)
-    newest = lines.agg(F.to_date(F.max("ts"))).first()[0]
-    for day in (newest - timedelta(days=1), newest):
-        path = landing.day_path(root, day.year, day.month, day.day)
-        lines.where(F.to_date("ts") == F.lit(day)).select("value").write.text(path)
-    day = landing.read_agent_csv(spark, landing.day_path(root, newest.year, newest.month, newest.day))
-    samples = landing.canonical_agent(day).withColumn("sample_id", F.regexp_extract("processes", r"'pid': (\d+)", 1).cast("long"))
-    return naive(samples, "machine", "cpu_pct", "ram_used_pct", "ping_ms", "sample_id")
+    sinks.with_date_keys(lines).select("value", *sinks.DAY_KEYS).repartition(*sinks.DAY_KEYS).write.partitionBy(*sinks.DAY_KEYS).text(root)
+    return root, tuple(lines.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first())
+
+
+def _zone_samples(samples: DataFrame) -> DataFrame:
+    sample_id = F.regexp_extract("processes", r"'pid': (\d+)", 1).cast("long")
+    canonical = landing.canonical_agent(samples).withColumn("sample_id", sample_id)
+    return naive(canonical, "machine", "cpu_pct", "ram_used_pct", "ping_ms", "sample_id")
+
+
+@query(
+    f"""{HOST} SELECT format('{{:012x}}', machine) AS machine, ts, cpu_pct, ram_used_pct, ping_ms, sample_id FROM host
+    WHERE ts >= (SELECT date_trunc('day', min(ts)) + INTERVAL 3 DAY FROM host)"""
+)
+def landing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the fourth day on, up to a year after the last: days without a folder do not matter."""
+    root, (first, last) = write_zone(spark, sf_dir)
+    days = landing.read_agent_days(spark, root, first + timedelta(days=3), last + timedelta(days=365), keyed=True)
+    return _zone_samples(days)
+
+
+@query(
+    """SELECT strftime(ts, '%Y') AS ano, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia,
+    strptime(strftime(max(ts), '%Y-%m-%dT%H-%M-%S'), '%Y-%m-%dT%H-%M-%S') AS upload_ts,
+    format('{:012x}', user_id % 4) AS id_maquina, count(*) AS linhas FROM events GROUP BY 1, 2, 3, 5"""
+)
+def scanned_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names from the paths of the files that a scan reads: an object per day and machine, users standing for four machines.
+
+    Spark names the files it writes itself, so that an object is a folder here, its name encoded in the folder's.
+    """
+    root = work_dir(spark, "named")
+    events = views.table(spark, sf_dir, "events").withColumn("machine", F.col("user_id") % 4)
+    events = sinks.with_date_keys(events)
+    keys = [*sinks.DAY_KEYS, "machine"]
+    uploads = events.groupBy(*keys).agg(F.max("ts").alias("upload"))
+    name = F.concat_ws("_", F.lit("dados"), scalars.upload_stamp(F.col("upload")), scalars.machine_id(scalars.mac_text(F.col("machine"))))
+    path = F.concat_ws("/", *sinks.DAY_KEYS, F.concat(name, F.lit(".csv")))
+    named = events.join(uploads, keys).select(F.col("event_id").cast("string").alias("value"), path.alias("objeto"))
+    named.repartition("objeto").write.partitionBy("objeto").text(root)
+    decoded = F.url_decode(F.url_decode(F.col("_metadata.file_path")))
+    lines = landing.with_object_name(spark.read.schema("value string").text(root), decoded)
+    counted = lines.groupBy(*sinks.DAY_KEYS, "upload_ts", "id_maquina").agg(F.count(F.lit(1)).alias("linhas"))
+    return counted.withColumn("upload_ts", F.col("upload_ts").cast("timestamp_ntz"))
 
 
 @query(
@@ -191,26 +235,48 @@ def simulated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(samples, "machine", "cpu_pct", "freq_cur_mhz", "disk_used_pct", "ram_free_pct", "ram_used_pct", "read_bps", "processes")
 
 
-def _worded(case: str) -> str:
-    return f"""CASE {case} WHEN 'CRITICO' THEN 'CRÍTICO' WHEN 'ATENCAO' THEN 'ATENÇÃO' WHEN 'NORMAL' THEN 'Normal' END"""
+def _text_of(case: str, wording: dict[str, str]) -> str:
+    return f"CASE {case} {' '.join(f"WHEN '{code}' THEN '{text}'" for code, text in wording.items())} END"
+
+
+_SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER"}
+_HEX = "format('{:012x}', machine)"
+_TREATED_SQL = {
+    "endereco_mac": "array_to_string([" + ", ".join(f"substr({_HEX}, {k}, 2)" for k in range(1, 12, 2)) + "], ':')",
+    "nome_usuario": "'user'",
+    "percentual_uso_cpu": "cpu_pct",
+    "frequencia_cpu_atual_mhz": "freq_cur_mhz",
+    "frequencia_cpu_minima_mhz": "freq_min_mhz",
+    "frequencia_cpu_maxima_mhz": "freq_max_mhz",
+    "memoria_total_bytes": "mem_total_bytes",
+    "memoria_disponivel_bytes": "mem_free_bytes",
+    "percentual_uso_ram": "ram_used_pct",
+    "percentual_uso_swap": "swap_used_pct",
+    "percentual_uso_disco": "disk_used_pct",
+    "latencia_ping_ms": "ping_ms",
+    "processos": """'[{''pid'': ' || sample_id || ', ''name'': ''a,b "c"''}]'""",
+    "data_hora_iso": "ts",
+    "degradacao": _text_of(status_queries.DEGRADED_CASE, status.DEGRADATION_TEXT),
+    "status_cpu": _text_of(status_queries.limit_case("cpu_pct", "(60.0::DOUBLE + n_nationkey)"), status.LIMIT_TEXT),
+    "status_ram": _text_of(status_queries.limit_case("ram_used_pct", "(50.0::DOUBLE + n_nationkey)"), status.LIMIT_TEXT),
+    "status_swap": _text_of(status_queries.SWAP_CASE, status.SWAP_TEXT),
+    "status_disco": _text_of(status_queries.limit_case("disk_used_pct", "(70.0::DOUBLE + n_nationkey)"), status.LIMIT_TEXT),
+    "status_ping": _text_of(status_queries.PING_CASE, status.PING_TEXT),
+}
+#: Measurements that the test files hold as 0.
+_TREATED_SQL |= {name: f"0::{_SQL_TYPES[kind]}" for name, kind in schemas.AGENT_COLUMNS if name not in _TREATED_SQL}
 
 
 @query(
-    f"""{HOST} SELECT ts AS data_hora_iso, percentual_uso_cpu, status_cpu, status_ram, status_disco, colunas FROM (
-      SELECT ts, cpu_pct AS percentual_uso_cpu,
-      {_worded(status_queries.limit_case('cpu_pct', '(60.0::DOUBLE + n_nationkey)'))} AS status_cpu,
-      {_worded(status_queries.limit_case('ram_used_pct', '(50.0::DOUBLE + n_nationkey)'))} AS status_ram,
-      {_worded(status_queries.limit_case('disk_used_pct', '(70.0::DOUBLE + n_nationkey)'))} AS status_disco,
-      32 AS colunas FROM host LEFT JOIN nation ON n_nationkey = machine)"""
+    f"""{HOST} SELECT {', '.join(f'{sql} AS {name}' for name, sql in _TREATED_SQL.items())}
+    FROM host LEFT JOIN nation ON n_nationkey = machine"""
 )
 def treated_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The layout of 26 agent columns and 6 worded labels."""
     path = work_dir(spark, "agent")
     agent_lines(spark, sf_dir).select("value").write.text(path)
     treated = treatment.treat_agent(landing.read_agent_csv(spark, path), views.machine_limits(spark, sf_dir))
-    stamp = F.col("data_hora_iso").cast("timestamp_ntz").alias("data_hora_iso")
-    labels = ["percentual_uso_cpu", "status_cpu", "status_ram", "status_disco"]
-    return treated.select(stamp, *labels, F.lit(len(treated.columns)).alias("colunas"))
+    return treated.withColumn("data_hora_iso", F.col("data_hora_iso").cast("timestamp_ntz"))
 
 
 @query(

@@ -450,3 +450,46 @@ def restarts_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     united = sketches.united(spark.read.parquet(stored), ["machine"], list(members))
     restarted = F.greatest(sketches.size("pids") - 1, F.lit(0).cast("bigint"))
     return united.select("machine", sketches.size("names").alias("names"), restarted.alias("restarts"))
+
+
+def _wider(p: Column) -> Column:
+    """One process with fields that no schema has: a number, now and then a text, and a nested one."""
+    nice = F.when(p["line"] % 3 == 0, F.lit("'high'")).otherwise(p["line"].cast("string"))
+    return F.concat(
+        F.lit("{'pid': "), p["pid"].cast("string"), F.lit(", 'name': '"), p["name"], F.lit("', 'nice': "), nice,
+        F.when(p["line"] % 2 == 0, F.concat(F.lit(", 'net': {'sent': ["), p["vms"].cast("string"), F.lit(", None], 'up': True}"))).otherwise(F.lit("")),
+        F.lit(", 'memory_info': pmem(rss="), p["rss"].cast("string"), F.lit(", vms=1)}"),
+    )
+
+
+def _open_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = sample_texts(spark, sf_dir, _wider).select("sample", process_text.parse_open_list(F.col("processos")).alias("lista"))
+    return processes.open_rows(lists, "lista", ["sample"], {"pid": "bigint", "name": "string", "nice": "bigint", "gpu": "double"})
+
+
+@query(
+    f"""{LINES} SELECT sample, pid, name, CASE WHEN line % 3 <> 0 THEN line END::BIGINT AS nice, NULL::DOUBLE AS gpu,
+    CASE WHEN line % 3 = 0 THEN 'high' ELSE line::VARCHAR END AS nice_text,
+    CASE WHEN line % 2 = 0 THEN vms END AS sent, line % 2 = 0 AS has_net, 'pmem(rss=' || rss || ', vms=1)' AS memory FROM lines"""
+)
+def open_process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known fields typed, and unknown ones read from what was kept."""
+
+    def kept(path: str, kind: str) -> Column:
+        return F.try_variant_get("process", path, kind)
+
+    return _open_rows(spark, sf_dir).select(
+        "sample", "pid", "name", "nice", "gpu", kept("$.nice", "string").alias("nice_text"),
+        kept("$.net.sent[0]", "bigint").alias("sent"), F.coalesce(kept("$.net.up", "boolean"), F.lit(False)).alias("has_net"),
+        kept("$.memory_info", "string").alias("memory"),
+    )
+
+
+@query(
+    f"""{LINES} SELECT 'pid' AS field, count(*) AS processes, 'BIGINT' AS types FROM lines
+    UNION ALL SELECT 'name', count(*), 'STRING' FROM lines UNION ALL SELECT 'memory_info', count(*), 'STRING' FROM lines
+    UNION ALL SELECT 'nice', count(*), 'BIGINT,STRING' FROM lines
+    UNION ALL SELECT 'net', count(*), 'OBJECT<sent: ARRAY<BIGINT>, up: BOOLEAN>' FROM lines WHERE line % 2 = 0"""
+)
+def list_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return processes.list_fields(_open_rows(spark, sf_dir))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +15,46 @@ from hostvane.functions import scalars
 # whose header does not mention it.
 _WIDE = [f"c{i}" for i in range(len(schemas.AGENT_COLUMNS) + 1)]
 _RAW_SCHEMA = ", ".join(f"{name} string" for name in _WIDE)
+#: The keys of keyed day folders.
+DAY_FOLDERS = ("ano", "mes", "dia")
 _CSV_OPTIONS = {"header": "false", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
 
 _OBJECT_NAME = r"(\d{4})/(\d{2})/(\d{2})/dados_(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2})_([0-9A-Za-z]+)\.csv"
 
 
-def day_path(root: str, year: int, month: int, day: int) -> str:
-    """Folder of one day. Days are plain folders, not key=value, so a day is chosen by its path."""
-    return f"{root.rstrip('/')}/{year:04d}/{month:02d}/{day:02d}"
+def day_path(root: str, year: int, month: int, day: int, keyed: bool = False) -> str:
+    """Folder of one day. Days are plain folders unless ``keyed`` (ano=/mes=/dia=), so a day is chosen by its path."""
+    return _folder(root, (f"{year:04d}", f"{month:02d}", f"{day:02d}"), keyed)
+
+
+def _folder(root: str, parts: Sequence[str], keyed: bool) -> str:
+    return "/".join([root.rstrip("/"), *(f"{key}={part}" if keyed else part for key, part in zip(DAY_FOLDERS, parts))])
+
+
+def range_paths(root: str, first: date, last: date, keyed: bool = False) -> list[str]:
+    """Patterns for the folders of all days from ``first`` to ``last``: whole years and months by one pattern each, so that
+    a range of years has few of them. Nothing outside the range is listed."""
+    paths, day = [], first
+    while day <= last:
+        month_end = (day.replace(day=1) + timedelta(days=32)).replace(day=1) - timedelta(days=1)
+        parts: tuple[str, ...] = (f"{day.year:04d}", f"{day.month:02d}", f"{day.day:02d}")
+        end = day
+        if day.day == 1 and month_end <= last:
+            parts, end = (*parts[:2], "*"), month_end
+            if day.month == 1 and date(day.year, 12, 31) <= last:
+                parts, end = (parts[0], "*", "*"), date(day.year, 12, 31)
+        paths.append(_folder(root, parts, keyed))
+        day = end + timedelta(days=1)
+    return paths
+
+
+def read_agent_days(spark: SparkSession, root: str, first: date, last: date, keyed: bool = False) -> DataFrame:
+    """Agent samples of all days from ``first`` to ``last``; days without a folder have none."""
+    folders = [path[len(root.rstrip("/")) + 1 :] for path in range_paths(root, first, last, keyed)]
+    if not folders:
+        return agent_samples(spark.createDataFrame([], _RAW_SCHEMA))
+    # one pattern: a path that matches nothing would be an error, a part of a pattern is not
+    return read_agent_csv(spark, f"{root.rstrip('/')}/{{{','.join(folders)}}}")
 
 
 def read_agent_csv(spark: SparkSession, *paths: str) -> DataFrame:
