@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostvane.llm.shared import small_batches, stored, texts
+from hostvane.llm.shared import small_batches, stored, texts, unused
 
 #: Lines that the rolling hash covers, chunks end at one of DIVISOR places on average, and words of a long line.
 WINDOW, DIVISOR, LONG_LINE = 2, 2, 50
@@ -161,26 +161,28 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with
     the chunks that lose lines, in whole or in part. Documents in which nothing repeats are unchanged; a document all of
     whose chunks are found earlier gets the empty text. The first copy of a chunk always stays, also among chunks of one
     document; of a passage, every line stays somewhere. Null and empty texts are unchanged. Rows with equal doc_id and
-    text are one document: they stay alike. Columns of `docs` that bear the names of the two new ones are replaced. An
+    text are one document: they stay alike. Columns of `docs` that bear the names of the two new ones are replaced;
+    all other names are free. An
     empty table gives no rows.
     """
+    key, hashed, held = unused(docs, "_key", "_hash", "_ranges")
     gone = repeated_chunks(docs, doc_id, text, with_passages).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("position", "end")).alias("_ranges")
+        F.collect_list(F.struct("position", "end")).alias(held)
     )
-    gone = gone.select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"), "_ranges")
-    same = docs[doc_id].cast("long").eqNullSafe(F.col("_key")) & (text_hash(docs[text]) == F.col("_hash"))
+    gone = gone.select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), held)
+    same = docs[doc_id].cast("long").eqNullSafe(F.col(key)) & (text_hash(docs[text]) == F.col(hashed))
     counts = ("removed_chunks", "removed_chars")
-    joined = docs.join(gone, same, "left").withColumns({c: F.lit(0).cast("long") for c in counts}).drop("_key", "_hash")
+    joined = docs.join(gone, same, "left").withColumns({c: F.lit(0).cast("long") for c in counts}).drop(key, hashed)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             whole, out = batch.column(text).to_pylist(), []
-            for value, ranges in zip(whole, batch.column("_ranges").to_pylist(), strict=True):
+            for value, ranges in zip(whole, batch.column(held).to_pylist(), strict=True):
                 out.append(without(value, [(r["position"], r["end"]) for r in ranges]) if ranges else (value, 0, 0))
             for name, values in zip((text, *counts), zip(*out, strict=True), strict=False):
                 at = batch.schema.get_field_index(name)
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
-            yield batch.drop_columns(["_ranges"])
+            yield batch.drop_columns([held])
 
-    result = joined.drop("_ranges").schema
+    result = joined.drop(held).schema
     return joined.mapInArrow(rebuild, result)

@@ -31,3 +31,14 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The batch's texts; null is the empty text."""
     return [text or "" for text in batch.column(column).to_pylist()]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as keep it apart from the table's own columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

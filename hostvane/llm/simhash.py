@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostvane.llm.components import components
-from hostvane.llm.shared import small_batches, stored, texts
+from hostvane.llm.shared import small_batches, stored, texts, unused
 
 MOST_BITS = 3
 SHINGLE = 3
@@ -259,8 +259,9 @@ def without_near_duplicates(docs: DataFrame, limit: int = KEY_LIMIT) -> DataFram
     first = first.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     kept = first.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("kept")).select("kept.*")
     # ids repeat only in odd input: just those rows are compared with each other
-    same = (F.coalesce(docs["doc_id"], last) == F.col("kept_id")) & (_text_hash(docs["text"]) == F.col("kept_hash"))
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "n")
+    kept_id, kept_hash = unused(docs, "kept_id", "kept_hash")
+    same = (F.coalesce(docs["doc_id"], last) == F.col(kept_id)) & (_text_hash(docs["text"]) == F.col(kept_hash))
+    kept = kept.select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash), "n")
     once, again = kept.where("n = 1").drop("n"), kept.where("n > 1").drop("n")
     repeated = docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return docs.join(once, same, "left_semi").unionByName(repeated)

@@ -4,13 +4,12 @@ import os
 
 import pytest
 from test_decontaminate import normal
-from test_lines import brute_force as plain_line_dedup
 from test_simhash import plain_components, plain_fingerprint
 from test_tokens import check_packing, plain
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from hostvane.llm import decontaminate, langid, queries
+from hostvane.llm import decontaminate, langid, lines, queries, simhash
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -52,11 +51,28 @@ def test_language(spark, written):
     assert rows_of(written[1]) == want and len(want) > 0.9 * len(docs)
 
 
+def plain_line_dedup(docs):
+    """{doc_id: text} without chunks and passages seen before, and without documents that nothing is left of."""
+    seen, out = set(), {}
+    for key in sorted(docs):
+        own, gone, start, pieces = docs[key].split("\n"), set(), 0, []
+        for chunk in lines.chunks(docs[key]):
+            end = start + chunk.count("\n") + 1
+            pieces += [(start, end, ("chunk", chunk))] * lines.removable(chunk)
+            start = end
+        pieces += [(a, b, ("passage", "\n".join(own[a:b]))) for a, b in lines.passages(docs[key])]
+        for a, b, piece in sorted(pieces):
+            gone |= set(range(a, b)) if piece in seen else set()
+            seen.add(piece)
+        text = "\n".join(line for k, line in enumerate(own) if k not in gone)
+        if not gone or text.strip():
+            out[key] = text
+    return out
+
+
 def test_line_dedup(written):
     docs = rows_of(written[1])
-    want = plain_line_dedup([(k, r.text) for k, r in docs.items()])
-    kept = {k: want[k, r.text] for k, r in docs.items()}
-    kept = {k: text for k, (text, removed) in kept.items() if not removed or text.strip()}
+    kept = plain_line_dedup({k: r.text for k, r in docs.items()})
     got = rows_of(written[2])
     assert {k: r.text for k, r in got.items()} == kept
     assert all(r.n_chars == len(r.text) for r in got.values()) and any(r.text != docs[k].text for k, r in got.items())
@@ -111,3 +127,15 @@ def duck():
 def test_registered(spark, duck, name):
     assert registered.queries()[name] is queries.QUERIES[name]
     assert compare(spark, duck, SF_DIR, name, queries.QUERIES[name], queries.ORACLES.get(name)) is None
+
+
+def test_stages_keep_columns_named_like_helpers(spark):
+    """Columns of any name pass through line dedup and near-duplicates."""
+    long = " ".join(f"word{k}" for k in range(60))
+    names = ["_key", "_hash", "_ranges", "kept_id", "kept_hash", "Kept_Id_2", "n", "root", "fp", "text_hash", "component_id"]
+    rows = [(k, f"{long}\nown line {k} of text", *[f"{name}{k}" for name in names]) for k in range(4)] + [(9, None, *names)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}")
+    for function in (lambda d: lines.line_dedup(d).drop("removed_chunks", "removed_chars"), simhash.without_near_duplicates):
+        got = function(docs)
+        assert got.columns == docs.columns
+        assert all(r[2:] == tuple(f"{name}{r.doc_id}" for name in names) for r in got.collect() if r.doc_id != 9) and got.count() > 1
