@@ -22,9 +22,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated chunks of lines; a document that loses all its text that way goes, and n_chars is counted anew."""
+    """Removes repeated chunks of lines and repeated passages of 50 words or more; a document that loses all its text that way
+    goes, and n_chars is counted anew."""
     own = {c: f"own_{c}" for c in ("removed_chunks", "removed_chars") if c in docs.columns}
-    left = lines.line_dedup(docs.withColumnsRenamed(own))
+    left = lines.line_dedup(docs.withColumnsRenamed(own), with_passages=True)
     left = left.where((F.col("removed_chunks") == 0) | (F.trim(F.col("text"), F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars"))
