@@ -1,12 +1,13 @@
-"""Documents that hold benchmark items, exactly or with edits, by spaced seeds of characters.
+"""Documents that hold benchmark items, exactly or with edits, by random walks that turn edits into changed outputs.
 
-Texts are words joined by single spaces. A seed is a pattern of `kept` places within a span of `span` characters; an item
-is indexed at all its places under several patterns, and a document is read at every `stride`-th place. Where enough
-stretches of an item meet equal ones of a document at about the same shift, the item is aligned there, and the exact edit
-distance, in characters, decides. Patterns pass over changed characters between the places that they read, so that no
-word need be unchanged. Short items have seeds of their own, and those of very few characters are found by an automaton.
+Texts are words joined by single spaces. A random walk over characters embeds the edit distance of two texts into the Hamming
+distance of what the walks put out; keys sample some of the steps, for several samplings of several independent walks.
+An item is walked from all its places, a document from every `stride`-th one. Keys that agree at about one shift, gathered
+over a window of the item's size, place the item; the exact edit distance there, in characters, decides. Walks that stay
+on a character or go on to the next one would meet every edit; these go on by one or two, so that changed characters can be
+passed over. Short items have shorter walks, and those of very few characters are found by an automaton.
 
-The benchmark is read in blocks of bounded size, and only a block is ever broadcast.
+The benchmark is written to the shared folder in blocks of bounded size, which tasks load one at a time.
 """
 
 from __future__ import annotations
@@ -14,17 +15,19 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.dataset
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostvane.llm.licenses import words as plain_words
-from hostvane.llm.shared import small_batches, texts
+from hostvane.llm.shared import small_batches, stored, texts
+from hostvane.session import work_dir
 
 #: An item is found where a stretch of a document is within this edit distance, as a share of the item's characters.
 MOST_EDITS = 0.2
@@ -35,150 +38,135 @@ GAPLESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u340
 
 
 @dataclass(frozen=True)
-class Seeds:
-    """Patterns for items of at least so many characters."""
+class Windows:
+    """How items of at least so many characters are walked."""
 
     chars: int
-    kept: int  # places that a pattern reads
-    span: int
-    patterns: int
+    steps: int  # of a walk
+    sampled: int  # steps that a key is made of
+    walks: int
+    tables: int  # samplings of each walk
     stride: int  # of places in documents
-    apart: int  # parts of an item, of PART characters, in which stretches must be found; a part in MORE of long items
 
-    def places(self) -> list[np.ndarray]:
-        rng = np.random.default_rng(20_26)
-        found: set[tuple[int, ...]] = set()
-        while len(found) < self.patterns:
-            inner = rng.choice(np.arange(1, self.span - 1), self.kept - 2, replace=False)
-            found.add((0, *sorted(inner.tolist()), self.span - 1))
-        return [np.array(f) for f in sorted(found)]
 
-
-KINDS = LONG, SHORT, TINY = Seeds(64, 10, 12, 8, 1, 2), Seeds(32, 6, 8, 4, 1, 1), Seeds(0, 4, 5, 3, 1, 1)
-PART, MORE = 8, 8
-#: Smallest hash among so many word pairs.
-SPAN = 6
+KINDS = LONG, SHORT, TINY = Windows(80, 11, 9, 8, 2, 4), Windows(32, 7, 6, 6, 2, 2), Windows(0, 4, 4, 6, 1, 1)
+#: Walks must agree in one part of an item, of PART characters, and in another for every MORE characters that it has.
+PART, MORE = 8, 96
 #: Items and characters of a block of the benchmark.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 4_000_000
 CHARS_AT_ONCE = 400_000
+#: Verified stretches that a worker keeps, unless they are many times longer than the item.
+KEPT_STRETCHES, LONG_STRETCH = 20_000, 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BITMAP = 16
+_STARTS_AT_ONCE = 8_192  # their arrays stay in the processor's cache
 
 
 def words(text: str) -> list[bytes]:
     return plain_words(text.lower())
 
 
-def hashes(found: list[bytes]) -> np.ndarray:
-    """64 random bits per word, never 0: that stands for the end of a text."""
-    return np.fromiter(map(xxhash.xxh64_intdigest, found), dtype=np.uint64, count=len(found)) | np.uint64(1)
-
-
-def anchors(hashed: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """Positions of pairs of words that are the smallest of some `span` consecutive ones; all words of a short text."""
-    if len(hashed) <= span:
-        return np.arange(len(hashed))
-    mixed = ((hashed[:-1] ^ (hashed[1:] >> np.uint64(7))) * _MIX) >> np.uint64(16)  # of a word and the next: rarer
-    count = len(mixed) - span + 1
-    low = functools.reduce(np.minimum, (mixed[k : k + count] for k in range(span)))
-    edge = np.zeros(span - 1, dtype=np.uint64)
-    around = np.concatenate([edge, low, edge])
-    return np.flatnonzero(functools.reduce(np.maximum, (around[k : k + len(mixed)] for k in range(span))) == mixed)
-
-
-# ---- walks over words: not part of the search any more, kept for those who import them
-
-
-@dataclass
 class Table:
-    size: int  # words of the items' class
-    steps: list[int]  # sampled
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # index into Index.starts
-    bitmap: np.ndarray = field(default_factory=lambda: np.zeros(1 << _BITMAP, bool))
-
-
-def walk(hashed: np.ndarray, start: np.ndarray, tables: list[Table]) -> Iterator[tuple[Table, np.ndarray]]:
-    """Keys of the windows at `start` for every table; a window ends after the words of the table's class.
+    """Keys of one sampling of a walk, at all places of the items."""
 
-    `hashed` closes each text with a 0, at which walks stay; beyond a window's end, too, the output is 0.
-    """
-    at, uses = start.copy(), {}
-    keys = [np.ones(len(start), dtype=np.uint64) for _ in tables]
-    for k, table in enumerate(tables):
-        for step in table.steps:
-            uses.setdefault(step, []).append(k)
-    for step in range(max(uses, default=-1) + 1):
-        word = hashed[at]
-        inside = {size: (at - start < size) for size in {tables[k].size for k in uses.get(step, ())}}
-        for k in uses.get(step, ()):
-            keys[k] = (keys[k] ^ word * inside[tables[k].size]) * _MIX
-        shift, again = step % 63 + 1, step // 63
-        bits = word if not again else word * (_MIX + np.uint64(2 * again))
-        at += ((bits >> np.uint64(shift)) & np.uint64(1)).astype(at.dtype)
-    yield from zip(tables, keys, strict=True)
-
-
-# ---- seeds
-
-
-class Pattern:
-    """One pattern's keys of all places of the items."""
-
-    def __init__(self, places: np.ndarray, chars: np.ndarray, start: np.ndarray):
-        self.places = places
-        self.factors = np.random.default_rng(places).integers(1, 1 << 63, len(places), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        keys = self.keys(chars, 1)[start]
+    def __init__(self, keys: np.ndarray, start: np.ndarray):
         order = np.argsort(keys, kind="stable")
         self.sorted, self.start = keys[order], start[order].astype(np.int32)
         self.shift = np.uint64(64 - min(24, max(16, (16 * len(keys)).bit_length())))
         self.bitmap = np.zeros(1 << (64 - int(self.shift)), bool)
         self.bitmap[keys >> self.shift] = True
 
-    def keys(self, chars: np.ndarray, stride: int) -> np.ndarray:
-        n = len(chars) - int(self.places[-1])
-        out = np.zeros(len(range(0, n, stride)), np.uint64)
-        for place, factor in zip(self.places.tolist(), self.factors, strict=True):
-            out += chars[place : place + n : stride] * factor
-        out ^= out >> np.uint64(29)
-        out *= _MIX
-        return out
-
-    def hits(self, chars: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
-        """(place in `chars`, place among the items' characters) of equal stretches."""
-        keys = self.keys(chars, stride)
+    def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into `keys`, place among the items' characters) of equal keys."""
         maybe = np.flatnonzero(self.bitmap[keys >> self.shift])
         low, high = (np.searchsorted(self.sorted, keys[maybe], side) for side in ("left", "right"))
         n = high - low
         at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(maybe * stride, n), self.start[at].astype(np.int64)
+        return np.repeat(maybe, n), self.start[at].astype(np.int64)
+
+
+class Walk:
+    """A random walk over characters: a step puts out the character that it stands on, and moves on by one or two places as
+    a random function of the step and that character says. Texts that differ by edits are walked in step again soon, and a
+    character that is passed over may differ. A key mixes the outputs of sampled steps.
+    """
+
+    def __init__(self, kind: Windows, number: int):
+        rng = np.random.default_rng((20_26, kind.steps, number))
+        self.bits = [np.uint64(b) for b in rng.permutation(64)[: kind.steps]]
+        self.samples = self._samplings(kind, rng)
+        self.factors = rng.integers(1, 1 << 63, kind.steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    @staticmethod
+    def _samplings(kind: Windows, rng: np.random.Generator) -> list[frozenset[int]]:
+        """The first step is always sampled, so no two places have the same walk by chance of where it starts."""
+        found: set[frozenset[int]] = set()
+        while len(found) < kind.tables:
+            found.add(frozenset([0, *(1 + rng.choice(kind.steps - 1, kind.sampled - 1, replace=False)).tolist()]))
+        return sorted(found, key=sorted)
+
+    def keys(self, symbols: np.ndarray, start: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """A key per sampling for walks from these places, and where the walks end; beyond the text they stay on its last."""
+        keys, one, end = [np.zeros(len(start), np.uint64) for _ in self.samples], np.uint64(1), start.copy()
+        for first in range(0, len(start), _STARTS_AT_ONCE):
+            part = slice(first, first + _STARTS_AT_ONCE)
+            at, own = end[part], [k[part] for k in keys]
+            read, moved = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+            for step, (bit, factor) in enumerate(zip(self.bits, self.factors, strict=True)):
+                np.take(symbols, at, out=read, mode="clip")
+                np.multiply(read, factor, out=moved)
+                for key, sampled in zip(own, self.samples, strict=True):
+                    if step in sampled:
+                        key += moved
+                np.right_shift(read, bit, out=moved)
+                moved &= one
+                moved += one
+                at += moved.view(np.int64)
+            for key in own:
+                key ^= key >> np.uint64(29)
+                key *= _MIX
+        return keys, end
 
 
 def coded(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    """64 random bits per character."""
+    mixed = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    mixed += np.uint64(1)
+    for right in (np.uint64(31), np.uint64(29)):
+        mixed *= _MIX
+        mixed ^= mixed >> right
+    return mixed
 
 
 class Finder:
-    """Items that share a kind of seeds."""
+    """Items that share a kind of windows."""
 
-    def __init__(self, seeds: Seeds, items: list[tuple[int, str, int]]):
-        self.seeds = seeds
+    def __init__(self, kind: Windows, items: list[tuple[int, str, int]]):
+        self.kind = kind
         self.numbers = np.array([k for k, _, _ in items])
         self.size = np.array([len(wording) for _, wording, _ in items])
         self.most = np.array([most for _, _, most in items])
         self.begin = np.cumsum(np.r_[0, self.size])[:-1]
         chars = coded("".join(wording for _, wording, _ in items))
         place = np.arange(len(chars))
-        owner = np.repeat(np.arange(len(items)), self.size)
-        start = place[place + seeds.span <= (self.begin + self.size)[owner]]
-        self.patterns = [Pattern(p, chars, start) for p in seeds.places()] if len(start) else []
+        close = np.repeat(self.begin + self.size, self.size)
+        self.walks: list[tuple[Walk, list[Table]]] = []
+        for number in range(kind.walks):
+            walk = Walk(kind, number)
+            keys, end = walk.keys(chars, place)
+            inside = end <= close + 1  # the last move is not read any more
+            self.walks.append((walk, [Table(k[inside], place[inside]) for k in keys]))
 
     def candidates(self, chars: np.ndarray, begin: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, least and greatest shift of the item) of documents that begin at these places of `chars`."""
-        if not self.patterns or len(chars) < self.seeds.span:
+        start = np.arange(0, len(chars), self.kind.stride)
+        if not len(start):
             return []
-        found = [p.hits(chars, self.seeds.stride) for p in self.patterns]
+        found = []
+        for walk, tables in self.walks:
+            for table, keys in zip(tables, walk.keys(chars, start)[0], strict=True):
+                at, place = table.hits(keys)
+                found.append((at * self.kind.stride, place))
         at, place = (np.concatenate(x) for x in zip(*found, strict=True))
         if not len(at):
             return []
@@ -193,7 +181,7 @@ class Finder:
         run = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         parts = np.unique(run << 32 | offset // PART) >> 32
-        least = np.maximum(self.seeds.apart, self.size[item[first]] // (PART * MORE))
+        least = 1 + self.size[item[first]] // MORE
         enough = np.bincount(parts, minlength=len(first)) >= least
         last = np.r_[first[1:], len(run)] - 1
         columns = (document[first], self.numbers[item[first]], shift[first], shift[last])
@@ -206,7 +194,7 @@ class Index:
     def __init__(self, items: Iterable[tuple[int, str]], most_edits: float = MOST_EDITS):
         self.most_edits = most_edits
         self.items: list[tuple[int, int, str]] = []  # id, words, words joined
-        near: dict[Seeds, list[tuple[int, str, int]]] = {kind: [] for kind in KINDS}
+        near: dict[Windows, list[tuple[int, str, int]]] = {kind: [] for kind in KINDS}
         self.whole: set[int] = set()  # items that count as whole words alone
         self.exact = ahocorasick.Automaton()
         for item_id, text in items:
@@ -222,9 +210,12 @@ class Index:
             if whole or kind is not LONG:
                 self.exact.add_word(wording, [*self.exact.get(wording, []), len(self.items)])
             self.items.append((item_id, len(found), wording))
-        self.finders = [Finder(seeds, own) for seeds, own in near.items() if own]
+        self.finders = [Finder(kind, own) for kind, own in near.items() if own]
         self.exact.make_automaton()
-        self.verified = functools.lru_cache(20_000)(self._edits)
+        self._kept = functools.lru_cache(KEPT_STRETCHES)(self._edits)
+
+    def verified(self, item: int, stretch: str) -> tuple[int, int] | None:
+        return (self._edits if len(stretch) > LONG_STRETCH * len(self.items[item][2]) else self._kept)(item, stretch)
 
     def _edits(self, item: int, stretch: str) -> tuple[int, int] | None:
         """The fewest edits of the item in the stretch and where that ends, or None where there are surely too many.
@@ -318,26 +309,35 @@ def fewest_edits_and_end(wording: str, stretch: str) -> tuple[int, int]:
     return best, end
 
 
-def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The items, in blocks of bounded size."""
-    items = benchmark.select(F.col(item_id).cast("long"), F.col(text).cast("string")).where(F.col(text).isNotNull())
-    block, chars = [], 0
-    for key, value in items.distinct().toLocalIterator():
-        block.append((key, value))
-        chars += len(value)
-        if len(block) == BLOCK_ITEMS or chars >= BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-    if block:
-        yield block
-
-
-_BUILT: list = []  # items of a block and their index, kept by the worker from task to task
+def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[str]:
+    """The items as tables of about BLOCK_ITEMS items and BLOCK_CHARS characters at most; the folders of these tables.
 
-
-def _index(block, most_edits: float) -> Index:
-    if not _BUILT or _BUILT[0] is not block.value or _BUILT[1].most_edits != most_edits:
-        _BUILT[:] = [block.value, Index(block.value, most_edits)]
+    The driver learns two numbers, from which the number of blocks follows.
+    """
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"))
+    items = stored(items.where(F.col("text").isNotNull()).distinct(), "items")
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    number = max(-(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
+    if not number:
+        return []
+    path = work_dir(benchmark.sparkSession, "item-blocks")
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(number)))
+    dealt.repartition(number, "block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={k}" for k in range(number)]
+
+
+_BUILT: list = []  # the folder of a block and its index, kept by the worker from task to task
+
+
+def _index(path: str, most_edits: float) -> Index:
+    if not _BUILT or _BUILT[0] != path or _BUILT[1].most_edits != most_edits:
+        _BUILT.clear()
+        store, folder = fs.FileSystem.from_uri(path)
+        items = []
+        if store.get_file_info(folder).type == fs.FileType.Directory:  # a block that no item was dealt to has no folder
+            block = pa.dataset.dataset(folder, filesystem=store, format="parquet").to_table(columns=["item_id", "text"])
+            items = sorted(zip(*(c.to_pylist() for c in block.columns), strict=True), key=lambda i: (i[0] is None, i[0] or 0, i[1]))
+        _BUILT[:] = [path, Index(items, most_edits)]
     return _BUILT[1]
 
 
@@ -347,8 +347,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS,
     Texts are lower-cased words of letters of any script and digits, joined by single spaces; `edits` is the smallest
     edit distance of the item to a stretch of the document. Items of fewer than `LEAST_WORDS` words and
     `LEAST_BYTES` bytes are found as whole words without an edit. Null and empty items, and null and empty texts, match
-    nothing. Repeated items count once; repeated documents give their rows again; null ids stay null. Other
-    columns are ignored. Empty tables give no rows.
+    nothing. Repeated items count once; repeated documents give their rows again; null ids stay null. Texts of any
+    length are searched whole. Other columns are ignored. Empty tables give no rows.
     """
     schema = "doc_id long, item_id long, edits long, similarity double, first_word long"
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -368,20 +368,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS,
 
         return rows.mapInArrow(search, schema)
 
-    results = [found_in(spark.sparkContext.broadcast(block)) for block in blocks(benchmark)]
+    results = [found_in(block) for block in blocks(benchmark)]
     return functools.reduce(DataFrame.unionByName, results, spark.createDataFrame([], schema)) if len(results) != 1 else results[0]
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS) -> DataFrame:
-    """The documents in which no item is found, with all their columns, without any shuffle."""
-    for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    """The documents in which no item is found, with all their columns, without any shuffle.
 
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared, most_edits)
+    What one block leaves is written before the next one is searched. Null and empty texts stay, and so do all documents
+    where there are no items; repeated rows stay or go together; texts of any length are searched whole.
+    """
+    for number, block in enumerate(blocks(benchmark)):
+
+        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            index = _index(block, most_edits)
             for batch in small_batches(batches):
                 leaking = {document for document, *_ in index.matches(texts(batch))}
                 yield batch.filter(pa.array([k not in leaking for k in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = (stored(docs, "unleaked") if number else docs).mapInArrow(clean, docs.schema)
     return docs

@@ -69,32 +69,28 @@ def test_fewest_edits_against_the_table():
         assert d.fewest_edits(a, b) == plain_edits(a, b)
 
 
-def test_anchors_are_the_winnowed_pairs():
-    rng = np.random.default_rng(3)
-    for n in (0, 1, 5, 6, 7, 40):
-        hashed = rng.integers(1, 50, n).astype(np.uint64) | np.uint64(1)
-        with np.errstate(over="ignore"):
-            mixed = [int(((a ^ (b >> np.uint64(7))) * d._MIX) >> np.uint64(16)) for a, b in zip(hashed, hashed[1:])]
-        spans = [range(s, s + d.SPAN) for s in range(len(mixed) - d.SPAN + 1)]
-        want = {k for span in spans for k in span if mixed[k] == min(mixed[j] for j in span)} if spans else set(range(n))
-        assert set(d.anchors(hashed).tolist()) == want
-
-
-def test_walk_against_its_definition():
-    rng = np.random.default_rng(4)
-    hashed = np.concatenate([rng.integers(1, 1 << 62, 30).astype(np.uint64) | np.uint64(1), np.zeros(1, np.uint64)])
-    table = d.Table(20, [0, 5, 30, 64, 95])
-    (_, keys), = d.walk(hashed, np.array([0, 7, 29]), [table])
-    for start, key in zip([0, 7, 29], keys, strict=True):
-        at, want = start, np.uint64(1)
-        for step in range(96):
-            word = hashed[at]
-            with np.errstate(over="ignore"):
-                if step in table.steps:
-                    want = (want ^ word * np.uint64(at - start < 20)) * d._MIX
-                bits = word if step < 63 else word * (d._MIX + np.uint64(2 * (step // 63)))
-            at += int(bits >> np.uint64(step % 63 + 1) & np.uint64(1))
-        assert key == want
+@pytest.mark.parametrize("kind", d.KINDS)
+def test_walk_against_its_definition(kind):
+    text = prose(random.Random(4), 40)
+    chars, walk = d.coded(text), d.Walk(kind, 1)
+    starts = np.array([0, 7, 29, len(text) - 1])
+    keys, ends = walk.keys(chars, starts)
+    for k, start in enumerate(starts.tolist()):
+        at, want = start, [0] * kind.tables
+        for step in range(kind.steps):
+            read = int(chars[min(at, len(text) - 1)])
+            want = [w + read * int(walk.factors[step]) * (step in s) & 2**64 - 1 for w, s in zip(want, walk.samples)]
+            at += 1 + (read >> int(walk.bits[step]) & 1)
+        assert ends[k] == at
+        assert [int(key[k]) for key in keys] == [(w ^ w >> 29) * int(d._MIX) & 2**64 - 1 for w in want]
+
+
+def test_equal_texts_walk_alike_wherever_they_stand():
+    one, other = d.coded("abc " + "the same words again and again"), d.coded("the same words again and again")
+    for number in range(d.LONG.walks):
+        walk = d.Walk(d.LONG, number)
+        for a, b in zip(walk.keys(one, np.array([4, 9]))[0], walk.keys(other, np.array([0, 5]))[0], strict=True):
+            assert a.tolist() == b.tolist()
 
 
 def test_recall_and_precision():

@@ -61,10 +61,23 @@ def test_items_of_10_to_16_words():
     assert wanted > 180 and found >= 0.98 * wanted
 
 
-def test_patterns_differ():
+@pytest.mark.parametrize("low, high", [(40, 63), (64, 79), (80, 150), (300, 600)])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.195, "word", "fifth"])
+def test_recall_by_length_and_kind_of_edits(low, high, share):
+    rng = random.Random(f"{low} {share}")
+    items = [letters(rng, 150)[: rng.randint(low + 1, high)].strip() for _ in range(60)]
+    edit = {"word": lambda t: one_in_each_word(t, rng), "fifth": lambda t: "".join("q" if k % 5 == 4 else c for k, c in enumerate(t))}
+    copies = [edit[share](t) if share in edit else changed(t, share, rng) for t in items]
+    around = [letters(rng, 30) for _ in range(len(items) + 1)]
+    found, wanted = recall(items, copies, around.__getitem__)
+    assert wanted >= 50 and found >= 0.95 * wanted
+
+
+def test_samplings_and_walks_differ():
     for kind in d.KINDS:
-        places = [tuple(p) for p in kind.places()]
-        assert len(set(places)) == kind.patterns and all(len(set(p)) == kind.kept for p in places)
+        walks = [d.Walk(kind, number) for number in range(kind.walks)]
+        assert all(len(set(w.samples)) == kind.tables and all(len(s) == kind.sampled for s in w.samples) for w in walks)
+        assert len({tuple(w.bits) for w in walks}) == kind.walks and all(len(set(w.bits)) == kind.steps for w in walks)
 
 
 HAN = [chr(c) for c in range(0x4E00, 0x5200)]
