@@ -109,6 +109,8 @@ def op7_packed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     records = warc.read_records(index, payloads=False)
+    damaged = F.raise_error(F.format_string("damaged record of page %d", "page_id")).cast("boolean")
+    records = records.where(F.when(F.col("intact"), True).otherwise(damaged))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -26,6 +26,8 @@ from hostvane.session import work_dir
 
 #: Archives are closed at this size; neighbours up to GAP apart are read at once, up to SPAN together.
 ARCHIVE_BYTES, GAP, SPAN = 1 << 30, 64 << 10, 8 << 20
+#: Bytes of archives that a task of the reader is given; compressed, they are a few times as many in memory, one run at a time.
+TASK_BYTES = 32 << 20
 #: Pages with fewer payload bytes are never revisits.
 LEAST_BYTES = 0
 DATE = "2026-01-01T00:00:00Z"
@@ -182,5 +184,7 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
         if source:
             source.close()
 
-    places = index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    places = index.select("archive", "offset", "length")
+    stored_bytes = places.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # a task's work is these, not the index
+    places = places.repartitionByRange(max(1, -(-stored_bytes // TASK_BYTES)), "archive", "offset")
     return places.sortWithinPartitions("archive", "offset").mapInArrow(read, ", ".join(RECORD_SCHEMA.split(", ")[:keep]))
