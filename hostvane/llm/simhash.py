@@ -214,7 +214,9 @@ def links(found: DataFrame, limit: int = KEY_LIMIT) -> DataFrame:
     Fingerprints of a key that has over `limit` are dealt to blocks, and each pair of blocks is compared by itself.
     """
     schema = "node long, root long, key long"
-    by_key = _with_keys(found).repartition("key").sortWithinPartitions("key")
+    # a number given outright: the planner would merge so few bytes into few tasks, yet each becomes many keys
+    dealt = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    by_key = _with_keys(dealt).repartition("key").sortWithinPartitions("key")
     first = stored(by_key.mapInArrow(lambda batches: _links_of_runs(batches, limit), schema), "links")
     large = first.where("root is null").select("key", F.col("node").alias("fp"))
     blocks = large.groupBy("key").agg(F.ceil(F.count("*") * 2 / F.lit(limit)).alias("blocks"))
