@@ -161,6 +161,11 @@ def _start(stream: DataFrame, write, checkpoint: str, available_now: bool) -> St
     return writer.start()
 
 
+def _start_with_state(stream: DataFrame, write, checkpoint: str, available_now: bool) -> StreamingQuery:
+    with stateful.state_store(stream.sparkSession):
+        return _start(stream, write, checkpoint, available_now)
+
+
 SAMPLE_KEYS = ("machine", "ts")
 
 
@@ -229,7 +234,7 @@ def write_counter_rates(
         return stateful.CounterRates(schema, keys, order, counters, interval, _span(delay), _span(idle))
 
     _write_spec(stream.sparkSession, path, counters=counters, keys=list(keys), order=list(order), interval=interval)
-    return _start(stateful.with_state(stream, keys, processor), _into(path), checkpoint, available_now)
+    return _start_with_state(stateful.with_state(stream, keys, processor), _into(path), checkpoint, available_now)
 
 
 def read_counter_rates(spark: SparkSession, path: str, keys: Sequence[str] | None = None, order: Sequence[str] | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """State per machine that a stream keeps from batch to batch: recent samples, held values, upload buffers.
 
-Each operator is a ``StatefulProcessor`` whose state lies in the session's state store (RocksDB). A batch reads and writes the
+Each operator is a ``StatefulProcessor`` whose state lies in RocksDB (``state_store``). A batch reads and writes the
 state of the machines it has rows of, and no other. The clock is the time of the batch, not that of the samples: it carries
 the watermark, so no sample is dropped for being late, a batch that runs again sees the same clock, and timers fire as soon
 as anything arrives behind their time.
@@ -11,7 +11,9 @@ The rows of one machine in one batch are held in memory while they are sorted; t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import timedelta
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,35 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from hostvane.operators import ordered
+from hostvane.session import ROCKSDB, STATE_STORE
 
 ARRIVAL, ARRIVED = "__arrival", "__arrived"
 SEQ, LATE = "seq", "late"
 
+_STARTING = Lock()
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB if the session names Spark's default store or none.
+
+    The default store has no room for the several states of a processor. A stream takes the session's settings over as it
+    starts and notes its store in the checkpoint, so the session gets its own setting back.
+    """
+    with _STARTING:
+        own = spark.conf.get(STATE_STORE, None)
+        if own is not None and not own.endswith(".HDFSBackedStateStoreProvider"):
+            yield
+            return
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        try:
+            yield
+        finally:
+            if own is None:
+                spark.conf.unset(STATE_STORE)
+            else:
+                spark.conf.set(STATE_STORE, own)
+
 
 def with_state(stream: DataFrame, keys: Sequence[str], processor: Callable[[T.StructType], StatefulProcessor]) -> DataFrame:
     """Run a processor per key; NULL keys are a key. ``processor`` makes one for the schema it is given, in which times are

@@ -9,6 +9,7 @@ import files
 from hostvane import schemas, work_dir
 from hostvane.operators import series
 from hostvane.plans import treatment
+from hostvane.session import STATE_STORE
 from hostvane.sources import landing, sinks
 from hostvane.streaming import pipeline
 
@@ -264,3 +265,31 @@ def test_work_dir_follows_the_cluster_setting(spark):
     assert "/hostvane/x-" in path and path != work_dir(spark, "x")
     if root:
         assert path.startswith(root)
+
+
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.fixture(params=[None, DEFAULT_STORE])
+def plain(request, spark):
+    """A session that names no state store, or Spark's default one; its setting is its own afterwards."""
+    session = spark.newSession()
+    if request.param is None:
+        session.conf.unset(STATE_STORE)
+    else:
+        session.conf.set(STATE_STORE, request.param)
+    yield session
+    assert session.conf.get(STATE_STORE, None) == request.param
+
+
+PLAIN_PARTS = [
+    [("m", datetime(2031, 2, 7, 0, 0, 0), 0), ("m", datetime(2031, 2, 7, 0, 0, 30), 300)],
+    [("m", datetime(2031, 2, 7, 0, 0, 10), 50), ("x", datetime(2031, 2, 7), 1)],
+]
+
+
+def test_rates_in_a_session_with_the_default_store(plain, tmp_path):
+    stream, out = lots(plain, tmp_path, COUNTED, *PLAIN_PARTS), str(tmp_path / "out")
+    pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
+    got = {r.counter: r.rate for r in pipeline.read_counter_rates(plain, f"{out}/data").collect()}
+    assert got == {0: None, 50: 5.0, 300: 12.5, 1: None}
