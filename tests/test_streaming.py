@@ -293,3 +293,10 @@ def test_rates_in_a_session_with_the_default_store(plain, tmp_path):
     pipeline.write_counter_rates(stream, {"rate": "counter"}, f"{out}/data", f"{out}/check").awaitTermination()
     got = {r.counter: r.rate for r in pipeline.read_counter_rates(plain, f"{out}/data").collect()}
     assert got == {0: None, 50: 5.0, 300: 12.5, 1: None}
+
+
+def test_held_values_in_a_session_with_the_default_store(plain, tmp_path):
+    stream, out = lots(plain, tmp_path, COUNTED, *PLAIN_PARTS), str(tmp_path / "out")
+    pipeline.write_held(stream, "counter", f"{out}/data", f"{out}/check", every=3).awaitTermination()
+    got = {r.counter: (r.n, r.held) for r in pipeline.read_held(plain, f"{out}/data").collect()}
+    assert got == {0: (1, 0), 50: (2, 0), 300: (3, 300), 1: (1, 1)}
