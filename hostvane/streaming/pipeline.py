@@ -303,7 +303,7 @@ def write_uploads(
     the next arrival of any machine; until then ``waiting_samples`` shows it. Samples count as they arrive.
     """
     flushed = stateful.with_state(stream, keys, lambda schema: stateful.Uploads(schema, order, rows, _span(timeout)))
-    return _start(flushed, _into(path, "trigger"), checkpoint, available_now)
+    return _start_with_state(flushed, _into(path, "trigger"), checkpoint, available_now)
 
 
 def waiting_samples(spark: SparkSession, checkpoint: str, schema: T.StructType, keys: Sequence[str] = ("machine",)) -> DataFrame:

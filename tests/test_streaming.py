@@ -300,3 +300,11 @@ def test_held_values_in_a_session_with_the_default_store(plain, tmp_path):
     pipeline.write_held(stream, "counter", f"{out}/data", f"{out}/check", every=3).awaitTermination()
     got = {r.counter: (r.n, r.held) for r in pipeline.read_held(plain, f"{out}/data").collect()}
     assert got == {0: (1, 0), 50: (2, 0), 300: (3, 300), 1: (1, 1)}
+
+
+def test_uploads_in_a_session_with_the_default_store(plain, tmp_path):
+    stream, out = lots(plain, tmp_path, COUNTED, *PLAIN_PARTS), str(tmp_path / "out")
+    pipeline.write_uploads(stream, f"{out}/data", f"{out}/check", rows=2, timeout="1 day").awaitTermination()
+    flushed = {(r.counter, r.batch) for r in plain.read.parquet(f"{out}/data").collect()}
+    waiting = pipeline.waiting_samples(plain, f"{out}/check", stream.schema).collect()
+    assert flushed == {(0, 0), (300, 0)} and {(r.counter, r.batch) for r in waiting} == {(50, 1), (1, 0)}
