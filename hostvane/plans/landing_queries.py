@@ -332,19 +332,20 @@ def _versions(host: DataFrame) -> DataFrame:
 # Streams ---------------------------------------------------------------------------------------------------------
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> str:
-    """The events as files that arrive in order of time, in four lots of two."""
+def staged_events(spark: SparkSession, sf_dir: str, untimed: bool = False) -> str:
+    """The events as files that arrive in order of time, in four lots of two; ``untimed`` ones too, as a lot behind them."""
     path = work_dir(spark, "arrivals")
     events = views.table(spark, sf_dir, "events")
-    first, last = events.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp"))), F.max(F.unix_seconds(F.col("ts").cast("timestamp")))).first()
-    lot = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - first) * 4 / (last - first + 1))
-    for n in range(4):
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last, without = events.agg(F.min(seconds), F.max(seconds), F.count_if(seconds.isNull())).first()
+    lot = F.coalesce(F.floor((seconds - first) * 4 / (last - first + 1)), F.lit(4))
+    for n in range(5 if untimed and without else 4):
         events.where(lot == n).repartition(2).write.mode("append").parquet(path)
     return path
 
 
-def host_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = pipeline.stream_parquet(spark, staged_events(spark, sf_dir), views.EVENT_SCHEMA, files_per_trigger=2)
+def host_stream(spark: SparkSession, sf_dir: str, untimed: bool = False) -> DataFrame:
+    events = pipeline.stream_parquet(spark, staged_events(spark, sf_dir, untimed), views.EVENT_SCHEMA, files_per_trigger=2)
     return views.host_columns(events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -427,7 +428,7 @@ def stream_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT sample_id, machine, dr::DOUBLE / 3 AS read_bps FROM d"""
 )
 def stream_counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = host_stream(spark, sf_dir).select("machine", "ts", "sample_id", "bytes_read")
+    stream = host_stream(spark, sf_dir, untimed=True).select("machine", "ts", "sample_id", "bytes_read")
     out, order = work_dir(spark, "stream"), ["ts", "sample_id"]
     pipeline.write_counter_rates(
         stream, {"read_bps": "bytes_read"}, f"{out}/data", f"{out}/checkpoint", order=order, interval=3.0
@@ -442,7 +443,7 @@ def stream_counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_sample_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     ping = F.when(F.col("k") % 3 != 0, F.col("ping_ms")).alias("ping_ms")
-    stream = host_stream(spark, sf_dir).select("machine", "ts", "sample_id", ping)
+    stream = host_stream(spark, sf_dir, untimed=True).select("machine", "ts", "sample_id", ping)
     out = work_dir(spark, "stream")
     pipeline.write_held(
         stream, "ping_ms", f"{out}/data", f"{out}/checkpoint", order=["ts", "sample_id"]
@@ -451,12 +452,13 @@ def stream_sample_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Host samples as a stream of four batches: a tenth comes a batch late, a twentieth in the very last one."""
+    """Host samples as a stream of four batches: a tenth comes a batch late, a twentieth and those without a time
+    in the very last one."""
     path = work_dir(spark, "disordered")
     events = views.table(spark, sf_dir, "events")
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     first, last = events.agg(F.min(seconds), F.max(seconds)).first()
-    lot = F.floor((seconds - first) * 4 / (last - first + 1))
+    lot = F.coalesce(F.floor((seconds - first) * 4 / (last - first + 1)), F.lit(3))
     late = F.when(F.col("event_id") % 20 == 7, 3).when(F.col("event_id") % 10 == 3, F.least(lot + 1, F.lit(3))).otherwise(lot)
     staged = events.withColumn("lot", late.cast("int")).repartition(4, "lot")
     staged.write.partitionBy("lot").parquet(f"{path}/lots")
@@ -515,7 +517,7 @@ def stream_hold_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uploads of 60 samples of a machine from triggers of two files, and what the stream still keeps of each machine."""
-    stream = pipeline.stream_parquet(spark, staged_events(spark, sf_dir), views.EVENT_SCHEMA, files_per_trigger=2)
+    stream = pipeline.stream_parquet(spark, staged_events(spark, sf_dir, untimed=True), views.EVENT_SCHEMA, files_per_trigger=2)
     samples = views.host_columns(stream).select("machine", F.col("ts").cast("timestamp").alias("ts"), "sample_id")
     out = work_dir(spark, "stream")
     pipeline.write_uploads(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import files
 from hostvane import schemas, work_dir
 from hostvane.operators import series
-from hostvane.plans import treatment
+from hostvane.plans import landing_queries, treatment, views
 from hostvane.session import STATE_STORE
 from hostvane.sources import landing, sinks
 from hostvane.streaming import pipeline
@@ -308,3 +308,12 @@ def test_uploads_in_a_session_with_the_default_store(plain, tmp_path):
     flushed = {(r.counter, r.batch) for r in plain.read.parquet(f"{out}/data").collect()}
     waiting = pipeline.waiting_samples(plain, f"{out}/check", stream.schema).collect()
     assert flushed == {(0, 0), (300, 0)} and {(r.counter, r.batch) for r in waiting} == {(50, 1), (1, 0)}
+
+
+@pytest.mark.parametrize("name", ["stream_counter_rate", "stream_sample_hold", "stream_uploads", "stream_rate_corrected", "stream_rate_late", "stream_hold_disordered"])
+def test_samples_without_a_time_are_in_the_streams(spark, tmp_path, name):
+    start = datetime(2026, 4, 1)
+    rows = [(i, start + timedelta(hours=i) if i % 5 else None, i % 2, "e", float(i), '{"k": 1}') for i in range(40)]
+    spark.createDataFrame(rows, views.EVENT_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    got = getattr(landing_queries, name)(spark, str(tmp_path)).collect()
+    assert sorted((r.sample_id, r.machine) for r in got) == [(i, i % 2) for i in range(40)]
