@@ -95,3 +95,68 @@ def test_many_equal_rows_are_one_document(spark):
     assert gone.count() == gone.dropDuplicates(["doc_id", "text_hash", "position"]).count() < 10
     got = lines.line_dedup(docs).where("doc_id = 2").select("text", "removed_chars").distinct().collect()
     assert len(got) == 1 and got[0].removed_chars <= len(text)
+
+
+def plain_ends(own):
+    """Ends of chunks, line by line."""
+    rolling, ends, last = [], [], 0
+    hashed = [lines.xxhash.xxh64_intdigest(line) for line in own]
+    for k in range(len(own)):
+        value = 0
+        for back in range(min(lines.WINDOW, k + 1)):
+            value = (value * int(lines._FACTOR) + hashed[k - back]) % 2**64
+        rolling.append((value * int(lines._FACTOR) % 2**64 >> 40) % lines.DIVISOR == 0)
+    for k, line in enumerate(own):
+        long = len(line.split()) >= lines.LONG_LINE
+        if long and k > last:
+            ends.append(k)
+            last = k
+        if long or k == len(own) - 1 or (rolling[k] and k > last):
+            ends.append(k + 1)
+            last = k + 1
+    return ends
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pieces_of_a_batch_are_those_of_every_text(seed):
+    rng = random.Random(seed)
+    kinds = ["", " ", "a", "b", "a b", "\x1c é", "w " * 25, "w " * 49, "w " * 50, "v " * 60]
+    batch = [text for text in corpus(seed) if len(text) < 10_000] + ["\n".join(rng.choice(kinds) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    want, hashes = set(), {}
+    for number, text in enumerate(batch):
+        own, start = text.split("\n"), 0
+        for end in plain_ends(own):
+            if lines.removable("\n".join(own[start:end])):
+                want.add((number, start, end, False))
+            start = end
+        want |= {(number, a, b, True) for a, b in lines.passages(text)}
+    doc, first, end, hashed, passage = lines.pieces(batch, True)
+    got = list(zip(doc.tolist(), first.tolist(), end.tolist(), passage.tolist(), strict=True))
+    assert len(got) == len(want) and set(got) == want
+    for (number, a, b, kind), value in zip(got, hashed.tolist(), strict=True):
+        hashes.setdefault((kind, "\n".join(batch[number].split("\n")[a:b])), set()).add(value)
+    assert len(set().union(*hashes.values())) == len(hashes) == sum(map(len, hashes.values()))
+
+
+def test_every_text_is_cut_once(spark, monkeypatch):
+    plans, stored = [], lines.stored
+
+    def spy(df, name):
+        plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(lines, "stored", spy)
+    docs = spark.createDataFrame([(k, t, "x", "y", "z") for k, t in enumerate(corpus())], COLUMNS)
+    assert lines.repeated_chunks(docs, with_passages=True).count() > 0
+    cuts = [columns for columns, plan in plans if "MapInArrow cut(" in plan]
+    assert len(cuts) == 1 and "chunk" not in cuts[0]
+    assert max(plan.count("MapInArrow") for _, plan in plans) == 1
+
+
+def test_short_batches_hold_every_row():
+    whole = ["", "a\nb", "x\n" * 30, "", "y\n" * 8, "z", "z", "z\nz"]
+    batch = lines.pa.RecordBatch.from_pydict({"text": whole})
+    for limit in (1, 3, 10, 1000):
+        cut = [part.column("text").to_pylist() for part in lines._short_batches([batch.slice(0, 5), batch.slice(5), batch.slice(8)], limit)]
+        assert sum(cut, []) == whole
+        assert all(part and (len(part) == 1 or sum(t.count("\n") + 1 for t in part) <= limit) for part in cut)
