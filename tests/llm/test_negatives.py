@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,70 @@ def test_bounds_hold_and_cells_come_in_order():
             assert all(scores[codes == numbers[later]].max() <= rest for later, *_ in visited[n:])
             rests.append(rest)
         assert rests == sorted(rests, reverse=True)
+
+
+def shuffled(df):
+    """Rows that the exchanges of the plan have written."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            rows += node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+    return rows
+
+
+def test_no_row_for_an_anchor_and_a_cell(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=24).tolist(), int(rng.integers(3))) for k in range(3_000)]
+    got = negatives.hard_negatives(table(spark, rows), F.col("vec_id") % 10 == 0, cell=6)
+    assert 7_000 < got.count() <= 300 * 25  # of 300 anchors, which 400 cells may matter to
+    assert shuffled(got) < 60_000
+
+
+def test_shelves_are_bounded():
+    batches = [pa.RecordBatch.from_pydict({"vec_id": list(range(start, start + n))}) for start, n in ((0, 3), (3, 25), (28, 0), (28, 9), (37, 1))]
+    shelves = list(negatives._shelves(iter(batches), 10))
+    assert max(s.num_rows for s in shelves) <= 10
+    assert [i for s in shelves for i in s.column("vec_id").to_pylist()] == list(range(38))
+
+
+@pytest.mark.parametrize("same", [False, True])
+@pytest.mark.parametrize("size", [1, 300, 10**7])
+def test_blocks_keep_the_best_of_all_shelves(same, size):
+    """Windows with lows and last ids, numbers that floats, doubles and neither hold, shelves of many spans."""
+    rng, width, k = np.random.default_rng(size), 5, 3
+    books = (rng.normal(size=(3, 3)) * size, rng.normal(size=(3, 2)) * size)
+
+    def packed(n):
+        vectors = rng.integers(-size, size + 1, (n, width))
+        wide = (np.abs(vectors) >= 2**15).any(1)
+        words = [negatives.nearest_word(part, book) for part, book in zip((vectors[:, :3], vectors[:, 3:]), books, strict=True)]
+        away = [np.sqrt(((part - book[w]) ** 2).sum(1)) * (1 + 1e-9) for part, book, w in zip((vectors[:, :3], vectors[:, 3:]), books, words, strict=True)]
+        data = [v.astype("<i8" if w else "<i2").tobytes() for v, w in zip(vectors, wide, strict=True)]
+        return vectors, {"label": rng.integers(0, 4, n), "vector": data, "wide": wide, "cell": words[0] * negatives.MOST_WORDS + words[1], "away_0": away[0], "away_1": away[1]}
+
+    members, columns = packed(400)
+    ids = rng.integers(0, 300, 400)
+    shelves = [negatives._Shelf(pa.table({"vec_id": ids[at], **{c: np.asarray(v, dtype=object if c == "vector" else None)[at] for c, v in columns.items()}}), books, width) for at in (slice(0, 250), slice(250, 400))]
+    anchors, own = packed(40)
+    scores = anchors.astype(object) @ members.astype(object).T
+    highs = [[int(np.median(row)), int(row.max())] for row in scores]
+    lows = [[int(row.min()) - 1, int(np.median(row))] for row in scores]
+    block = negatives._Block(pa.table({"row": np.arange(40), "anchor_id": np.arange(40), **own, "places": [[0, 2]] * 40, "lows": lows, "lasts": [[negatives._LONG, 150]] * 40, "highs": highs}), width, 3, k)
+    for shelf in shelves:
+        negatives._meet(shelf, block, same)
+    got = {(r, p): [] for r in range(40) for p in (0, 2)}
+    for batch in block.found():
+        for r, p, i, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got[r, p].append((-s, i))
+    for r in range(40):
+        for p, low, high, last in zip((0, 2), lows[r], highs[r], (negatives._LONG, 150), strict=True):
+            fits = [(-int(s), int(i)) for s, i, y in zip(scores[r], ids, columns["label"], strict=True) if i != r and (y == own["label"][r]) == same and s <= high and (s > low or s == low and i <= last)]
+            assert got[r, p] == sorted(fits)[:k]
